@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .plans import traffic
+from .plans import marts, traffic
 from .session import apply_required_conf
 from .sources import fixture
 
@@ -22,12 +22,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Dates as ISO text and decimals as double, the shared output convention."""
+    """Dates / timestamps as ISO text and decimals as double (shared output convention)."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         cols.append(c.alias(f.name))
@@ -46,11 +48,33 @@ def register(name: str):
     return deco
 
 
+AS_OF = fixture.DEFAULT_AS_OF
+LOAD_TS = "2001-08-01 00:00:00"  # pinned load / creation time of every registered output
+
+
 def _airline(spark, sf_dir):
-    return fixture.airline_tables(spark, sf_dir)
+    return fixture.airline_tables(spark, sf_dir, AS_OF)
 
 
 @register("airport_traffic")
 def _q1(spark, sf_dir):
     """Q1: departures/arrivals and their passengers per airport."""
     return traffic.airport_traffic(_airline(spark, sf_dir))
+
+
+@register("airport_passenger_flow")
+def _q7(spark, sf_dir):
+    """Q7: passenger-flow mart rows for as_of - 1 day, as the reference computes them."""
+    return marts.build_airport_passenger_flow(_airline(spark, sf_dir), AS_OF, created_at=LOAD_TS)
+
+
+@register("airport_passenger_flow_corrected")
+def _q7c(spark, sf_dir):
+    """Q7 corrected: flights counted once, inbound-only routes kept (FULL OUTER)."""
+    return marts.build_airport_passenger_flow(_airline(spark, sf_dir), AS_OF, created_at=LOAD_TS, corrected=True)
+
+
+@register("frequent_flyers")
+def _q6(spark, sf_dir):
+    """Q6: frequent-flyer mart rows (flights, spend, home airport, percentile tier)."""
+    return marts.build_frequent_flyers(_airline(spark, sf_dir), AS_OF, created_at=LOAD_TS)
