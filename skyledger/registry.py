@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .plans import marts, traffic
+from .plans import dashboards, marts, traffic, vault
 from .session import apply_required_conf
 from .sources import fixture
 
@@ -78,3 +78,19 @@ def _q7c(spark, sf_dir):
 def _q6(spark, sf_dir):
     """Q6: frequent-flyer mart rows (flights, spend, home airport, percentile tier)."""
     return marts.build_frequent_flyers(_airline(spark, sf_dir), AS_OF, created_at=LOAD_TS)
+
+
+# --- history layer L1-L14 ----------------------------------------------------------
+def _vault(spark, sf_dir):
+    return vault.build_vault(_airline(spark, sf_dir), LOAD_TS)
+
+
+def _register_vault_table(name: str) -> None:
+    def q(spark, sf_dir):
+        return _vault(spark, sf_dir)[name]
+    q.__doc__ = f"History layer: batch load of {name} from the booking model."
+    register(name)(q)
+
+
+for _name in vault.TABLES:
+    _register_vault_table(_name)
