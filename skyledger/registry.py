@@ -94,3 +94,40 @@ def _register_vault_table(name: str) -> None:
 
 for _name in vault.TABLES:
     _register_vault_table(_name)
+
+
+# --- dashboards Q2-Q5, KPI tiles K1-K5 -----------------------------------------------
+@register("active_airports_30d")
+def _q2(spark, sf_dir):
+    """Q2: active airports per day over the last 30 days."""
+    return dashboards.active_airports_30d(_vault(spark, sf_dir), AS_OF)
+
+
+@register("airport_traffic_share")
+def _q3(spark, sf_dir):
+    """Q3: flights / passengers per airport and their share of the total."""
+    return dashboards.airport_traffic_share(_vault(spark, sf_dir), AS_OF)
+
+
+@register("passenger_metrics_30d")
+def _q4(spark, sf_dir):
+    """Q4: unique passengers, average check, flights per passenger and revenue per day."""
+    return dashboards.passenger_metrics_30d(_vault(spark, sf_dir), AS_OF)
+
+
+@register("passenger_groups_revenue")
+def _q5(spark, sf_dir):
+    """Q5: passengers and revenue per frequency group, with revenue share."""
+    return dashboards.passenger_groups_revenue(_vault(spark, sf_dir), AS_OF)
+
+
+@register("dashboard_kpis")
+def _k14(spark, sf_dir):
+    """K1-K4: 30-day KPI tiles computed from detail rows."""
+    return dashboards.dashboard_kpis(_vault(spark, sf_dir), AS_OF)
+
+
+@register("daily_dashboard_series")
+def _k5(spark, sf_dir):
+    """K5: per-day chart series (active airports, unique passengers, revenue)."""
+    return dashboards.daily_series(_vault(spark, sf_dir), AS_OF)
