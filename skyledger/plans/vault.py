@@ -19,10 +19,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash_columns, hash_values, surrogate_id, with_lineage
+from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_values, surrogate_id,
+                              with_lineage)
 from ..operators.ranking import latest_version
 from ..operators.sinks import append_batch, insert_if_absent, path_exists
 
@@ -123,18 +124,34 @@ def _parse_ref(ref: str) -> tuple[str, str | None]:
 # --- sources ------------------------------------------------------------------------
 def sources(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Booking-model tables plus `ticket_legs` (ticket_flights with the ticket's
-    booking and passenger, and its boarding pass if any)."""
-    tk = t["tickets"].select("ticket_no", "book_ref", "passenger_id")
-    bp = t["boarding_passes"].select("ticket_no", "flight_id", "boarding_no", "seat_no")
-    legs = (t["ticket_flights"].join(tk, "ticket_no")
-            .join(bp, ["ticket_no", "flight_id"], "left"))
-    return {**t, "ticket_legs": legs}
+    booking and passenger, and its boarding pass if any) when its inputs exist."""
+    out = dict(t)
+    if {"tickets", "ticket_flights", "boarding_passes"} <= set(t):
+        tk = t["tickets"].select("ticket_no", "book_ref", "passenger_id")
+        bp = t["boarding_passes"].select("ticket_no", "flight_id", "boarding_no", "seat_no")
+        out["ticket_legs"] = (t["ticket_flights"].join(tk, "ticket_no")
+                              .join(bp, ["ticket_no", "flight_id"], "left"))
+    return out
+
+
+def _load_col(src: DataFrame, load_ts) -> Column:
+    """Load time: the given batch time, else each change message's own time."""
+    if load_ts is not None:
+        return F.lit(load_ts).cast("timestamp") if not isinstance(load_ts, Column) else load_ts
+    return F.col("_load_ts")
 
 
 # --- batch builders ---------------------------------------------------------------
 def build_hub(h: Hub, src: DataFrame, load_ts) -> DataFrame:
-    keys = src.select(h.key).where(F.col(h.key).isNotNull()).distinct()
+    """One row per non-NULL business key (first load time when messages carry their own)."""
     hk = hub_key_hash(F.col(h.key))
+    rows = src.where(F.col(h.key).isNotNull())
+    if load_ts is None:
+        keys = rows.groupBy(h.key).agg(F.min("_load_ts").alias("load_date"))
+        out = keys.select(surrogate_id(hk).alias(h.id_col), hk.alias(h.hash_col), h.key, "load_date")
+        return out.withColumns({"record_source": F.lit(RECORD_SOURCE),
+                                "source_system_id": F.lit(SOURCE_SYSTEM_ID).cast("int")})
+    keys = rows.select(h.key).distinct()
     return with_lineage(keys.select(surrogate_id(hk).alias(h.id_col), hk.alias(h.hash_col), h.key), load_ts)
 
 
@@ -144,6 +161,10 @@ def build_link(lk: Link, src: DataFrame, load_ts) -> DataFrame:
         name, col = _parse_ref(ref)
         cols.append(ref_id(name, col).alias(out))
     cols += [F.col(c) for c in lk.degenerate]
+    if load_ts is None:
+        rows = src.groupBy(*lk.key_cols).agg(F.min("_load_ts").alias("load_date")).select(*cols, "load_date")
+        return rows.withColumns({"record_source": F.lit(RECORD_SOURCE),
+                                 "source_system_id": F.lit(SOURCE_SYSTEM_ID).cast("int")})
     rows = src.select(*lk.key_cols).distinct().select(*cols)
     return with_lineage(rows, load_ts)
 
@@ -158,27 +179,39 @@ def _parent_cols(sat: Satellite) -> tuple[str, list[str], Column]:
 
 
 def build_satellite(sat: Satellite, src: DataFrame, load_ts) -> DataFrame:
+    """One version per parent and load (batch), or one per change message (stream)."""
     pid, keys, pexpr = _parent_cols(sat)
-    rows = src.select(*keys, *sat.payload)
-    if sat.version_order:
+    extra = ["_load_ts"] if load_ts is None else []
+    rows = src.select(*keys, *sat.payload, *extra)
+    if sat.version_order and load_ts is not None:
         rows = latest_version(src.select(*keys, *sat.payload, *[c for c in sat.version_order if c not in keys]),
                               keys, list(sat.version_order)).select(*keys, *sat.payload)
-    out = rows.select(pexpr.alias(pid), *sat.payload,
+    out = rows.select(pexpr.alias(pid), *sat.payload, *extra,
                       hash_columns(rows, [*keys, *sat.payload]).alias("hash_diff"))
-    out = with_lineage(out, load_ts)
-    return out.select(pid, "load_date", *sat.payload, "record_source", "source_system_id", "hash_diff")
+    out = with_lineage(out, _load_col(out, load_ts)).drop(*extra)
+    out = out.select(pid, "load_date", *sat.payload, "record_source", "source_system_id", "hash_diff")
+    # a redelivered message repeats (parent, load time, content): keep it once
+    return out.dropDuplicates([pid, "load_date", "hash_diff"]) if load_ts is None else out
 
 
-def build_vault(t: dict[str, DataFrame], load_ts) -> dict[str, DataFrame]:
-    """All 14 history tables for one load of the booking model (lazy)."""
+def build_vault(t: dict[str, DataFrame], load_ts, tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """History tables for one load of the booking model (lazy).
+
+    `load_ts=None` means the sources are change images that carry their own
+    message time in `_load_ts`. Only tables whose source is present are built.
+    """
     src = sources(t)
+    want = set(tables or TABLES)
     out = {}
     for h in HUBS:
-        out[h.name] = build_hub(h, src[h.source], load_ts)
+        if h.name in want and h.source in src:
+            out[h.name] = build_hub(h, src[h.source], load_ts)
     for lk in LINKS:
-        out[lk.name] = build_link(lk, src[lk.source], load_ts)
+        if lk.name in want and lk.source in src:
+            out[lk.name] = build_link(lk, src[lk.source], load_ts)
     for s in SATELLITES:
-        out[s.name] = build_satellite(s, src[s.source], load_ts)
+        if s.name in want and s.source in src:
+            out[s.name] = build_satellite(s, src[s.source], load_ts)
     return out
 
 
@@ -200,28 +233,38 @@ def read_vault(spark: SparkSession, root: str, before_batch: int | None = None)
 
 def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None,
                        on_unchanged: str = "append") -> DataFrame:
-    """Versions to append. "append": every incoming row (the reference's
-    behaviour). "skip": rows whose hash_diff equals the parent's latest stored
-    version are dropped (the intended use of hash_diff)."""
-    if on_unchanged == "append" or stored is None:
+    """Versions to append. "append": every incoming version (the reference's
+    behaviour) except exact repeats of a stored one (same parent, load time and
+    hash: a redelivered message). "skip": also versions equal to the parent's
+    latest stored version (the intended use of hash_diff)."""
+    if stored is None:
         return rows
     pid = _parent_cols(sat)[0]
+    rows = rows.join(stored.select(pid, "load_date", "hash_diff"), [pid, "load_date", "hash_diff"], "left_anti")
+    if on_unchanged == "append":
+        return rows
     current = latest_version(stored.select(pid, "load_date", "hash_diff"), pid, "load_date")
-    return rows.join(current.select(pid, "hash_diff"), [pid, "hash_diff"], "left_anti")
+    rows = rows.join(current.select(pid, "hash_diff"), [pid, "hash_diff"], "left_anti")
+    # inside one batch: drop a version equal to the one just before it
+    w = Window.partitionBy(pid).orderBy("load_date")
+    prev = F.lag("hash_diff").over(w)
+    return rows.where(prev.isNull() | (prev != F.col("hash_diff")))
 
 
 def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id: int, load_ts,
                on_unchanged: str = "append", tables: list[str] | None = None) -> dict[str, DataFrame]:
-    """Load one batch of booking-model rows into the stored history layer."""
+    """Load one batch of booking-model rows (or change images) into the stored
+    history layer; each table's new rows go to its `batch_id=<n>` partition."""
     stored = read_vault(spark, root, before_batch=batch_id)
-    fresh = build_vault(t, load_ts)
+    fresh = build_vault(t, load_ts, tables)
     written = {}
-    for name in tables or TABLES:
-        rows = fresh[name]
+    for name, rows in fresh.items():
         if name in HUB_BY_NAME or name in LINK_BY_NAME:
             key = HUB_BY_NAME[name].hash_col if name in HUB_BY_NAME else LINK_BY_NAME[name].hash_col
             if name in stored:
                 rows = insert_if_absent(stored[name], rows, [key])
+            else:
+                rows = rows.dropDuplicates([key])
         else:
             sat = next(s for s in SATELLITES if s.name == name)
             rows = new_satellite_rows(sat, rows, stored.get(name), on_unchanged)

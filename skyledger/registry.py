@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from .plans import dashboards, marts, traffic, vault
 from .session import apply_required_conf
-from .sources import fixture
+from .functions import keys
+from .sources import cdc, fixture
+from .streaming import vault_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -131,3 +133,56 @@ def _k14(spark, sf_dir):
 def _k5(spark, sf_dir):
     """K5: per-day chart series (active airports, unique passengers, revenue)."""
     return dashboards.daily_series(_vault(spark, sf_dir), AS_OF)
+
+
+# --- change capture ---------------------------------------------------------------------
+def _feed(spark, sf_dir):
+    return fixture.change_feed(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
+def _msg_cols(df):
+    return [F.col("_op").alias("op"), F.col("_offset").alias("offset"), F.col("_load_ts").alias("message_ts")]
+
+
+@register("cdc_airport_changes")
+def _cdc_changes(spark, sf_dir):
+    """Parsed change messages of the airports topic: op, offset, typed image."""
+    ch = cdc.parse_changes(_feed(spark, sf_dir))
+    img = cdc.typed_images(ch, "airports")
+    return img.select(*_msg_cols(img), "airport_code", "airport_name", "city", "coordinates_lon",
+                      "coordinates_lat", "timezone")
+
+
+def _cdc_table(name):
+    def q(spark, sf_dir):
+        return vault_stream.batch_load_from_feed(spark, _feed(spark, sf_dir))[name]
+    q.__doc__ = f"{name} rows one change-feed batch loads into an empty history layer."
+    register(f"cdc_{name}")(q)
+
+
+for _name in ("hub_airports", "sat_airport_details", "hub_aircrafts", "sat_aircraft_details"):
+    _cdc_table(_name)
+
+
+@register("hash_compat_airports")
+def _hash_compat(spark, sf_dir):
+    """Record hash of each airports change image in the reference's encoding."""
+    img = cdc.typed_images(cdc.parse_changes(_feed(spark, sf_dir)), "airports")
+    cols = ["airport_code", "airport_name", "city", "coordinates_lon", "coordinates_lat", "timezone"]
+    return img.select(F.col("_offset").alias("offset"), F.col("_op").alias("op"),
+                      keys.hash_columns(img, cols, compat=True).alias("record_hash"),
+                      keys.hash_columns(img, cols).alias("record_hash_delimited"))
+
+
+@register("snapshot_diff_ticket_flights")
+def _snap(spark, sf_dir):
+    """Change feed between two snapshots of ticket_flights (c / u / d)."""
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    old = fixture.ticket_flights_snapshot(li, fixture.SNAPSHOT_OLD_FLAGS)
+    new = fixture.ticket_flights_snapshot(li, fixture.SNAPSHOT_NEW_FLAGS)
+    d = cdc.snapshot_diff(old, new, ["ticket_no", "flight_id"])
+    return d.select("op", "ticket_no", "flight_id",
+                    F.col("before.fare_conditions").alias("before_fare_conditions"),
+                    F.col("before.amount").alias("before_amount"),
+                    F.col("after.fare_conditions").alias("after_fare_conditions"),
+                    F.col("after.amount").alias("after_amount"))

@@ -151,3 +151,61 @@ def airline_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS
         "ticket_flights": ticket_flights(d["lineitem"]),
         "boarding_passes": boarding_passes(d["lineitem"]),
     }
+
+
+# --- change feed from `events` (FIXTURES.md §3) ---------------------------------------
+# Operation per event type.
+EVENT_OPS = {"signup": "c", "click": "u", "purchase": "u", "error": "d", "view": "r"}
+
+
+def airport_image(events: DataFrame) -> Column:
+    code = _airport(F.col("user_id") % 25)
+    return F.struct(code.alias("airport_code"),
+                    F.concat(F.lit("Airport "), code).alias("airport_name"),
+                    F.concat(F.lit("City "), F.col("event_type")).alias("city"),
+                    F.col("value").alias("coordinates_lon"),
+                    (-F.col("value")).alias("coordinates_lat"),
+                    F.lit("UTC").alias("timezone"))
+
+
+def aircraft_image(events: DataFrame) -> Column:
+    return F.struct(F.concat(F.lit("B"), _pad(F.col("user_id") % 25, 2)).alias("aircraft_code"),
+                    F.concat(F.lit('{"en":"'), F.col("event_type"), F.lit('"}')).alias("model"),
+                    (F.col("user_id") * 10).cast("int").alias("range"))
+
+
+def change_feed(events: DataFrame, prefix: str = "airline.public") -> DataFrame:
+    """Kafka-like change messages: every event becomes one airports message and
+    one aircrafts message, offset = event_id, message time = event ts."""
+    op = F.try_element_at(F.create_map(*[F.lit(x) for kv in EVENT_OPS.items() for x in kv]), F.col("event_type"))
+
+    def envelope(img: Column) -> Column:
+        after = F.when(op != "d", img)
+        before = F.when(op.isin("u", "d"), img)
+        return F.to_json(F.struct(F.struct(op.alias("op"), before.alias("before"), after.alias("after"),
+                                           (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("long")
+                                           .alias("ts_ms")).alias("payload")))
+
+    msgs = F.array(
+        F.struct(F.lit(f"{prefix}.airports").alias("topic"), envelope(airport_image(events)).alias("value")),
+        F.struct(F.lit(f"{prefix}.aircrafts").alias("topic"), envelope(aircraft_image(events)).alias("value")),
+    )
+    return (events.select("event_id", "ts", "user_id", F.explode(msgs).alias("m"))
+            .select(F.col("m.topic").alias("topic"), F.lit(0).alias("partition"),
+                    F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+                    F.col("user_id").cast("string").alias("key"), F.col("m.value").alias("value")))
+
+
+def ticket_flights_snapshot(lineitem: DataFrame, returnflags=("N",)) -> DataFrame:
+    """ticket_flights as it would look with legs of the given return flags
+    (two flag sets give two snapshots of one table for change detection)."""
+    return (lineitem.where(F.col("l_returnflag").isin(*returnflags)).groupBy("l_orderkey", "l_partkey")
+            .agg(F.min("l_tax").cast("decimal(10,2)").alias("fare_conditions"),
+                 F.sum(F.col("l_extendedprice").cast("decimal(10,2)")).cast("decimal(10,2)").alias("amount"))
+            .select(_pad(F.col("l_orderkey"), 13).alias("ticket_no"),
+                    F.col("l_partkey").cast("int").alias("flight_id"), "fare_conditions", "amount"))
+
+
+# Return flags of the two ticket_flights snapshots.
+SNAPSHOT_OLD_FLAGS = ("N", "A")
+SNAPSHOT_NEW_FLAGS = ("N", "R")
