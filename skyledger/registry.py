@@ -8,6 +8,7 @@ can be compared value by value with the SQL in `skyledger.oracle`.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from .plans import dashboards, marts, traffic, vault
 from .session import apply_required_conf
 from .functions import keys
+from .operators import joins, quality, ranking, sinks
+from .plans import checks
 from .sources import cdc, fixture
 from .streaming import vault_stream
 
@@ -186,3 +189,127 @@ def _snap(spark, sf_dir):
                     F.col("before.amount").alias("before_amount"),
                     F.col("after.fare_conditions").alias("after_fare_conditions"),
                     F.col("after.amount").alias("after_amount"))
+
+
+# --- reusable operators over the whole tables ---------------------------------------------
+@register("either_endpoint_join_flights")
+def _op_either(spark, sf_dir):
+    """Airports joined to every flight that departs from or arrives at them (OR join)."""
+    t = _airline(spark, sf_dir)
+    j = joins.either_endpoint_join(t["airports"].select("airport_code"), "airport_code",
+                                   t["flights"].select("flight_id", "departure_airport", "arrival_airport"),
+                                   "departure_airport", "arrival_airport")
+    return j.select("airport_code", "flight_id")
+
+
+@register("modal_departure_airport")
+def _op_modal(spark, sf_dir):
+    """Most used departure airport per passenger over all flights (ties: latest, then code)."""
+    t = _airline(spark, sf_dir)
+    legs = (t["ticket_flights"].select("ticket_no", "flight_id")
+            .join(t["flights"].select("flight_id", "departure_airport",
+                                      F.coalesce("actual_departure", "scheduled_departure").alias("dep_ts")),
+                  "flight_id")
+            .join(t["tickets"].select("ticket_no", "passenger_id"), "ticket_no"))
+    return ranking.modal_value(legs, ["passenger_id"], "departure_airport", "dep_ts", out="modal_airport")
+
+
+@register("booking_percentile_tiers")
+def _op_tiers(spark, sf_dir):
+    """Percent rank of every booking by total amount (descending) and its tier label."""
+    b = _airline(spark, sf_dir)["bookings"].select("book_ref", "total_amount")
+    ranked = ranking.percent_rank(b, "total_amount", descending=True, out="percent_rank")
+    return ranked.withColumn("tier", ranking.bucket_by_thresholds(
+        F.col("percent_rank"), (0.05, 0.10, 0.25, 0.50), ("5", "10", "25", "50", "50+"), upper_inclusive=True))
+
+
+@register("departure_share")
+def _op_share(spark, sf_dir):
+    """Each airport's share of all departures (exact half-up percentage)."""
+    tr = traffic.airport_traffic(_airline(spark, sf_dir)).select("airport_code", "departure_flights_num")
+    return ranking.share_of_total(tr, "departure_flights_num", "departure_share_percent")
+
+
+@register("insert_if_absent_passengers")
+def _op_insert(spark, sf_dir):
+    """Passenger hub rows an incremental load adds: passengers of all tickets not
+    yet in a hub loaded from bookings made before 2000 (anti-join insert)."""
+    t = _airline(spark, sf_dir)
+    early = t["tickets"].join(t["bookings"].where(F.col("book_date") < F.lit("2000-01-01").cast("timestamp"))
+                              .select("book_ref"), "book_ref", "left_semi")
+    hub = vault.HUB_BY_NAME["hub_passengers"]
+    target = vault.build_hub(hub, early, LOAD_TS)
+    rows = vault.build_hub(hub, t["tickets"], LOAD_TS)
+    return sinks.insert_if_absent(target, rows, [hub.hash_col])
+
+
+@register("upsert_frequent_flyers")
+def _op_upsert(spark, sf_dir):
+    """Mart after two runs: run of 2001-07-01 upserted with the run of 2001-08-01."""
+    t = _airline(spark, sf_dir)
+    earlier = marts.build_frequent_flyers(t, dt.date(2001, 7, 1), created_at="2001-07-01 00:00:00")
+    latest = marts.build_frequent_flyers(t, AS_OF, created_at=LOAD_TS)
+    return sinks.upsert(earlier, latest, ["passenger_id"])
+
+
+@register("table_diff_ticket_flights")
+def _op_diff(spark, sf_dir):
+    """Multiset difference of two ticket_flights snapshots, tagged by side."""
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    a = fixture.ticket_flights_snapshot(li, fixture.SNAPSHOT_OLD_FLAGS)
+    b = fixture.ticket_flights_snapshot(li, fixture.SNAPSHOT_NEW_FLAGS)
+    return quality.table_diff(a, b)
+
+
+@register("quality_report")
+def _op_quality(spark, sf_dir):
+    """Declared-constraint violations of the booking model: duplicate primary keys,
+    foreign-key orphans, NOT NULL and text-length violations (one row per check)."""
+    t = _airline(spark, sf_dir)
+    return checks.constraint_report(t)
+
+
+@register("flow_mart_rule_counts")
+def _op_rules(spark, sf_dir):
+    """Violation counts of the passenger-flow mart's publish rules."""
+    rows = marts.build_airport_passenger_flow(_airline(spark, sf_dir), AS_OF, created_at=LOAD_TS)
+    return quality.rule_counts(rows, marts.flow_rules())
+
+
+# --- satellites with two versions (as-written fan-out vs latest version) -------------------
+def _two_load_vault(spark, sf_dir):
+    first = vault.build_vault(fixture.airline_tables(spark, sf_dir, dt.date(2001, 7, 31)), "2001-07-31 00:00:00")
+    second = vault.build_vault(_airline(spark, sf_dir), LOAD_TS)
+    out = {}
+    for name in vault.TABLES:
+        if name.startswith("sat_"):
+            out[name] = first[name].unionByName(second[name])
+        else:
+            key = (vault.HUB_BY_NAME[name].hash_col if name in vault.HUB_BY_NAME
+                   else vault.LINK_BY_NAME[name].hash_col)
+            out[name] = first[name].unionByName(sinks.insert_if_absent(first[name], second[name], [key]))
+    return out
+
+
+@register("airport_traffic_share_two_loads")
+def _q3_two(spark, sf_dir):
+    """Q3 as written over a history layer with two versions of every satellite row."""
+    return dashboards.airport_traffic_share(_two_load_vault(spark, sf_dir), AS_OF)
+
+
+@register("airport_traffic_share_latest")
+def _q3_latest(spark, sf_dir):
+    """Q3 over the same two-load history, reading only the latest satellite versions."""
+    return dashboards.airport_traffic_share(_two_load_vault(spark, sf_dir), AS_OF, latest=True)
+
+
+@register("passenger_metrics_30d_corrected")
+def _q4c(spark, sf_dir):
+    """Q4 with latest versions and ticket-flight amounts as revenue."""
+    return dashboards.passenger_metrics_30d(_vault(spark, sf_dir), AS_OF, latest=True, revenue="ticket_amount")
+
+
+@register("passenger_groups_revenue_corrected")
+def _q5c(spark, sf_dir):
+    """Q5 with latest versions and ticket-flight amounts as revenue."""
+    return dashboards.passenger_groups_revenue(_vault(spark, sf_dir), AS_OF, latest=True, revenue="ticket_amount")
