@@ -28,7 +28,7 @@ ENVELOPE = T.StructType([T.StructField("payload", T.StructType([
     T.StructField("before", T.StringType()),
     T.StructField("after", T.StringType()),
     T.StructField("ts_ms", T.LongType()),
-]))])
+])), T.StructField("_malformed", T.StringType())])
 
 # Kafka-like columns every source is brought to.
 FEED_COLUMNS = ["topic", "partition", "offset", "timestamp", "key", "value"]
@@ -70,10 +70,10 @@ def cdc_source(spark: SparkSession, kind: str = "kafka", path: str | None = None
 def parse_envelopes(feed: DataFrame) -> DataFrame:
     """Adds `env` (parsed envelope, NULL if the value is not JSON) and
     `reject_reason` (NULL for parseable messages with a payload)."""
-    env = F.from_json(F.col("value"), ENVELOPE, {"mode": "PERMISSIVE"})
+    env = F.from_json(F.col("value"), ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
     df = feed.withColumn("env", env)
     reason = (F.when(F.col("value").isNull(), F.lit("tombstone"))
-              .when(F.col("env").isNull(), F.lit("malformed"))
+              .when(F.col("env").isNull() | F.col("env._malformed").isNotNull(), F.lit("malformed"))
               .when(F.col("env.payload").isNull(), F.lit("no_payload")))
     return df.withColumn("reject_reason", reason)
 
