@@ -190,8 +190,8 @@ def build_satellite(sat: Satellite, src: DataFrame, load_ts) -> DataFrame:
                       hash_columns(rows, [*keys, *sat.payload]).alias("hash_diff"))
     out = with_lineage(out, _load_col(out, load_ts)).drop(*extra)
     out = out.select(pid, "load_date", *sat.payload, "record_source", "source_system_id", "hash_diff")
-    # a redelivered message repeats (parent, load time, content): keep it once
-    return out.dropDuplicates([pid, "load_date", "hash_diff"]) if load_ts is None else out
+    # a redelivered message repeats (parent, load time, content) and so the whole row: keep it once
+    return out.distinct() if load_ts is None else out
 
 
 def build_vault(t: dict[str, DataFrame], load_ts, tables: list[str] | None = None) -> dict[str, DataFrame]:
@@ -247,8 +247,8 @@ def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None
     rows = rows.join(current.select(pid, "hash_diff"), [pid, "hash_diff"], "left_anti")
     # inside one batch: drop a version equal to the one just before it
     w = Window.partitionBy(pid).orderBy("load_date")
-    prev = F.lag("hash_diff").over(w)
-    return rows.where(prev.isNull() | (prev != F.col("hash_diff")))
+    rows = rows.withColumn("_prev", F.lag("hash_diff").over(w))
+    return rows.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("hash_diff"))).drop("_prev")
 
 
 def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id: int, load_ts,
