@@ -47,7 +47,8 @@ MAX_RANK_BUCKETS = 256
 
 
 def percent_rank(df: DataFrame, col: str, descending: bool = True, out: str = "percent_rank",
-                 buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
+                 buckets: int | None = None, relative_error: float | None = None,
+                 materialize: bool = True) -> DataFrame:
     """Exact `PERCENT_RANK() OVER (ORDER BY col [DESC])` without a one-partition sort.
 
     1. rows are counted per distinct value (a value held by a third of all rows
@@ -60,8 +61,15 @@ def percent_rank(df: DataFrame, col: str, descending: bool = True, out: str = "p
     4. inside a bucket a window (partitioned by bucket) gives the rows ahead of
        each value; rank = 1 + prefix + rows ahead; pr = (rank-1)/(n-1), 0 if n=1.
     NULL values sort first in DESC and last in ASC (PostgreSQL order).
+
+    The quantile pass and the ranking pass both read `df`; with
+    `materialize=True` it is computed once into the shared checkpoint folder
+    (lineage cut), so an expensive upstream join runs once, not twice.
     """
     spark = df.sparkSession
+    if materialize:
+        from .sinks import materialise
+        df = materialise(df)
     v = F.col(col)
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     # one range bucket per shuffle partition, capped: the bucket expression is a
@@ -122,17 +130,18 @@ def bucket_by_thresholds(x: Column, thresholds: Sequence[float], labels: Sequenc
 
 
 # --- share of total ------------------------------------------------------------
-def share_of_total(df: DataFrame, col: str, out: str | None = None, scale: int = 2) -> DataFrame:
+def share_of_total(df: DataFrame, col: str | dict[str, str], out: str | None = None, scale: int = 2) -> DataFrame:
     """`ROUND(100.0 * col / SUM(col) OVER (), scale)` computed exactly (half-up).
 
-    `col` must be a non-negative integer count (or money already in cents).
-    The input is an aggregate keyed by a small domain (airports, groups): the
-    grand total is a one-row aggregate broadcast back to every row.
+    `col` is one column (result in `out`) or a mapping {column: output}; all
+    shares come from one window pass. Columns must be non-negative integer
+    counts (or money already in cents). The input must be an aggregate over a
+    small, bounded key domain (airports, passenger groups): the empty-window
+    total runs in one task, over those few rows only.
     """
-    out = out or f"{col}_share_percent"
-    total = df.agg(F.sum(col).alias("_total")).withColumn("_k", F.lit(1))
-    return (df.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-            .withColumn(out, percent_half_up(F.col(col), F.col("_total"), scale)).drop("_k", "_total"))
+    cols = {col: out or f"{col}_share_percent"} if isinstance(col, str) else dict(col)
+    w = Window.partitionBy()
+    return df.withColumns({o: percent_half_up(F.col(c), F.sum(c).over(w), scale) for c, o in cols.items()})
 
 
 # --- versions ------------------------------------------------------------------

@@ -121,8 +121,8 @@ def airport_traffic_share(v, as_of, until=None, latest=False) -> DataFrame:
              .groupBy("airport_code", "airport_name")
              .agg(F.sum(F.col("_rows") * F.col("av")).alias("total_flights"),
                   F.max("total_passengers").alias("total_passengers")))
-    out = share_of_total(stats, "total_flights", "flight_share_percent")
-    out = share_of_total(out, "total_passengers", "passenger_share_percent")
+    out = share_of_total(stats, {"total_flights": "flight_share_percent",
+                                 "total_passengers": "passenger_share_percent"})
     return (out.select("airport_code", "airport_name", "total_flights", "flight_share_percent",
                        "total_passengers", "passenger_share_percent")
             .orderBy(F.desc_nulls_first("total_flights")))
