@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_values, surrogate_id,
                               with_lineage)
+from ..lazy import LazyTables
 from ..operators.ranking import latest_version
 from ..operators.sinks import append_batch, insert_if_absent, path_exists
 
@@ -122,16 +123,17 @@ def _parse_ref(ref: str) -> tuple[str, str | None]:
 
 
 # --- sources ------------------------------------------------------------------------
-def sources(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def sources(t) -> LazyTables:
     """Booking-model tables plus `ticket_legs` (ticket_flights with the ticket's
     booking and passenger, and its boarding pass if any) when its inputs exist."""
-    out = dict(t)
+    factories = {n: (lambda n=n: t[n]) for n in t}
     if {"tickets", "ticket_flights", "boarding_passes"} <= set(t):
-        tk = t["tickets"].select("ticket_no", "book_ref", "passenger_id")
-        bp = t["boarding_passes"].select("ticket_no", "flight_id", "boarding_no", "seat_no")
-        out["ticket_legs"] = (t["ticket_flights"].join(tk, "ticket_no")
-                              .join(bp, ["ticket_no", "flight_id"], "left"))
-    return out
+        def legs():
+            tk = t["tickets"].select("ticket_no", "book_ref", "passenger_id")
+            bp = t["boarding_passes"].select("ticket_no", "flight_id", "boarding_no", "seat_no")
+            return t["ticket_flights"].join(tk, "ticket_no").join(bp, ["ticket_no", "flight_id"], "left")
+        factories["ticket_legs"] = legs
+    return LazyTables(factories)
 
 
 def _load_col(src: DataFrame, load_ts) -> Column:
@@ -194,25 +196,26 @@ def build_satellite(sat: Satellite, src: DataFrame, load_ts) -> DataFrame:
     return out.distinct() if load_ts is None else out
 
 
-def build_vault(t: dict[str, DataFrame], load_ts, tables: list[str] | None = None) -> dict[str, DataFrame]:
-    """History tables for one load of the booking model (lazy).
+def build_vault(t, load_ts, tables: list[str] | None = None) -> LazyTables:
+    """History tables for one load of the booking model (lazy: each table's
+    plan is built when first used).
 
     `load_ts=None` means the sources are change images that carry their own
     message time in `_load_ts`. Only tables whose source is present are built.
     """
     src = sources(t)
     want = set(tables or TABLES)
-    out = {}
+    factories = {}
     for h in HUBS:
         if h.name in want and h.source in src:
-            out[h.name] = build_hub(h, src[h.source], load_ts)
+            factories[h.name] = (lambda h=h: build_hub(h, src[h.source], load_ts))
     for lk in LINKS:
         if lk.name in want and lk.source in src:
-            out[lk.name] = build_link(lk, src[lk.source], load_ts)
+            factories[lk.name] = (lambda lk=lk: build_link(lk, src[lk.source], load_ts))
     for s in SATELLITES:
         if s.name in want and s.source in src:
-            out[s.name] = build_satellite(s, src[s.source], load_ts)
-    return out
+            factories[s.name] = (lambda s=s: build_satellite(s, src[s.source], load_ts))
+    return LazyTables(factories)
 
 
 # --- incremental load -------------------------------------------------------------------

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from .plans import dashboards, marts, traffic, vault
 from .session import apply_required_conf
 from .functions import keys
+from .lazy import LazyTables
 from .operators import joins, quality, ranking, sinks
 from .plans import checks
 from .sources import cdc, fixture
@@ -280,15 +281,13 @@ def _op_rules(spark, sf_dir):
 def _two_load_vault(spark, sf_dir):
     first = vault.build_vault(fixture.airline_tables(spark, sf_dir, dt.date(2001, 7, 31)), "2001-07-31 00:00:00")
     second = vault.build_vault(_airline(spark, sf_dir), LOAD_TS)
-    out = {}
-    for name in vault.TABLES:
+
+    def combined(name):
         if name.startswith("sat_"):
-            out[name] = first[name].unionByName(second[name])
-        else:
-            key = (vault.HUB_BY_NAME[name].hash_col if name in vault.HUB_BY_NAME
-                   else vault.LINK_BY_NAME[name].hash_col)
-            out[name] = first[name].unionByName(sinks.insert_if_absent(first[name], second[name], [key]))
-    return out
+            return first[name].unionByName(second[name])
+        key = vault.HUB_BY_NAME[name].hash_col if name in vault.HUB_BY_NAME else vault.LINK_BY_NAME[name].hash_col
+        return first[name].unionByName(sinks.insert_if_absent(first[name], second[name], [key]))
+    return LazyTables({n: (lambda n=n: combined(n)) for n in vault.TABLES})
 
 
 @register("airport_traffic_share_two_loads")

@@ -15,6 +15,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..lazy import LazyTables
+
 # Fixed values of the projection (FIXTURES.md §2). They must equal the ones in
 # the SQL oracle for results to match.
 DEFAULT_AS_OF = dt.date(2001, 8, 1)
@@ -137,20 +139,26 @@ def seats(aircraft: DataFrame, rows_per_aircraft: int = 4) -> DataFrame:
                     F.element_at(fares, ((F.col("r") - 1) % 3 + 1).cast("int")).alias("fare_conditions")))
 
 
-def airline_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF) -> dict[str, DataFrame]:
-    """All eight booking-model tables, derived lazily from the driver tables."""
-    d = read_driver_tables(spark, sf_dir, ("region", "nation", "customer", "part", "orders", "lineitem"))
-    ac = aircrafts(d["part"])
-    return {
-        "airports": airports(d["nation"], d["region"]),
+def airline_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF) -> LazyTables:
+    """All eight booking-model tables, derived lazily from the driver tables
+    (each table's plan is built on first use)."""
+    d = LazyTables({n: (lambda n=n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet"))
+                    for n in ("region", "nation", "customer", "part", "orders", "lineitem")})
+    out: LazyTables
+
+    def ac():
+        return aircrafts(d["part"])
+    out = LazyTables({
+        "airports": lambda: airports(d["nation"], d["region"]),
         "aircrafts": ac,
-        "seats": seats(ac),
-        "flights": flights(d["part"], as_of),
-        "bookings": bookings(d["orders"]),
-        "tickets": tickets(d["orders"], d["customer"]),
-        "ticket_flights": ticket_flights(d["lineitem"]),
-        "boarding_passes": boarding_passes(d["lineitem"]),
-    }
+        "seats": lambda: seats(out["aircrafts"]),
+        "flights": lambda: flights(d["part"], as_of),
+        "bookings": lambda: bookings(d["orders"]),
+        "tickets": lambda: tickets(d["orders"], d["customer"]),
+        "ticket_flights": lambda: ticket_flights(d["lineitem"]),
+        "boarding_passes": lambda: boarding_passes(d["lineitem"]),
+    })
+    return out
 
 
 # --- change feed from `events` (FIXTURES.md §3) ---------------------------------------
