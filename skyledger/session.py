@@ -40,6 +40,10 @@ def build_session(master: str | None = None, app: str = "skyledger",
     })
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if (master or "").startswith("local"):
+        # one machine, small files: keep post-shuffle partitions small enough
+        # that all local cores get work (a cluster keeps its own sizing)
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "64k"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
