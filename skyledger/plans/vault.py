@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -127,7 +128,7 @@ def sources(t) -> LazyTables:
     """Booking-model tables plus `ticket_legs` (ticket_flights with the ticket's
     booking and passenger, and its boarding pass if any) when its inputs exist."""
     factories = {n: (lambda n=n: t[n]) for n in t}
-    if {"tickets", "ticket_flights", "boarding_passes"} <= set(t):
+    if "ticket_legs" not in t and {"tickets", "ticket_flights", "boarding_passes"} <= set(t):
         def legs():
             tk = t["tickets"].select("ticket_no", "book_ref", "passenger_id")
             bp = t["boarding_passes"].select("ticket_no", "flight_id", "boarding_no", "seat_no")
@@ -227,7 +228,10 @@ def read_vault(spark: SparkSession, root: str, before_batch: int | None = None)
         p = f"{root.rstrip('/')}/{name}"
         if not path_exists(spark, p):
             continue
-        df = spark.read.parquet(p)
+        try:
+            df = spark.read.parquet(p)
+        except AnalysisException:      # created by an empty batch: no data file yet
+            continue
         if before_batch is not None:
             df = df.where(F.col("batch_id") < before_batch)
         out[name] = df.drop("batch_id")

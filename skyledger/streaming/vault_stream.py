@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranking import latest_version
 from ..operators.sinks import append_batch
 from ..plans import vault
 from ..sources import cdc
@@ -27,9 +28,83 @@ DEFAULT_TABLES = ("airports", "aircrafts")
 
 def vault_tables_for(tables: Sequence[str]) -> list[str]:
     """History tables fed by the given source tables."""
-    out = [h.name for h in vault.HUBS if h.source in tables]
-    out += [lk.name for lk in vault.LINKS if lk.source in tables]
-    out += [s.name for s in vault.SATELLITES if s.source in tables]
+    avail = set(tables) | ({"ticket_legs"} if {"ticket_flights", "boarding_passes"} & set(tables) else set())
+    out = [h.name for h in vault.HUBS if h.source in avail]
+    out += [lk.name for lk in vault.LINKS if lk.source in avail]
+    out += [s.name for s in vault.SATELLITES if s.source in avail]
+    return out
+
+
+LEG_KEYS = ["ticket_no", "flight_id"]
+
+
+def ticket_keys(src, stored) -> DataFrame | None:
+    """ticket_no -> (book_ref, passenger_id): from this batch's tickets images and,
+    for tickets loaded earlier, from the stored link and hubs (latest wins)."""
+    parts = []
+    if "tickets" in src:
+        parts.append(src["tickets"].select("ticket_no", "book_ref", "passenger_id", "_load_ts"))
+    if {"link_ticket_booking", "hub_bookings", "hub_passengers"} <= set(stored):
+        parts.append(stored["link_ticket_booking"]
+                     .select("ticket_no", "booking_hub_id", "passenger_hub_id", F.col("load_date").alias("_load_ts"))
+                     .join(stored["hub_bookings"].select("booking_hub_id", "book_ref"), "booking_hub_id")
+                     .join(stored["hub_passengers"].select("passenger_hub_id", "passenger_id"), "passenger_hub_id")
+                     .select("ticket_no", "book_ref", "passenger_id", "_load_ts"))
+    if not parts:
+        return None
+    keys = parts[0]
+    for p in parts[1:]:
+        keys = keys.unionByName(p)
+    return latest_version(keys, "ticket_no", "_load_ts").drop("_load_ts")
+
+
+def stream_ticket_legs(src, stored) -> DataFrame | None:
+    """Ticket legs (source of link_ticket_flight and its satellite) of one batch.
+
+    A ticket_flights image gets its ticket's booking and passenger (this batch
+    or stored) and the boarding pass of this batch, else the one of the current
+    stored version. A boarding pass arriving without its ticket_flights row
+    yields a new version carrying the current fare and amount.
+    """
+    keys = ticket_keys(src, stored)
+    if keys is None or not ({"ticket_flights", "boarding_passes"} & set(src)):
+        return None
+    sat_name = "sat_ticket_flight_details"
+    link_id = vault.ref_id("link_ticket_flight")
+    current = None
+    if sat_name in stored:
+        current = latest_version(stored[sat_name], "ticket_flight_link_id", "load_date").select(
+            "ticket_flight_link_id", F.col("fare_conditions").alias("_cur_fare"), F.col("amount").alias("_cur_amount"),
+            F.col("boarding_no").alias("_cur_boarding"), F.col("seat_no").alias("_cur_seat"))
+    bp = None
+    if "boarding_passes" in src:
+        bp = latest_version(src["boarding_passes"].select(*LEG_KEYS, "boarding_no", "seat_no", "_load_ts"),
+                            LEG_KEYS, "_load_ts")
+    legs = []
+    if "ticket_flights" in src:
+        tf = src["ticket_flights"].select(*LEG_KEYS, "fare_conditions", "amount", "_load_ts").join(keys, "ticket_no")
+        if bp is not None:
+            tf = tf.join(bp.select(*LEG_KEYS, "boarding_no", "seat_no"), LEG_KEYS, "left")
+        else:
+            tf = tf.withColumns({"boarding_no": F.lit(None).cast("int"), "seat_no": F.lit(None).cast("string")})
+        if current is not None:
+            tf = (tf.withColumn("ticket_flight_link_id", link_id).join(current, "ticket_flight_link_id", "left")
+                  .withColumns({"boarding_no": F.coalesce("boarding_no", "_cur_boarding"),
+                                "seat_no": F.coalesce("seat_no", "_cur_seat")}))
+        legs.append(tf.select(*LEG_KEYS, "book_ref", "passenger_id", "fare_conditions", "amount",
+                              "boarding_no", "seat_no", "_load_ts"))
+    if bp is not None and current is not None:
+        only_bp = bp.join(src["ticket_flights"].select(*LEG_KEYS), LEG_KEYS, "left_anti") \
+            if "ticket_flights" in src else bp
+        b = (only_bp.join(keys, "ticket_no").withColumn("ticket_flight_link_id", link_id)
+             .join(current, "ticket_flight_link_id"))
+        legs.append(b.select(*LEG_KEYS, "book_ref", "passenger_id", F.col("_cur_fare").alias("fare_conditions"),
+                             F.col("_cur_amount").alias("amount"), "boarding_no", "seat_no", "_load_ts"))
+    if not legs:
+        return None
+    out = legs[0]
+    for x in legs[1:]:
+        out = out.unionByName(x)
     return out
 
 
@@ -51,6 +126,11 @@ def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Seque
             append_batch(cdc.quarantine(staged), quarantine_path, batch_id)
         changes = cdc.parse_changes(staged, include_snapshot)
         src = change_sources(changes, tables, include_snapshot, prefix)
+        if {"ticket_flights", "boarding_passes"} & set(tables):
+            legs = stream_ticket_legs(src, vault.read_vault(spark, root, before_batch=batch_id))
+            src = {k: v for k, v in src.items() if k not in ("ticket_flights", "boarding_passes")}
+            if legs is not None:
+                src["ticket_legs"] = legs
         vault.load_vault(spark, src, root, batch_id, load_ts=None, on_unchanged=on_unchanged,
                          tables=vault_tables_for(tables))
     finally:
@@ -80,4 +160,10 @@ def batch_load_from_feed(spark: SparkSession, feed: DataFrame, tables: Sequence[
     """The history rows one batch of `feed` produces on an empty layer (lazy):
     the same plan the stream runs per micro-batch, as a static DataFrame."""
     changes = cdc.parse_changes(feed, include_snapshot)
-    return vault.build_vault(change_sources(changes, tables, include_snapshot), None, vault_tables_for(tables))
+    src = change_sources(changes, tables, include_snapshot)
+    if {"ticket_flights", "boarding_passes"} & set(tables):
+        legs = stream_ticket_legs(src, {})
+        src = {k: v for k, v in src.items() if k not in ("ticket_flights", "boarding_passes")}
+        if legs is not None:
+            src["ticket_legs"] = legs
+    return vault.build_vault(src, None, vault_tables_for(tables))
