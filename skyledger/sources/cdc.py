@@ -67,15 +67,21 @@ def cdc_source(spark: SparkSession, kind: str = "kafka", path: str | None = None
 
 
 # --- parsing ---------------------------------------------------------------------------
+def _envelope(value: Column) -> Column:
+    return F.from_json(value, ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+
+
+def _reject_reason(value_is_null: Column, env: Column) -> Column:
+    return (F.when(value_is_null, F.lit("tombstone"))
+            .when(env.isNull() | env["_malformed"].isNotNull(), F.lit("malformed"))
+            .when(env["payload"].isNull(), F.lit("no_payload")))
+
+
 def parse_envelopes(feed: DataFrame) -> DataFrame:
-    """Adds `env` (parsed envelope, NULL if the value is not JSON) and
-    `reject_reason` (NULL for parseable messages with a payload)."""
-    env = F.from_json(F.col("value"), ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
-    df = feed.withColumn("env", env)
-    reason = (F.when(F.col("value").isNull(), F.lit("tombstone"))
-              .when(F.col("env").isNull() | F.col("env._malformed").isNotNull(), F.lit("malformed"))
-              .when(F.col("env.payload").isNull(), F.lit("no_payload")))
-    return df.withColumn("reject_reason", reason)
+    """Adds `env` (parsed envelope) and `reject_reason` (NULL for parseable
+    messages with a payload)."""
+    df = feed.withColumn("env", _envelope(F.col("value")))
+    return df.withColumn("reject_reason", _reject_reason(F.col("value").isNull(), F.col("env")))
 
 
 def parse_changes(feed: DataFrame, include_snapshot: bool = False, ops: Sequence[str] = ACCEPTED_OPS) -> DataFrame:
@@ -83,14 +89,21 @@ def parse_changes(feed: DataFrame, include_snapshot: bool = False, ops: Sequence
 
     Duplicate deliveries of one message (same topic/partition/offset) are kept
     once; a message with no usable image is skipped, as the reference does.
+    Each value is parsed once: the parsed envelope goes through the
+    de-duplicating aggregate, and only then is it filtered (a filter written
+    directly over `from_json` would be pushed below it and re-parse the
+    message once per reference).
     """
     accepted = list(ops) + (["r"] if include_snapshot else [])
-    p = parse_envelopes(feed).where(F.col("reject_reason").isNull())
+    keys = ["topic", "partition", "offset"]
+    parsed = (feed.select(*keys, "timestamp", F.col("value").isNull().alias("_tomb"),
+                          _envelope(F.col("value")).alias("env"))
+              .dropDuplicates(keys))
     op = F.col("env.payload.op")
     data = F.when(op != "d", F.col("env.payload.after")).otherwise(F.col("env.payload.before"))
-    out = (p.select("topic", "partition", "offset", "timestamp", op.alias("op"), data.alias("data"))
-           .where(F.col("op").isin(*accepted) & F.col("data").isNotNull() & (F.col("data") != "null")))
-    return out.dropDuplicates(["topic", "partition", "offset"])
+    out = (parsed.where(_reject_reason(F.col("_tomb"), F.col("env")).isNull())
+           .select(*keys, "timestamp", op.alias("op"), data.alias("data")))
+    return out.where(F.col("op").isin(*accepted) & F.col("data").isNotNull() & (F.col("data") != "null"))
 
 
 def quarantine(feed: DataFrame) -> DataFrame:
