@@ -182,9 +182,14 @@ def aircraft_image(events: DataFrame) -> Column:
                     (F.col("user_id") * 10).cast("int").alias("range"))
 
 
-def change_feed(events: DataFrame, prefix: str = "airline.public") -> DataFrame:
+def change_feed(events: DataFrame, prefix: str = "airline.public", partitions: int = 8) -> DataFrame:
     """Kafka-like change messages: every event becomes one airports message and
-    one aircrafts message, offset = event_id, message time = event ts."""
+    one aircrafts message, offset = event_id, message time = event ts.
+
+    Like a keyed topic, messages are spread over `partitions` topic partitions
+    by a hash of their key (Spark partitions follow them), so parsing runs in
+    parallel as it does when reading a real topic.
+    """
     op = F.try_element_at(F.create_map(*[F.lit(x) for kv in EVENT_OPS.items() for x in kv]), F.col("event_type"))
 
     def envelope(img: Column) -> Column:
@@ -194,12 +199,16 @@ def change_feed(events: DataFrame, prefix: str = "airline.public") -> DataFrame:
                                            (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("long")
                                            .alias("ts_ms")).alias("payload")))
 
+    key = F.col("user_id").cast("string")
+    part = F.pmod(F.hash(key), F.lit(partitions)).cast("int")
     msgs = F.array(
         F.struct(F.lit(f"{prefix}.airports").alias("topic"), envelope(airport_image(events)).alias("value")),
         F.struct(F.lit(f"{prefix}.aircrafts").alias("topic"), envelope(aircraft_image(events)).alias("value")),
     )
-    return (events.select("event_id", "ts", "user_id", F.explode(msgs).alias("m"))
-            .select(F.col("m.topic").alias("topic"), F.lit(0).alias("partition"),
+    keyed = events.select("event_id", "ts", "user_id", "event_type", "value",
+                          part.alias("partition")).repartition(partitions, "partition")
+    return (keyed.select("event_id", "ts", "user_id", "partition", F.explode(msgs).alias("m"))
+            .select(F.col("m.topic").alias("topic"), "partition",
                     F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
                     F.col("user_id").cast("string").alias("key"), F.col("m.value").alias("value")))
 
