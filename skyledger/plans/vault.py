@@ -244,18 +244,22 @@ def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None
     behaviour) except exact repeats of a stored one (same parent, load time and
     hash: a redelivered message). "skip": also versions equal to the parent's
     latest stored version (the intended use of hash_diff)."""
-    if stored is None:
-        return rows
     pid = _parent_cols(sat)[0]
-    rows = rows.join(stored.select(pid, "load_date", "hash_diff"), [pid, "load_date", "hash_diff"], "left_anti")
+    if stored is not None:
+        rows = rows.join(stored.select(pid, "load_date", "hash_diff"), [pid, "load_date", "hash_diff"], "left_anti")
     if on_unchanged == "append":
         return rows
-    current = latest_version(stored.select(pid, "load_date", "hash_diff"), pid, "load_date")
-    rows = rows.join(current.select(pid, "hash_diff"), [pid, "hash_diff"], "left_anti")
-    # inside one batch: drop a version equal to the one just before it
-    w = Window.partitionBy(pid).orderBy("load_date")
-    rows = rows.withColumn("_prev", F.lag("hash_diff").over(w))
-    return rows.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("hash_diff"))).drop("_prev")
+    # each version against its predecessor; the parent's current stored
+    # version (only for parents in this batch) seeds the sequence
+    seq = rows.withColumn("_stored", F.lit(False))
+    if stored is not None:
+        current = latest_version(stored.select(pid, "load_date", "hash_diff"), pid, "load_date")
+        current = current.join(rows.select(pid).distinct(), pid, "left_semi").withColumn("_stored", F.lit(True))
+        seq = seq.unionByName(current, allowMissingColumns=True)
+    w = Window.partitionBy(pid).orderBy("load_date", F.col("_stored").desc())
+    seq = seq.withColumn("_prev", F.lag("hash_diff").over(w))
+    keep = ~F.col("_stored") & (F.col("_prev").isNull() | (F.col("_prev") != F.col("hash_diff")))
+    return seq.where(keep).drop("_prev", "_stored")
 
 
 def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id: int, load_ts,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .plans import dashboards, marts, traffic, vault
-from .session import apply_required_conf
+from .session import apply_required_conf, scratch_path
 from .functions import keys
 from .lazy import LazyTables
 from .operators import joins, quality, ranking, sinks
@@ -312,3 +312,15 @@ def _q4c(spark, sf_dir):
 def _q5c(spark, sf_dir):
     """Q5 with latest versions and ticket-flight amounts as revenue."""
     return dashboards.passenger_groups_revenue(_vault(spark, sf_dir), AS_OF, latest=True, revenue="ticket_amount")
+
+
+@register("replace_partition_flow")
+def _op_replace(spark, sf_dir):
+    """Passenger-flow mart table after three publishes (day 1 and day 2 as written,
+    then day 2 replaced by its corrected rows), read back from storage."""
+    t = _airline(spark, sf_dir)
+    target = scratch_path(spark, "airport-passenger-flow")
+    for as_of, corrected in ((dt.date(2001, 7, 31), False), (AS_OF, False), (AS_OF, True)):
+        rows = marts.build_airport_passenger_flow(t, as_of, created_at=LOAD_TS, corrected=corrected)
+        sinks.replace_partitions(rows, target, ["flight_date"])
+    return spark.read.parquet(target)

@@ -256,3 +256,37 @@ def test_parse_changes_filters(spark):
         [(1, "c"), (5, "r"), (6, "d")]
     q = sorted((r.offset, r.reject_reason) for r in cdc.quarantine(feed).collect())
     assert q == [(2, "no_payload"), (3, "malformed")]
+
+
+def test_mark_changes(spark):
+    from skyledger.operators.ranking import mark_changes
+    df = spark.createDataFrame([(1, 1, "h1"), (1, 2, "h1"), (1, 3, "h2"), (1, 4, "h1"), (2, 1, "x")],
+                               "p int, seq int, hash_diff string")
+    got = sorted((r.p, r.seq, r.is_change) for r in mark_changes(df, "p", "seq").collect())
+    assert got == [(1, 1, True), (1, 2, False), (1, 3, True), (1, 4, True), (2, 1, True)]
+
+
+def test_key_checks_raise(spark):
+    from skyledger.operators.quality import DataQualityError, check_foreign_key, check_unique, orphans
+    parent = spark.createDataFrame([("A",), ("B",)], "code string")
+    child = spark.createDataFrame([(1, "A"), (2, None), (3, "C")], "id int, code string")
+    assert [r.id for r in orphans(child, ["code"], parent, ["code"]).collect()] == [3]   # NULL exempt
+    with pytest.raises(DataQualityError):
+        check_foreign_key(child, ["code"], parent, ["code"])
+    check_unique(parent, ["code"])
+    with pytest.raises(DataQualityError):
+        check_unique(child.union(child), ["id"])
+
+
+def test_schema_violations(spark):
+    from skyledger.operators.quality import schema_violations
+    df = spark.createDataFrame([("AB", None), ("ABC", "x")], "airport_code string, airport_name string")
+    r = schema_violations(df, OLTP["airports"], {"airport_code": ("char", 3)}).first().asDict()
+    assert r["airport_code_length"] == 1 and r["airport_name_null"] == 1 and r["airport_code_null"] == 0
+
+
+def test_table_diff_multiset(spark):
+    from skyledger.operators.quality import table_diff
+    a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    b = spark.createDataFrame([(1,), (3,)], "x int")
+    assert sorted((r.x, r.side) for r in table_diff(a, b).collect()) == [(1, "a"), (2, "a"), (3, "b")]

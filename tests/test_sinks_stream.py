@@ -148,3 +148,43 @@ def test_stream_of_all_tables_equals_batch_history(spark, scratch):
         a = sorted(tuple(r) for r in streamed[name].select(*cols).distinct().collect())
         b = sorted(tuple(r) for r in batch[name].select(*cols).distinct().collect())
         assert a == b, name
+
+
+def test_ensure_dataset_creates_once(spark, scratch):
+    sinks.ensure_dataset(spark, scratch, MARTS["airport_passenger_flow"], partition_by=["flight_date"])
+    assert spark.read.schema(MARTS["airport_passenger_flow"]).parquet(scratch).count() == 0
+    sinks.ensure_dataset(spark, scratch, MARTS["airport_passenger_flow"])      # exists: no-op
+    v = f"{scratch}-v"
+    sinks.ensure_dataset(spark, v, MARTS["frequent_flyers"], versioned=True)
+    assert sinks.versions(spark, v) == [0]
+
+
+def test_stream_snapshot_reads_and_unchanged_skip(spark, scratch):
+    feed_rows = [
+        {"topic": "airline.public.airports", "partition": 0, "offset": i, "timestamp": f"2024-01-01T00:00:0{i}",
+         "key": "AAA", "value": json.dumps({"payload": {"op": op, "after": {
+             "airport_code": "AAA", "airport_name": name, "city": "C", "coordinates_lon": 1.0,
+             "coordinates_lat": 2.0, "timezone": "UTC"}}})}
+        for i, (op, name) in enumerate([("r", "Snap"), ("u", "Snap"), ("u", "Snap"), ("u", "New")])]
+    src = f"{scratch}/feed".replace("file:", "")
+    _write_feed(src, feed_rows)
+    stream = cdc.cdc_source(spark, kind="json", path=src)
+    q = vault_stream.start_vault_stream(stream, f"{scratch}/vault", f"{scratch}/ckpt", tables=["airports"],
+                                        include_snapshot=True, on_unchanged="skip")
+    q.awaitTermination()
+    sat = vault.read_vault(spark, f"{scratch}/vault")["sat_airport_details"]
+    assert sorted(r.airport_name for r in sat.collect()) == ["New", "Snap"]   # unchanged updates skipped
+
+
+def test_skip_unchanged_compares_with_true_predecessor(spark):
+    sat = next(s for s in vault.SATELLITES if s.name == "sat_aircraft_details")
+    sch = "aircraft_hub_id long, load_date timestamp, model string, range int, hash_diff string"
+    T0 = dt.datetime(2024, 1, 1)
+    stored = spark.createDataFrame([(1, T0, "m", 1, "h1")], sch)
+    rows = spark.createDataFrame([(1, T0 + dt.timedelta(hours=h), "m", 1, hd)
+                                  for h, hd in ((1, "h1"), (2, "h2"), (3, "h2"), (4, "h1"))]
+                                 + [(2, T0, "m", 1, "x")], sch)
+    got = sorted((r.aircraft_hub_id, r.hash_diff, r.load_date.hour)
+                 for r in vault.new_satellite_rows(sat, rows, stored, "skip").collect())
+    assert got == [(1, "h1", 4), (1, "h2", 2), (2, "x", 0)]
+    assert vault.new_satellite_rows(sat, rows, stored, "append").count() == 5
