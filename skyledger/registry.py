@@ -22,6 +22,7 @@ from .lazy import LazyTables
 from .operators import joins, quality, ranking, sinks
 from .plans import checks
 from .sources import cdc, fixture
+from .sources.tables import read_tables, write_tables
 from .streaming import vault_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -324,3 +325,24 @@ def _op_replace(spark, sf_dir):
         rows = marts.build_airport_passenger_flow(t, as_of, created_at=LOAD_TS, corrected=corrected)
         sinks.replace_partitions(rows, target, ["flight_date"])
     return spark.read.parquet(target)
+
+
+def _replica(spark, sf_dir):
+    """The booking model written to storage and read back (a replica copy)."""
+    path = scratch_path(spark, "replica")
+    names = ("flights", "tickets", "ticket_flights")
+    write_tables({n: _airline(spark, sf_dir)[n] for n in names}, path)
+    return read_tables(spark, path, names=names)
+
+
+@register("airport_traffic_replica")
+def _q1_replica(spark, sf_dir):
+    """Q1 over a stored copy of the booking tables, read with the table reader."""
+    return traffic.airport_traffic(_replica(spark, sf_dir))
+
+
+@register("replica_diff_airport_traffic")
+def _q1_diff(spark, sf_dir):
+    """Rows in which Q1 on the primary tables and on the stored copy differ (none)."""
+    return quality.table_diff(traffic.airport_traffic(_airline(spark, sf_dir)),
+                              traffic.airport_traffic(_replica(spark, sf_dir)))
