@@ -16,12 +16,10 @@ that only pass a key through are semi-joins.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import cents, percent_half_up, round_half_up_ratio
+from ..functions.numeric import cents, round_half_up_ratio
 from ..operators.joins import broadcast_if_small, either_endpoint_join
 from ..operators.ranking import bucket_by_thresholds, latest_version, share_of_total
 
@@ -206,5 +204,4 @@ def daily_series(v, as_of, until=None, latest=False) -> DataFrame:
 
 
 __all__ = ["active_airports_30d", "airport_traffic_share", "dashboard_kpis", "daily_series",
-           "passenger_groups_revenue", "passenger_metrics_30d", "percent_half_up"]
-_ = dt
+           "passenger_groups_revenue", "passenger_metrics_30d"]

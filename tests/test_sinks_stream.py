@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 import os
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,7 +116,6 @@ def test_stream_loads_vault_and_resumes(spark, scratch):
     assert spark.read.parquet(quar).select("reject_reason").collect()[0].reject_reason == "malformed"
     assert sorted(r.batch_id for r in spark.read.parquet(f"{root}/hub_airports").select("batch_id")
                   .distinct().collect()) == [0]
-    _ = Decimal
 
 
 def test_stream_of_all_tables_equals_batch_history(spark, scratch):
