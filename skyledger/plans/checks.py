@@ -33,3 +33,39 @@ def constraint_report(t: dict[str, DataFrame]) -> DataFrame:
                     for c in cols])).alias("s")).select("s.*")
                 parts.append(stacked)
     return reduce(DataFrame.unionByName, parts)
+
+
+def vault_checks() -> list[tuple[str, str, list[str], str | None, list[str] | None]]:
+    """(check name, table, columns, parent table, parent columns) of the history
+    layer: unique hash keys and ids, unique (parent, load_date) per satellite,
+    and every reference resolving to its hub / link."""
+    from . import vault as V
+    checks = []
+    for h in V.HUBS:
+        checks.append((f"pk:{h.name}.{h.hash_col}", h.name, [h.hash_col], None, None))
+        checks.append((f"pk:{h.name}.{h.id_col}", h.name, [h.id_col], None, None))
+    for lk in V.LINKS:
+        checks.append((f"pk:{lk.name}.{lk.hash_col}", lk.name, [lk.hash_col], None, None))
+        checks.append((f"pk:{lk.name}.{lk.id_col}", lk.name, [lk.id_col], None, None))
+        for out, ref in lk.refs:
+            target = ref.split(":")[0]
+            tid = V.HUB_BY_NAME[target].id_col if target in V.HUB_BY_NAME else V.LINK_BY_NAME[target].id_col
+            checks.append((f"fk:{lk.name}.{out}", lk.name, [out], target, [tid]))
+    for s in V.SATELLITES:
+        pid = V.HUB_BY_NAME[s.parent].id_col if s.parent in V.HUB_BY_NAME else V.LINK_BY_NAME[s.parent].id_col
+        checks.append((f"pk:{s.name}.{pid}+load_date", s.name, [pid, "load_date"], None, None))
+        checks.append((f"fk:{s.name}.{pid}", s.name, [pid], s.parent, [pid]))
+    return checks
+
+
+def vault_report(v) -> DataFrame:
+    """One row per history-layer check: (check_name, violations)."""
+    parts = []
+    for name, table, cols, parent, pcols in vault_checks():
+        if parent is None:
+            bad = duplicate_keys(v[table], cols)
+        else:
+            bad = orphans(v[table], cols, v[parent], pcols)
+        parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"),
+                                                                            "violations"))
+    return reduce(DataFrame.unionByName, parts)

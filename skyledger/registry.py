@@ -346,3 +346,10 @@ def _q1_diff(spark, sf_dir):
     """Rows in which Q1 on the primary tables and on the stored copy differ (none)."""
     return quality.table_diff(traffic.airport_traffic(_airline(spark, sf_dir)),
                               traffic.airport_traffic(_replica(spark, sf_dir)))
+
+
+@register("vault_constraint_report")
+def _vault_report(spark, sf_dir):
+    """Key checks of the loaded history layer: unique hash keys / ids / versions,
+    and link and satellite references resolving to their hubs and links."""
+    return checks.vault_report(_vault(spark, sf_dir))
