@@ -69,7 +69,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        # unset: only in local tests. A fresh folder per session.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: configure a folder all executors share "
+                               "(a machine-local temporary folder does not work on a cluster)")
+        # unset in a local session (tests): a fresh folder per session
         d = tempfile.mkdtemp(prefix="skyledger-ckpt-", dir=os.environ.get("SKYLEDGER_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
