@@ -25,6 +25,18 @@ SOURCE_SYSTEM_ID = 1
 
 NULL_MARKER = "\\N"
 SEPARATOR = "\u001f"
+_NULL_SQL = NULL_MARKER.replace("\\", "\\\\")   # the marker as a SQL string literal body
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text_sql(name: str, dtype: T.DataType | None, compat: bool) -> str:
+    c = _q(name)
+    if compat and isinstance(dtype, T.BooleanType):
+        return f"CASE WHEN {c} THEN 'True' WHEN NOT {c} THEN 'False' END"
+    return f"CAST({c} AS STRING)"
 
 
 def _as_text(c: Column, dtype: T.DataType | None, compat: bool) -> Column:
@@ -42,14 +54,24 @@ def py_str(c: Column, dtype: T.DataType | None = None) -> Column:
     return F.coalesce(_as_text(c, dtype, True), F.lit("None"))
 
 
+def hash_sql(names: Iterable[str], types: dict | None = None, compat: bool = False) -> str:
+    """SQL text of the record hash of the named columns (column-name order)."""
+    types = types or {}
+    names = sorted(names)
+    if compat:
+        parts = [f"coalesce({_text_sql(n, types.get(n), True)}, 'None')" for n in names]
+        return f"md5(concat({', '.join(parts)}))"
+    parts = [f"coalesce({_text_sql(n, types.get(n), False)}, '{_NULL_SQL}')" for n in names]
+    return f"md5(concat_ws(char({ord(SEPARATOR)}), {', '.join(parts)}))"
+
+
 def hash_columns(df: DataFrame, cols: Iterable[str], compat: bool = False) -> Column:
-    """MD5 (32 hex chars) of the values of `cols`, in column-name order."""
+    """MD5 (32 hex chars) of the values of `cols`, in column-name order.
+
+    Built as one SQL expression (one call into the JVM however many columns).
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
-    names = sorted(cols)
-    if compat:
-        return F.md5(F.concat(*[py_str(F.col(n), types.get(n)) for n in names]))
-    parts = [F.coalesce(_as_text(F.col(n), types.get(n), False), F.lit(NULL_MARKER)) for n in names]
-    return F.md5(F.concat_ws(SEPARATOR, *parts))
+    return F.expr(hash_sql(cols, types, compat))
 
 
 def hash_values(*cols: Column) -> Column:
@@ -57,6 +79,11 @@ def hash_values(*cols: Column) -> Column:
     return F.md5(F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(NULL_MARKER)) for c in cols]))
 
 
+def surrogate_id_sql(hash_key_sql: str) -> str:
+    """SQL text of `surrogate_id` over a hash-key SQL expression."""
+    return f"CAST(conv(substr({hash_key_sql}, 1, 15), 16, 10) AS BIGINT)"
+
+
 def surrogate_id(hash_key: Column) -> Column:
     """Deterministic 60-bit BIGINT id from a hash key (first 15 hex digits).
 

@@ -23,8 +23,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_values, surrogate_id,
-                              with_lineage)
+from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_sql, surrogate_id,
+                              surrogate_id_sql, with_lineage)
 from ..lazy import LazyTables
 from ..operators.ranking import latest_version
 from ..operators.sinks import append_batch, insert_if_absent, path_exists
@@ -104,18 +104,20 @@ def hub_key_hash(c: Column) -> Column:
     return F.md5(c.cast("string"))
 
 
+def _hub_hash_sql(col: str) -> str:
+    return f"md5(CAST(`{col}` AS STRING))"
+
+
 def ref_id(target: str, src_col: str | None = None) -> Column:
     """Surrogate id of the hub / link a source row refers to (NULL key -> NULL)."""
     if target in LINK_BY_NAME:
-        lk = LINK_BY_NAME[target]
-        return surrogate_id(link_key_hash(lk))
-    hub = HUB_BY_NAME[target]
-    c = F.col(src_col or hub.key)
-    return F.when(c.isNotNull(), surrogate_id(hub_key_hash(c)))
+        return F.expr(surrogate_id_sql(hash_sql(LINK_BY_NAME[target].key_cols)))
+    col = src_col or HUB_BY_NAME[target].key
+    return F.expr(f"CASE WHEN `{col}` IS NOT NULL THEN {surrogate_id_sql(_hub_hash_sql(col))} END")
 
 
 def link_key_hash(lk: Link) -> Column:
-    return hash_values(*[F.col(c) for c in sorted(lk.key_cols)])
+    return F.expr(hash_sql(lk.key_cols))
 
 
 def _parse_ref(ref: str) -> tuple[str, str | None]:
