@@ -69,6 +69,17 @@ def _q1(spark, sf_dir):
     return traffic.airport_traffic(_airline(spark, sf_dir))
 
 
+@register("airport_traffic_trusted_keys")
+def _q1_trusted(spark, sf_dir):
+    """Q1 without the ticket-existence join, once the declared keys are verified
+    (ticket_no unique in tickets, every ticket_flights row has its ticket);
+    in production the check runs once at load time, not per query."""
+    t = _airline(spark, sf_dir)
+    quality.check_unique(t["tickets"], ["ticket_no"])
+    quality.check_foreign_key(t["ticket_flights"], ["ticket_no"], t["tickets"], ["ticket_no"])
+    return traffic.airport_traffic(t, trust_foreign_keys=True)
+
+
 @register("airport_passenger_flow")
 def _q7(spark, sf_dir):
     """Q7: passenger-flow mart rows for as_of - 1 day, as the reference computes them."""
