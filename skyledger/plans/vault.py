@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_sql, surrogate_id,
                               surrogate_id_sql, with_lineage)
 from ..lazy import LazyTables
+from ..operators.joins import broadcast_if_small
 from ..operators.ranking import latest_version
 from ..operators.sinks import append_batch, insert_if_absent, path_exists
 
@@ -264,6 +265,18 @@ def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None
     return seq.where(keep).drop("_prev", "_stored")
 
 
+def stored_for_batch(stored: DataFrame, rows: DataFrame, cols: list[str]) -> DataFrame:
+    """The part of a stored table whose `cols` occur in this batch.
+
+    A batch is small next to the history it is checked against: its distinct
+    keys are broadcast when provably small and the stored table is filtered in
+    its scan tasks, so the anti-joins that follow touch only the batch's keys
+    instead of shuffling the whole history every batch.
+    """
+    keys = broadcast_if_small(rows.select(*cols).distinct())
+    return stored.join(keys, cols, "left_semi")
+
+
 def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id: int, load_ts,
                on_unchanged: str = "append", tables: list[str] | None = None) -> dict[str, DataFrame]:
     """Load one batch of booking-model rows (or change images) into the stored
@@ -275,12 +288,14 @@ def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id
         if name in HUB_BY_NAME or name in LINK_BY_NAME:
             key = HUB_BY_NAME[name].hash_col if name in HUB_BY_NAME else LINK_BY_NAME[name].hash_col
             if name in stored:
-                rows = insert_if_absent(stored[name], rows, [key])
+                rows = insert_if_absent(stored_for_batch(stored[name], rows, [key]), rows, [key])
             else:
                 rows = rows.dropDuplicates([key])
         else:
             sat = next(s for s in SATELLITES if s.name == name)
-            rows = new_satellite_rows(sat, rows, stored.get(name), on_unchanged)
+            pid = _parent_cols(sat)[0]
+            past = stored_for_batch(stored[name], rows, [pid]) if name in stored else None
+            rows = new_satellite_rows(sat, rows, past, on_unchanged)
         append_batch(rows, f"{root.rstrip('/')}/{name}", batch_id)
         written[name] = rows
     return written
