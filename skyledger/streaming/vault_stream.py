@@ -38,17 +38,33 @@ def vault_tables_for(tables: Sequence[str]) -> list[str]:
 LEG_KEYS = ["ticket_no", "flight_id"]
 
 
-def ticket_keys(src, stored) -> DataFrame | None:
+def _leg_rows(src) -> DataFrame | None:
+    """(ticket_no, flight_id) of this batch's ticket_flights and boarding_passes images."""
+    parts = [src[n].select(*LEG_KEYS) for n in ("ticket_flights", "boarding_passes") if n in src]
+    if not parts:
+        return None
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def ticket_keys(src, stored, wanted: DataFrame | None = None) -> DataFrame | None:
     """ticket_no -> (book_ref, passenger_id): from this batch's tickets images and,
-    for tickets loaded earlier, from the stored link and hubs (latest wins)."""
+    for tickets loaded earlier, from the stored link and hubs (latest wins).
+    With `wanted` (rows with ticket_no) only those tickets are read from storage."""
     parts = []
     if "tickets" in src:
         parts.append(src["tickets"].select("ticket_no", "book_ref", "passenger_id", "_load_ts"))
     if {"link_ticket_booking", "hub_bookings", "hub_passengers"} <= set(stored):
-        parts.append(stored["link_ticket_booking"]
-                     .select("ticket_no", "booking_hub_id", "passenger_hub_id", F.col("load_date").alias("_load_ts"))
-                     .join(stored["hub_bookings"].select("booking_hub_id", "book_ref"), "booking_hub_id")
-                     .join(stored["hub_passengers"].select("passenger_hub_id", "passenger_id"), "passenger_hub_id")
+        link = stored["link_ticket_booking"]
+        if wanted is not None:
+            link = vault.stored_for_batch(link, wanted, ["ticket_no"])
+        link = link.select("ticket_no", "booking_hub_id", "passenger_hub_id", F.col("load_date").alias("_load_ts"))
+        hb = vault.stored_for_batch(stored["hub_bookings"], link, ["booking_hub_id"])
+        hp = vault.stored_for_batch(stored["hub_passengers"], link, ["passenger_hub_id"])
+        parts.append(link.join(hb.select("booking_hub_id", "book_ref"), "booking_hub_id")
+                     .join(hp.select("passenger_hub_id", "passenger_id"), "passenger_hub_id")
                      .select("ticket_no", "book_ref", "passenger_id", "_load_ts"))
     if not parts:
         return None
@@ -66,14 +82,20 @@ def stream_ticket_legs(src, stored) -> DataFrame | None:
     stored version. A boarding pass arriving without its ticket_flights row
     yields a new version carrying the current fare and amount.
     """
-    keys = ticket_keys(src, stored)
-    if keys is None or not ({"ticket_flights", "boarding_passes"} & set(src)):
+    batch_legs = _leg_rows(src)
+    if batch_legs is None:
+        return None
+    keys = ticket_keys(src, stored, batch_legs)
+    if keys is None:
         return None
     sat_name = "sat_ticket_flight_details"
     link_id = vault.ref_id("link_ticket_flight")
     current = None
     if sat_name in stored:
-        current = latest_version(stored[sat_name], "ticket_flight_link_id", "load_date").select(
+        # only the current versions of this batch's ticket legs are read
+        ids = batch_legs.join(keys, "ticket_no").select(link_id.alias("ticket_flight_link_id"))
+        past = vault.stored_for_batch(stored[sat_name], ids, ["ticket_flight_link_id"])
+        current = latest_version(past, "ticket_flight_link_id", "load_date").select(
             "ticket_flight_link_id", F.col("fare_conditions").alias("_cur_fare"), F.col("amount").alias("_cur_amount"),
             F.col("boarding_no").alias("_cur_boarding"), F.col("seat_no").alias("_cur_seat"))
     bp = None
