@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from skyledger.registry import QUERIES as BASE
 from tools.oracle_check import duck, rows_of
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = BASE
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in BASE}
 
 
 @pytest.fixture(scope="module")
