@@ -121,7 +121,8 @@ def stitch(rows: DataFrame, path: str, pattern: str, overlap: int) -> DataFrame:
                 base = len(piece) - over
                 if tail is None:  # no common boundary last time: take them from the last cut
                     tail = [x - base for x in coder.boundaries(piece) if base <= x < len(piece) - UNSURE]
-                common = set(tail).intersection(x for x in head if x < over)
+                # white space is matched by what follows it: no cut behind it
+                common = {x for x in set(tail).intersection(head) if x < over and not piece[base + x - 1].isspace()}
                 if common:
                     cut = min(common)
                     if base + cut:
