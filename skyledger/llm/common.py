@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-CHUNK_BYTES = 1 << 21  # text handled at once by the vectorised helpers (a longer single text is one chunk)
+CHUNK_BYTES = 1 << 19  # text handled at once by the vectorised helpers (a longer single text is one chunk)
 
 _rng = np.random.default_rng(20240531)
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
