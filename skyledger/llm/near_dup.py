@@ -39,6 +39,7 @@ HASHES = TREES * DEPTH
 MIN_DEPTH = 3
 WINDOW = 4
 BLOCK_SHINGLES = 400_000  # sets of one task's block
+SALTS = 32               # parts into which the copies of one set are dealt
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -283,7 +284,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # an id with several sets ties them together, too
     twice = known.groupBy("_k").agg(F.min("_d1").alias("_x"), F.max("_d1").alias("_y")).where("_x <> _y").select("_k")
     of_set = groups.where("_copies > 1").select("_n", "_d1", "_d2", "_rep")
-    member = sets.select("_k", "_n", "_d1", "_d2").join(of_set, ["_n", "_d1", "_d2"], "left").select("_k", "_n", F.coalesce("_rep", "_k").alias("_rep"))
+    # a set may have very many copies: its one row is repeated for each salt, the copies are dealt out by it
+    salted = of_set.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    member = (sets.select("_k", "_n", "_d1", "_d2", F.pmod(F.xxhash64("_k"), F.lit(SALTS)).cast("int").alias("_salt"))
+              .join(salted, ["_n", "_d1", "_d2", "_salt"], "left").select("_k", "_n", F.coalesce("_rep", "_k").alias("_rep")))
     if twice.limit(1).count():
         ties = member.join(twice, "_k", "left_semi").select(F.col("_k").alias("a"), F.col("_rep").alias("b"))
         near = C.connected_components(near.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(ties))
