@@ -98,12 +98,17 @@ class Words:
     def hashes(self) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        p, q = powers(len(self.data) + 1)
-        c = np.empty(len(self.data) + 1, dtype=np.uint64)
-        c[0] = 0
-        np.cumsum(BYTE_CODE[self.data] * p[:len(self.data)], out=c[1:])
-        h = (c[self.end] - c[self.start]) * q[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return run_hashes(self.data, self.start, self.end)
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs [start, end)."""
+    p, q = powers(len(data) + 1)
+    c = np.empty(len(data) + 1, dtype=np.uint64)
+    c[0] = 0
+    np.cumsum(BYTE_CODE[data] * p[:len(data)], out=c[1:])
+    h = (c[end] - c[start]) * q[start]
+    return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def window_hashes(h: np.ndarray, row: np.ndarray, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:

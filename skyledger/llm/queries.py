@@ -64,7 +64,7 @@ def _op3(spark, sf_dir):
 def _op4(spark, sf_dir):
     """Every text encoded, written as Simple-8b files and read back."""
     out = C.scratch(spark, "tokens")
-    token_file.write_token_file(C.table(spark, sf_dir, "documents"), out, _tokenizer("byte_bpe_50k.json"), _pattern())
+    token_file.write_token_file(C.table(spark, sf_dir, "documents"), out, _tokenizer("byte_bpe_50k.json"))
     return token_file.read_token_file(spark, out)
 
 

@@ -42,13 +42,11 @@ MAGIC = b"S8B1"
 
 def bit_lengths(x: np.ndarray) -> np.ndarray:
     """Bits of each unsigned value, exactly."""
-    n = np.zeros(len(x), dtype=np.uint8)
-    x = x.copy()
-    for s in (32, 16, 8, 4, 2, 1):
-        big = x >= np.uint64(1) << np.uint64(s)
-        n[big] += s
-        x[big] >>= np.uint64(s)
-    return n + (x > 0)
+    if not len(x) or int(x.max()) < 1 << 53:
+        return np.frexp(x.astype(np.float64))[1].astype(np.uint8)
+    high = x >> np.uint64(32)
+    low = np.frexp((x & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
+    return np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 32, low).astype(np.uint8)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -121,74 +119,178 @@ def unpack(payload: bytes, block: int | None = None) -> np.ndarray:
     return out
 
 
+class Splitter:
+    """Matches of the byte-level pattern (public_tokenizers.PATTERN) in many texts at
+    once: letters, digits, spaces and other signs form runs; a single blank joins
+    the run behind it, white space keeps its last sign apart from a run behind it,
+    and 's 't 're 've 'm 'll 'd stand alone."""
+
+    SPACE, LETTER, DIGIT, OTHER = range(4)
+
+    def __init__(self):
+        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+        self.kind = np.full(0x110000, self.OTHER, dtype=np.uint8)
+        for kind, pattern in ((self.SPACE, r"\s"), (self.LETTER, r"\p{L}"), (self.DIGIT, r"\p{N}")):
+            found = "".join(regex.findall(pattern + "+", every))
+            self.kind[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
+
+    def kinds(self, data: np.ndarray) -> np.ndarray:
+        """Kind of the character that each byte belongs to."""
+        out = self.kind[:256][data]
+        lead = np.flatnonzero(data >= 0xC0)
+        if len(lead):
+            first = data[lead]
+            size = 2 + (first >= 0xE0).astype(np.int64) + (first >= 0xF0)
+            cp = (first & np.where(size == 2, 0x1F, np.where(size == 3, 0x0F, 0x07))).astype(np.int64)
+            for k in range(1, 4):
+                more = size > k
+                cp[more] = cp[more] << 6 | (data[lead[more] + k] & 0x3F)
+            kind = self.kind[cp]
+            out[lead] = kind
+            for k in range(1, 4):
+                more = size > k
+                out[lead[more] + k] = kind[more]
+        return out
+
+    def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """First byte of every match."""
+        n = len(data)
+        if not n:
+            return np.zeros(0, np.int64)
+        kind = self.kinds(data)
+        head = np.zeros(n, bool)  # first bytes of texts
+        head[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+        run = head.copy()
+        run[1:] |= kind[1:] != kind[:-1]
+        out = run.copy()
+        # a run behind a blank starts with it; behind other white space, its last sign stands alone
+        behind = np.flatnonzero(run & ~head & (kind != self.SPACE))
+        behind = behind[kind[behind - 1] == self.SPACE]
+        out[behind[data[behind - 1] == 0x20]] = False
+        last = behind - 1
+        for _ in range(3):
+            last = last - ((data[last] & 0xC0) == 0x80)
+        out[last] = True
+        # contractions
+        q = np.flatnonzero((data == 0x27) & run)
+        q = q[q + 1 < n]
+        q = q[out[q] & run[q + 1] & ~head[q + 1] & (kind[q + 1] == self.LETTER)]
+        if len(q):
+            a = data[q + 1]
+            inside = q + 2 < n
+            b = np.where(inside, data[np.minimum(q + 2, n - 1)], 0)
+            b[inside & head[np.minimum(q + 2, n - 1)]] = 0
+            two = ((a == ord("r")) & (b == ord("e"))) | ((a == ord("v")) & (b == ord("e"))) | ((a == ord("l")) & (b == ord("l")))
+            one = (a == ord("s")) | (a == ord("t")) | (a == ord("m")) | (a == ord("d"))
+            out[q[one | two] + 1] = False
+            for mask, size in ((one, 1), (two & ~one, 2)):
+                nxt = q[mask] + 1 + size
+                nxt = nxt[nxt < n]
+                nxt = nxt[~run[nxt]]  # the letters behind the contraction
+                out[nxt] = True
+        return np.flatnonzero(out)
+
+
 class TokenIds:
-    """Ids of texts by the tokenizers library, each distinct pre-token encoded once.
+    """Ids of texts by the tokenizers library, each distinct match encoded once.
 
     Byte-level merges never cross a match of the pattern, so the ids of a text
-    are those of its matches in order. The table of known matches is emptied
-    when it reaches `limit` entries (bounded memory)."""
+    are those of its matches in order. Known matches are kept by a 64-bit hash
+    and their length, in sorted arrays; they are forgotten at `limit` entries."""
 
     _made: dict = {}
 
-    def __init__(self, path: str, pattern: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = regex.compile(pattern).findall
-        self.limit = limit
+        vocabulary = self.library.get_vocab()
+        # a byte-level token has one sign for each byte
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
+        self.split, self.limit = Splitter(), limit
         self._clear()
 
     def _clear(self):
-        self.known: dict[str, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        self.main, self.recent = none, none  # (sorted hashes, place of the ids, number of ids)
 
     @classmethod
-    def get(cls, path: str, pattern: str) -> "TokenIds":
-        if (path, pattern) not in cls._made:
-            cls._made[path, pattern] = cls(path, pattern)
-        return cls._made[path, pattern]
-
-    def _learn(self, new: list[str]):
-        codes = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-        size = np.fromiter(map(len, codes), np.int64, len(codes))
-        flat = np.fromiter((i for c in codes for i in c), np.uint32, int(size.sum()))
-        a = len(self.known)
-        self.known.update(zip(new, range(a, a + len(new))))
+    def get(cls, path: str) -> "TokenIds":
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
+
+    def _learn(self, h: np.ndarray, new: list[str], n_bytes: np.ndarray):
+        size = np.zeros(len(new), np.int32)
+        groups = [new[i:i + 256] for i in range(0, len(new), 256)]
+        codes = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)]
+        for g, c in enumerate(codes):  # a match ends where the bytes of its ids do
+            ends = np.searchsorted(np.cumsum(self.bytes_of[c]), np.cumsum(n_bytes[256 * g:256 * g + 256])) + 1
+            size[256 * g:256 * g + 256] = np.diff(ends, prepend=0)
+        flat = np.concatenate(codes)
+        if len(flat) != size.sum():
+            raise ValueError("the ids of a match do not end with its bytes")
         while len(self.ids) < self.used + len(flat):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        while len(self.first) < a + len(new):
-            self.first = np.concatenate((self.first, np.zeros_like(self.first)))
-            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
         self.ids[self.used:self.used + len(flat)] = flat
-        self.first[a:a + len(new)] = self.used + np.cumsum(size) - size
-        self.size[a:a + len(new)] = size
+        place = self.used + np.cumsum(size) - size
         self.used += len(flat)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > self.limit:
+        self.recent = self._merged(self.recent, (h, place, size))
+        if len(self.recent[0]) > 1 << 17:
+            self.main = self._merged(self.main, self.recent)
+            self.recent = tuple(x[:0] for x in self.recent)
+
+    @staticmethod
+    def _merged(a, b):
+        o = np.argsort(np.concatenate((a[0], b[0])), kind="stable")
+        return tuple(np.concatenate((x, y))[o] for x, y in zip(a, b))
+
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(known, place, size) of sorted hashes."""
+        known, place, size = np.zeros(len(h), bool), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        for keys, p, n in (self.main, self.recent):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                hit = keys[at] == h
+                known |= hit
+                place[hit], size[hit] = p[at[hit]], n[at[hit]]
+        return known, place, size
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each text)."""
+        if len(self.main[0]) > self.limit:
             self._clear()
-        parts = [self.find(t) for t in texts]
-        new = set().union(*parts).difference(self.known) if parts else set()
-        if new:
-            self._learn(list(new))
-        look = self.known.__getitem__
-        out = []
-        for p in parts:
-            at = np.fromiter(map(look, p), np.int64, len(p))
-            out.append(self.ids[C.ragged(self.first[at], self.size[at])])
-        return out
+        start = self.split.starts(data, offsets)
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        end = np.append(start[1:], len(data))
+        h, inverse = np.unique(C.run_hashes(data, start, end), return_inverse=True)
+        sample = np.empty(len(h), np.int64)
+        sample[inverse] = np.arange(len(start))
+        known, place, size = self._find(h)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            a, b = start[sample[new]], end[sample[new]]
+            raw = data.tobytes()
+            self._learn(h[new], [raw[x:y].decode() for x, y in zip(a.tolist(), b.tolist())], b - a)
+            known, place, size = self._find(h)
+        n = size[inverse]
+        total = np.concatenate(([0], np.cumsum(n)))
+        return self.ids[C.ragged(place[inverse], n)], np.diff(total[np.searchsorted(start, offsets)])
 
 
 ROWS = "_part int, _group int, _first long, _ord array<long>, _ids array<long>, _seg array<int>, _n array<int>, _words binary"
 
 
-def write_token_file(docs: DataFrame, out: str, path: str, pattern: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_file(docs: DataFrame, out: str, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text and write the ids to `out` in ascending id order."""
     def go(batches):
-        coder, part = TokenIds.get(path, pattern), TaskContext.get().partitionId()
+        coder, part = TokenIds.get(path), TaskContext.get().partitionId()
         group, first, ordinal = 0, 0, 0
         held, meta = [], []  # ids and (ordinal, id, segment, n) of the open group
         size = 0
@@ -201,10 +303,12 @@ def write_token_file(docs: DataFrame, out: str, path: str, pattern: str, end_id:
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for a in range(0, len(ids), 256):
-                for i, codes in zip(ids[a:a + 256], coder.encode([t or "" for t in texts[a:a + 256]])):
-                    codes = np.append(codes, np.uint32(end_id))
+            keys, (data, off) = b.column(0).to_pylist(), C.text_buffers(b.column(1))
+            for lo, hi in C.chunks(off):
+                flat, number = coder.encode(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                at = 0
+                for i, n in zip(keys[lo:hi], number.tolist()):
+                    codes, at = np.append(flat[at:at + n], np.uint32(end_id)), at + n
                     seg = 0
                     while len(codes):
                         take = codes[:GROUP_IDS - size]

@@ -186,10 +186,10 @@ def test_token_file_equals_library(spark, scratch):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     lib.encode_special_tokens = True
-    texts = ODD + ["<|endoftext|> it's we'll  \n\n x", "zq " * 60_000] + list(texts_of(spark).values())[:80]
+    texts = ODD + ["<|endoftext|> it's we'll  \n\n x", "zq " * 60_000, "\x1c a\x85 b\u00a0\u00a0c’s ½ 𝒳"] + list(texts_of(spark).values())[:80]
     ids = list(range(len(texts)))
     random.Random(2).shuffle(ids)
-    token_file.write_token_file(rows(spark, texts, ids), scratch, P.path("byte_bpe_50k.json"), P.PATTERN)
+    token_file.write_token_file(rows(spark, texts, ids), scratch, P.path("byte_bpe_50k.json"))
     got = by_id(token_file.read_token_file(spark, scratch))
     start = 0
     for i, t in sorted(zip(ids, texts)):
@@ -198,11 +198,26 @@ def test_token_file_equals_library(spark, scratch):
         start += len(want)
 
 
+def test_splitter_equals_pattern():
+    import regex
+    r, split = random.Random(3), token_file.Splitter()
+    signs = ["'s", "'re", "'ll", "'l", "'r", "'", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x85", "\x1c", "a", "re", "é", "12", "½", "!!", "日本", "𝒳", "_", "’", "\u0301"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randrange(12))) for _ in range(20_000)]
+    data, off = common.text_buffers(pa.array(texts))
+    start = split.starts(data, off)
+    cut = np.searchsorted(start, off)
+    raw, ends = data.tobytes(), np.append(start[1:], len(data))
+    find = regex.compile(P.PATTERN).findall
+    for i, t in enumerate(texts):
+        got = [raw[a:b].decode() for a, b in zip(start[cut[i]:cut[i + 1]], ends[cut[i]:cut[i + 1]])]
+        assert got == find(t), repr(t)
+
+
 def test_token_file_odd_ids_and_empty(spark, scratch):
-    token_file.write_token_file(rows(spark, ["b", "a", "c"], [1, 1, None]), scratch, P.path("byte_bpe_50k.json"), P.PATTERN)
+    token_file.write_token_file(rows(spark, ["b", "a", "c"], [1, 1, None]), scratch, P.path("byte_bpe_50k.json"))
     got = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in token_file.read_token_file(spark, scratch).collect())
     assert got == [(0, None, 2), (2, 1, 2), (4, 1, 2)]
-    token_file.write_token_file(rows(spark, []), scratch + "-e", P.path("byte_bpe_50k.json"), P.PATTERN)
+    token_file.write_token_file(rows(spark, []), scratch + "-e", P.path("byte_bpe_50k.json"))
     assert token_file.read_token_file(spark, scratch + "-e").count() == 0
 
 
