@@ -4,10 +4,10 @@ A window is a run of WINDOW words of one document. Every window whose word
 sequence also starts anywhere else is a repeat; the words it covers go.
 
 1. Anchors. Of the ANCHOR-word runs of each window the one with the smallest
-   hash is its anchor (equal windows have equal anchors, about 6 % of all
-   positions are one). Anchors found once cannot lie in a repeat, so only the
-   documents with an anchor that is found again go on, and of these only the
-   suffixes whose window holds such an anchor.
+   hash is its anchor (equal windows have equal anchors, about 8 % of all
+   positions are one). A window whose anchor is found once is no repeat, so only
+   the documents with an anchor that is found again go on, and of these only the
+   suffixes whose own anchor is found again.
 2. Groups. A suffix goes to the group of its prefix. Prefixes have variable
    length: of 8 words, or of 16, 24 or all 35 where the shorter prefix starts so
    many suffixes that its group would outgrow a task.
@@ -21,6 +21,7 @@ sequence also starts anywhere else is a repeat; the words it covers go.
 Equal suffixes of one chunk of text meet before the shuffle: they are known
 repeats at once and only one of them goes on, as a mark for the other chunks.
 So a passage held by a third of all documents costs one row per chunk.
+Of texts with equal words only one goes through the groups.
 Words are compared by 64-bit hashes, windows by two of them.
 
 Cases: a null or empty text has no words and keeps none; a text under 35 words
@@ -40,9 +41,10 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WINDOW = 35
-ANCHOR = 4
+ANCHOR = 12
 PREFIXES = (8, 16, 24)
 GROUP_ROWS = 50_000      # suffixes of one prefix from which a longer prefix is taken
+SALTS = 32               # parts into which the copies of one text are dealt
 LOCAL_ROWS = 8           # occurrences in one chunk from which a prefix is reported
 
 _LABEL = 0x51ED270B27
@@ -58,19 +60,25 @@ def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return x
 
 
-def anchors(h: np.ndarray, row: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions and hashes of the anchors of all windows (leftmost of equal minima)."""
+def own_anchors(h: np.ndarray, row: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start of each window, word position of its anchor, hashes by position); the
+    leftmost of equal minima."""
+    none = np.zeros(0, np.int64)
     if len(h) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none, none, np.zeros(0, np.uint64)
     at, g = C.window_hashes(h, row, ANCHOR)
     full = np.full(len(h) - ANCHOR + 1, np.uint64(2**64 - 1))
     full[at] = g
     place = np.arange(len(full), dtype=np.uint64)
     low = _sliding_min(full >> np.uint64(30) << np.uint64(30) | place, window - ANCHOR + 1)
     starts = np.flatnonzero(row[window - 1:] == row[:len(h) - window + 1])
-    if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    own = np.unique((low[starts] & np.uint64((1 << 30) - 1)).astype(np.int64))
+    return starts, (low[starts] & np.uint64((1 << 30) - 1)).astype(np.int64), full
+
+
+def anchors(h: np.ndarray, row: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Word positions and hashes of the anchors of all windows."""
+    _, own, full = own_anchors(h, row, window)
+    own = np.unique(own)
     return own, full[own]
 
 
@@ -146,20 +154,14 @@ def found_again(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 class Suffixes:
-    """Windows of a chunk that hold one of the given anchors, with their labels."""
-
-    def __init__(self, w: C.Words, h: np.ndarray, places: list, window: int):
-        starts = []
-        for r, p in enumerate(places):
-            n = int(w.count[r])
-            if p is None or not len(p) or n < window:
-                continue
-            p = np.asarray(p, dtype=np.int64)
-            step = np.zeros(n + 1, np.int64)
-            np.add.at(step, np.maximum(p - (window - ANCHOR), 0), 1)
-            np.add.at(step, np.minimum(p, n - window) + 1, -1)
-            starts.append(np.flatnonzero(np.cumsum(step[:n - window + 1]) > 0) + w.first[r])
-        self.at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    """Windows of a chunk whose own anchor is one of the given places, with their labels."""
+
+    def __init__(self, w: C.Words, h: np.ndarray, places: pa.ListArray, window: int):
+        count = np.diff(places.offsets.to_numpy())
+        mask = np.zeros(len(h) + 1, bool)
+        mask[np.repeat(w.first[:-1], count) + places.flatten().to_numpy()] = True
+        starts, own, _ = own_anchors(h, w.row, window)
+        self.at = starts[mask[own]]
         self.row, self.pos = w.row[self.at], (self.at - w.first[w.row[self.at]]).astype(np.int32)
         self._h, self._row, self.window = h, w.row, window
         self.label = self.hashes(window, _LABEL)
@@ -190,9 +192,8 @@ def heavy_prefixes(affected: DataFrame, window: int, lengths, group_rows: int) -
     that share of a chunk's suffixes: their number is bounded whatever the input."""
     def go(batches):
         for b in batches:
-            places = b.column(2).to_pylist()
             for _, w, h, lo, hi in _chunks(b, 0, 1):
-                s = Suffixes(w, h, places[lo:hi], window)
+                s = Suffixes(w, h, b.column(2).slice(lo, hi - lo), window)
                 for i, n in enumerate(lengths):
                     k, c = np.unique(s.hashes(n), return_counts=True)
                     k, c = k[c >= LOCAL_ROWS], c[c >= LOCAL_ROWS]
@@ -209,11 +210,13 @@ def suffix_rows(affected: DataFrame, known: bool, heavy: list[np.ndarray], windo
 
     def go(batches):
         for b in batches:
-            places = b.column(2).to_pylist()
+            marks = np.array(b.column(3).to_pylist(), dtype=bool)
             for ids, w, h, lo, hi in _chunks(b, 0, 1):
-                s = Suffixes(w, h, places[lo:hi], window)
+                s = Suffixes(w, h, b.column(2).slice(lo, hi - lo), window)
                 first, again = _split(s.label)
+                mark = marks[lo:hi][s.row]  # of a text that stands for its copies: its places are settled
                 if known:
+                    again &= ~mark
                     cut = np.searchsorted(s.row[again], np.arange(hi - lo + 1))
                     pos = s.pos[again]
                     rows = [(int(ids[i]), pos[cut[i]:cut[i + 1]].astype("<i4").tobytes()) for i in range(hi - lo) if cut[i + 1] > cut[i]]
@@ -221,21 +224,42 @@ def suffix_rows(affected: DataFrame, known: bool, heavy: list[np.ndarray], windo
                 else:
                     prefix = s.prefixes(shared.value, lengths)[first]
                     yield _table("_prefix _label _k _pos", (prefix.view(np.int64), s.label[first].view(np.int64), ids[s.row[first]],
-                                                            np.where(again, np.int32(-1), s.pos)[first].astype(np.int32)))
-    return affected.select("_k", "_text", "_places").mapInArrow(
+                                                            np.where(again | mark, np.int32(-1), s.pos)[first].astype(np.int32)))
+    return affected.select("_k", "_text", "_places", "_mark").mapInArrow(
         go, "_k long, _starts binary" if known else "_prefix long, _label long, _k long, _pos int")
 
 
-def repeats(texts: DataFrame, window: int = WINDOW, lengths=PREFIXES, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(documents with an anchor found again (_k, _text, _places), their repeats
-    (_k, _starts): packed start words of all repeated windows)."""
+def summaries(texts: DataFrame, window: int) -> DataFrame:
+    """(_k, _n, _all, _rep): number of words and digest of all words of each row, and
+    for texts of a window or more with an equal word sequence elsewhere the smallest key of these."""
+    def whole(batches):
+        for b in batches:
+            words = [(t or "").encode().split() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(w) for w in words], pa.int64()),
+                                              pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary())], ["_k", "_n", "_all"])
+
+    rows = C.stored(texts.select("_k", "_text").mapInArrow(whole, "_k long, _n long, _all binary"), "summaries")
+    copies = (rows.where(F.col("_n") >= window).groupBy("_all").agg(F.min("_k").alias("_rep"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
+              .select("_all", "_rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))  # a text may have very many copies
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(SALTS)).cast("int")).join(copies, ["_all", "_salt"], "left").select("_k", "_n", "_all", "_rep")
+
+
+def repeats(texts: DataFrame, window: int = WINDOW, lengths=PREFIXES, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(summaries, documents with an anchor found again (_k, _text, _places, _mark),
+    their repeats (_k, _starts): packed start words of all repeated windows).
+
+    A text with copies is repeated as a whole: it has no row in the repeats. One
+    of its copies goes on to mark the repeats of other texts."""
     lengths = tuple(n for n in lengths if n < window)
+    every = C.stored(summaries(texts, window), "every")
     places = (anchor_rows(texts, True, window).unionByName(found_again(anchor_rows(texts, False, window), ["_fp"]))
               .groupBy("_k").agg(F.collect_list("_pos").alias("_places")))  # at most one per few words of a text
-    affected = C.stored(texts.join(places, "_k").select("_k", "_text", "_places"), "affected")
+    places = (places.join(every.select("_k", "_rep"), "_k").where("_rep is null or _rep = _k")
+              .select("_k", "_places", F.col("_rep").isNotNull().alias("_mark")))
+    affected = C.stored(texts.join(places, "_k").select("_k", "_text", "_places", "_mark"), "affected")
     heavy = heavy_prefixes(affected, window, lengths, group_rows)
     leaves = found_again(suffix_rows(affected, False, heavy, window, lengths), ["_prefix", "_label"])
-    return affected, suffix_rows(affected, True, heavy, window, lengths).unionByName(_packed(leaves))
+    return every, affected.where("not _mark"), suffix_rows(affected, True, heavy, window, lengths).unionByName(_packed(leaves))
 
 
 def _packed(leaves: DataFrame) -> DataFrame:
@@ -252,18 +276,15 @@ def _packed(leaves: DataFrame) -> DataFrame:
 
 
 def _covered(n: int, packed: list[bytes], window: int) -> np.ndarray:
-    step = np.zeros(n + 1, np.int64)
-    for p in packed:
-        s = np.frombuffer(p, "<i4")
-        np.add.at(step, s, 1)
-        np.add.at(step, s + window, -1)
+    s = np.frombuffer(b"".join(packed), "<i4")
+    step = np.bincount(s, minlength=n + 1) - np.bincount(s + window, minlength=n + 1)
     return np.cumsum(step[:n]) > 0
 
 
 def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(doc_id, start_word, end_word) of every maximal run of repeated words."""
     texts, keys = C.keyed_texts(docs, id_col, text_col)
-    affected, starts = repeats(texts, window)
+    every, affected, starts = repeats(texts, window)
 
     def go(batches):
         for b in batches:
@@ -276,6 +297,7 @@ def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield _table("_k start_word end_word", [np.array(x, dtype=np.int64) for x in zip(*out)])
     rows = (affected.select("_k", "_text").join(starts.groupBy("_k").agg(F.collect_list("_starts").alias("_s")), "_k")
             .mapInArrow(go, "_k long, start_word long, end_word long"))
+    rows = rows.unionByName(every.where("_rep is not null").select("_k", F.lit(0).cast("long").alias("start_word"), F.col("_n").alias("end_word")))
     if keys is None:
         return rows.withColumnRenamed("_k", "doc_id")
     return rows.join(keys, "_k").select(F.col("_id").alias("doc_id"), "start_word", "end_word")
@@ -301,20 +323,15 @@ def _kept(affected: DataFrame, starts: DataFrame, window: int, with_text: bool)
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256), one row per input row."""
     texts, keys = C.keyed_texts(docs, id_col, text_col)
-
-    def whole(batches):
-        for b in batches:
-            words = [(t or "").encode().split() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(w) for w in words], pa.int64()),
-                                              pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words])], ["_k", "n_words", "_all"])
-
-    affected, starts = repeats(texts, window)
+    every, affected, starts = repeats(texts, window)
     cut = _kept(affected, starts, window, False).select("_k", "_removed", "_sha")
-    rows = texts.mapInArrow(whole, "_k long, n_words long, _all string").join(cut, "_k", "left")
+    rows = every.join(cut, "_k", "left")
     if keys is not None:
         rows = rows.join(keys, "_k")
-    return rows.select(F.col("_k" if keys is None else "_id").alias("doc_id"), "n_words", F.coalesce("_removed", F.lit(0).cast("long")).alias("n_removed"),
-                       F.coalesce("_sha", "_all").alias("kept_sha256"))
+    copy = F.col("_rep").isNotNull()
+    return rows.select(F.col("_k" if keys is None else "_id").alias("doc_id"), F.col("_n").alias("n_words"),
+                       F.when(copy, F.col("_n")).otherwise(F.coalesce("_removed", F.lit(0).cast("long"))).alias("n_removed"),
+                       F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("_sha", F.lower(F.hex("_all")))).alias("kept_sha256"))
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -325,7 +342,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         numbered = C.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
         out = cut_repeats(numbered.drop(id_col).withColumnRenamed("_row", "_rid"), "_rid", text_col, window)
         return (out.withColumnRenamed("_rid", "_row").join(numbered.select("_row", id_col), "_row").select(*docs.columns))
-    affected, starts = repeats(texts, window)
-    cut = C.stored(_kept(affected, starts, window, True).select(F.col("_k").alias("_cut"), "_kept"), "cut")
-    return (docs.join(cut, F.col(id_col).cast("long") == F.col("_cut"), "left")
+    every, affected, starts = repeats(texts, window)
+    cut = (_kept(affected, starts, window, True).select(F.col("_k").alias("_cut"), "_kept")
+           .unionByName(every.where("_rep is not null").select(F.col("_k").alias("_cut"), F.lit("").alias("_kept"))))
+    return (docs.join(C.stored(cut, "cut"), F.col(id_col).cast("long") == F.col("_cut"), "left")
             .select(*[F.coalesce("_kept", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns]))
