@@ -47,13 +47,15 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SEPARATORS = " .-_*,/~"
 CHANNEL = {"same": 0.0, "leet": -1.2, "double": -0.7, "drop": -4.0}
 
-_L = "0-9a-zß-öø-ÿ"
 _SIGN = re.escape("".join(c for c in LEET if not c.isdigit()))
 WORD = re.compile("[a-zß-öø-ÿ]+")
-#: three or more single letters or signs with a separator between each two
-SPACED = re.compile(rf"(?<![^\s])(?:[{_L}{_SIGN}][{re.escape(SEPARATORS)}]){{2,}}[{_L}{_SIGN}](?![{_L}])")
-#: a sign or digit between letters, or before one; or a letter three times
-MIXED = re.compile(rf"[^\s]*(?:[a-z][{_SIGN}0-9]+[a-z]|(?<![^\s])[{_SIGN}0-9]{{1,2}}[a-z]{{2}}|([a-zß-öø-ÿ])\1\1)[^\s]*")
+#: single letters or signs with a separator between each two, inside one token
+SPACED = re.compile(rf"[0-9a-zß-öø-ÿ{_SIGN}](?:[{re.escape(SEPARATORS)}][0-9a-zß-öø-ÿ{_SIGN}]){{2,}}")
+#: a sign or digit between letters, or one or two before letters
+MIXED = re.compile(rf"[a-z][{_SIGN}0-9]+[a-z]|^[{_SIGN}0-9]{{1,2}}[a-z]{{2}}")
+#: a letter three times
+LONG = re.compile(r"([a-zß-öø-ÿ])\1\1")
+EDGE = ".,;:!?\"'()[]{}|<>#*$%&-"
 
 
 def _letter_classes() -> np.ndarray:
@@ -95,7 +97,19 @@ class Restorer:
         p1 = (uni + 1) / (uni.sum() + 64)
         p2 = (bi + 5 * p1) / (bi.sum(1, keepdims=True) + 5)
         self.lm = np.log((tri + 5 * p2[None]) / (tri.sum(2, keepdims=True) + 5)).astype(np.float32)
+        self._ready()
+
+    def _ready(self):
         self.decode = lru_cache(maxsize=200_000)(self._decode)
+        self.seen: dict[str, tuple[str, ...]] = {}
+
+    @classmethod
+    def of(cls, lm: np.ndarray) -> "Restorer":
+        """A decoder with a ready language model."""
+        r = cls.__new__(cls)
+        r.lm = lm
+        r._ready()
+        return r
 
     @staticmethod
     def _class(ch: str) -> int:
@@ -103,7 +117,7 @@ class Restorer:
 
     def _lattice(self, span: str) -> list[list[tuple[str, float]]]:
         """Options (letters, channel cost) of each run of equal signs."""
-        spaced = bool(SPACED.fullmatch(span))
+        spaced = " " in span or bool(SPACED.fullmatch(span))
         out, i = [], 0
         while i < len(span):
             c, j = span[i], i
@@ -142,16 +156,41 @@ class Restorer:
             best = nxt
         return max(((s + float(self.lm[a, b, 0]), t) for (a, b), (s, t) in best.items()), default=(0, ""))[1]
 
+    def token_words(self, token: str) -> tuple[str, ...]:
+        """Words of a token that is no plain word: its letters, and what it may hide."""
+        out = [token] if token.isalpha() else WORD.findall(token)
+        if SPACED.fullmatch(token) or MIXED.search(token) or LONG.search(token):
+            out.append(self.decode(token))
+        return tuple(out)
+
     def words(self, text: str) -> set[str]:
         """Distinct words of a text, plain ones and restored ones."""
-        text = text.lower()
-        out = set(WORD.findall(text))
-        for pattern in (SPACED, MIXED):
-            for m in pattern.finditer(text):
-                word = self.decode(m[0])
-                if len(word) > 1:
-                    out.add(word)
-        return out
+        tokens = text.lower().split()
+        out, look = set(), self.seen
+        for t in set(tokens):
+            if t.isalpha():
+                out.add(t)
+                if LONG.search(t):
+                    out.add(self.decode(t))
+            elif (s := t.strip(EDGE)).isalpha() and len(t) - len(s) < 4:
+                out.add(s)
+                if t[0] in LEET or LONG.search(s):
+                    out.update(self.token_words(t))
+            else:
+                w = look.get(t)
+                if w is None:
+                    if len(look) > 200_000:
+                        look.clear()
+                    w = look[t] = self.token_words(t)
+                out.update(w)
+        single = [i for i, t in enumerate(tokens) if len(t) == 1]
+        start = 0
+        for j in range(1, len(single) + 1):  # three or more single letters in a row
+            if j == len(single) or single[j] != single[j - 1] + 1:
+                if j - start >= 3:
+                    out.add(self.decode(" ".join(tokens[single[start]:single[j - 1] + 1])))
+                start = j
+        return {w for w in out if len(w) > 1}
 
     def features(self, text: str) -> set[str]:
         words = self.words(text)
@@ -166,10 +205,15 @@ class Scorer:
 
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
-
-    def probability(self, features: set[str]) -> float:
-        get = self.weights.get
-        z = self.bias + sum(get(f, 0.0) for f in self.weights.keys() & features) if self.weights else self.bias
+        self.heads = {f.lstrip("^")[:PREFIXES[0]] for f in weights}
+
+    def probability(self, words: set[str]) -> float:
+        found = set()
+        for w in words:
+            if w[:PREFIXES[0]] in self.heads:  # no other word can hold a feature
+                found.add(w)
+                found.update("^" + w[:n] for n in PREFIXES if len(w) >= n)
+        z = self.bias + sum(self.weights[f] for f in sorted(found & self.weights.keys()))
         return 1 / (1 + float(np.exp(-max(-50.0, min(50.0, z)))))
 
 
@@ -186,7 +230,7 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _fit_logistic(x_rows: list[list[int]], y: np.ndarray, n: int, ridge: float = 1.0, rounds: int = 400) -> tuple[np.ndarray, float]:
+def _fit_logistic(x_rows: list[list[int]], y: np.ndarray, n: int, ridge: float = 0.3, rounds: int = 4000) -> tuple[np.ndarray, float]:
     """Ridge logistic regression of sparse 0/1 rows by accelerated gradient steps."""
     size = np.array([len(r) for r in x_rows])
     col = np.array([c for r in x_rows for c in r], dtype=np.int64)
@@ -221,10 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, restorer: Restorer, max_train: int =
     train = C.stored(training_rows(docs, labels, max_train), "train")
 
     def restorer_of():
-        r = Restorer.__new__(Restorer)
-        r.lm = shared.value
-        r.decode = lru_cache(maxsize=200_000)(r._decode)
-        return r
+        return Restorer.of(shared.value)
 
     def count(batches):
         r, total = restorer_of(), Counter()
@@ -278,11 +319,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) ->
 
     def go(batches):
         lm, s = shared.value
-        r = Restorer.__new__(Restorer)
-        r.lm = lm
-        r.decode = lru_cache(maxsize=200_000)(r._decode)
+        r = Restorer.of(lm)
         for b in batches:
-            score = [s.probability(r.features(t or "")) for t in b.column(1).to_pylist()]
+            score = [s.probability(r.words(t or "")) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("_t"))
