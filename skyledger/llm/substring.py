@@ -124,10 +124,21 @@ def anchor_rows(texts: DataFrame, known: bool, window: int) -> DataFrame:
     return texts.select("_k", "_text").mapInArrow(go, "_k long, _pos int" if known else "_fp long, _k long, _pos int")
 
 
-def found_again(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(_k, _pos) of the rows whose keys occur in another row: one comparison with
-    each neighbour of the sorted stream."""
+def _by_text(k: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """(_k, _starts): positions as one packed list per document."""
+    o = np.lexsort((pos, k))
+    k, pos = k[o], pos[o].astype("<i4")
+    head = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), k[1:] != k[:-1])))
+    end = np.append(head[1:], len(k))
+    return pa.RecordBatch.from_arrays([pa.array(k[head]), pa.array([pos[x:y].tobytes() for x, y in zip(head, end)], pa.binary())], ["_k", "_starts"])
+
+
+def found_again(rows: DataFrame, keys: list[str], packed: bool = False) -> DataFrame:
+    """(_k, _pos) of the rows whose keys occur in another row, or (_k, _starts) with
+    the positions of a batch packed by document: one comparison with each
+    neighbour of the sorted stream."""
     width = len(keys)
+    put = _by_text if packed else (lambda k, pos: _table("_k _pos", (k, pos)))
 
     def go(batches):
         last = None  # (keys, k, pos, already known) of the last row seen
@@ -144,13 +155,13 @@ def found_again(rows: DataFrame, keys: list[str]) -> DataFrame:
             if last is not None and (last[0] == key[0]).all():
                 hit[0] = True
                 if not last[3] and last[2] >= 0:
-                    yield _table("_k _pos", (np.array([last[1]]), np.array([last[2]], np.int32)))
+                    yield put(np.array([last[1]]), np.array([last[2]], np.int32))
             out = hit & (pos >= 0)
-            yield _table("_k _pos", (k[out], pos[out]))
+            yield put(k[out], pos[out])
             last = (key[-1], k[-1], pos[-1], hit[-1])
 
     ordered = rows.repartition(*keys[:1]).sortWithinPartitions(*keys).select(*keys, "_k", "_pos")
-    return ordered.mapInArrow(go, "_k long, _pos int")
+    return ordered.mapInArrow(go, "_k long, _starts binary" if packed else "_k long, _pos int")
 
 
 class Suffixes:
@@ -258,21 +269,8 @@ def repeats(texts: DataFrame, window: int = WINDOW, lengths=PREFIXES, group_rows
               .select("_k", "_places", F.col("_rep").isNotNull().alias("_mark")))
     affected = C.stored(texts.join(places, "_k").select("_k", "_text", "_places", "_mark"), "affected")
     heavy = heavy_prefixes(affected, window, lengths, group_rows)
-    leaves = found_again(suffix_rows(affected, False, heavy, window, lengths), ["_prefix", "_label"])
-    return every, affected.where("not _mark"), suffix_rows(affected, True, heavy, window, lengths).unionByName(_packed(leaves))
-
-
-def _packed(leaves: DataFrame) -> DataFrame:
-    """(_k, _pos) rows as one packed list per document and task."""
-    def go(batches):
-        for b in batches:
-            k, pos = b.column(0).to_numpy(), b.column(1).to_numpy()
-            o = np.lexsort((pos, k))
-            k, pos = k[o], pos[o].astype("<i4")
-            head = np.flatnonzero(np.concatenate((np.ones(min(1, len(k)), bool), k[1:] != k[:-1])))
-            end = np.append(head[1:], len(k))
-            yield pa.RecordBatch.from_arrays([pa.array(k[head]), pa.array([pos[x:y].tobytes() for x, y in zip(head, end)], pa.binary())], ["_k", "_starts"])
-    return leaves.mapInArrow(go, "_k long, _starts binary")
+    leaves = found_again(suffix_rows(affected, False, heavy, window, lengths), ["_prefix", "_label"], packed=True)
+    return every, affected.where("not _mark"), suffix_rows(affected, True, heavy, window, lengths).unionByName(leaves)
 
 
 def _covered(n: int, packed: list[bytes], window: int) -> np.ndarray:
