@@ -245,9 +245,12 @@ def summaries(texts: DataFrame, window: int) -> DataFrame:
     for texts of a window or more with an equal word sequence elsewhere the smallest key of these."""
     def whole(batches):
         for b in batches:
-            words = [(t or "").encode().split() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(w) for w in words], pa.int64()),
-                                              pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary())], ["_k", "_n", "_all"])
+            n, digest = [], []
+            for t in b.column(1):  # the words of one text at a time
+                w = (t.as_py() or "").encode().split()
+                n.append(len(w))
+                digest.append(hashlib.sha256(b" ".join(w)).digest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary())], ["_k", "_n", "_all"])
 
     rows = C.stored(texts.select("_k", "_text").mapInArrow(whole, "_k long, _n long, _all binary"), "summaries")
     copies = (rows.where(F.col("_n") >= window).groupBy("_all").agg(F.min("_k").alias("_rep"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
