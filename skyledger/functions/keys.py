@@ -74,23 +74,18 @@ def hash_columns(df: DataFrame, cols: Iterable[str], compat: bool = False) -> Co
     return F.expr(hash_sql(cols, types, compat))
 
 
-def hash_values(*cols: Column) -> Column:
-    """Default-encoding hash of already ordered column expressions."""
-    return F.md5(F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(NULL_MARKER)) for c in cols]))
-
-
 def surrogate_id_sql(hash_key_sql: str) -> str:
     """SQL text of `surrogate_id` over a hash-key SQL expression."""
-    return f"CAST(conv(substr({hash_key_sql}, 1, 15), 16, 10) AS BIGINT)"
+    return f"unhex({hash_key_sql})"
 
 
 def surrogate_id(hash_key: Column) -> Column:
-    """Deterministic 60-bit BIGINT id from a hash key (first 15 hex digits).
+    """Deterministic 16-byte id: the whole hash key in binary.
 
     Replaces a global sequence: equal business keys get equal ids on every
     executor and every re-run, so links reference hubs without a look-up.
     """
-    return F.conv(F.substring(hash_key, 1, 15), 16, 10).cast("bigint")
+    return F.unhex(hash_key)
 
 
 def with_lineage(df: DataFrame, load_ts, record_source: str = RECORD_SOURCE,

@@ -1,4 +1,4 @@
-"""Join operators: size-checked broadcast, either-endpoint join, role swap."""
+"""Join operators: either-endpoint join, role swap."""
 
 from __future__ import annotations
 
@@ -7,47 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may have to be broadcast by `broadcast_if_small` (about 100 MB
-# for the narrow key/attribute rows it is used on).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def estimated_size(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of `df` in bytes (the figure `explain("cost")`
-    prints); None when unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # no JVM plan access (e.g. a remote session)
-        return None
-
-
-def _bytes(v: str) -> int:
-    """'10485760b' / '10MB' / '-1' -> bytes."""
-    t = v.strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    try:
-        return int(float(t[:-1] if mult > 1 else t) * mult)
-    except ValueError:
-        return -1
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """`broadcast(df)` when it is provably small, else `df` unchanged.
-
-    Proof of size, cheapest first: Catalyst's size estimate within the
-    session's broadcast threshold (no job), else a bounded count
-    (`limit(max_rows + 1)`, stops early on a large side). A small side is
-    shipped to every task so the big side of the join is not shuffled; a
-    large one is joined by the shuffle strategy Spark picks.
-    """
-    limit_bytes = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    est = estimated_size(df)
-    if est is not None and 0 <= est <= limit_bytes:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def either_endpoint_join(left: DataFrame, left_key: str, right: DataFrame,
                          endpoint_a: str, endpoint_b: str, how: str = "inner",
                          out_col: str | None = None) -> DataFrame:

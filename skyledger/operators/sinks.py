@@ -52,6 +52,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a batch-partitioned dataset holds a data file (an empty batch leaves none)."""
+    fs, _ = _fs(spark, path)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch_id=*/part-*"))
+    return found is not None and len(found) > 0
+
+
 def versions(spark: SparkSession, target: str) -> list[int]:
     """Committed versions (`v=<n>` with `_SUCCESS`) of a versioned table, ascending."""
     fs, p = _fs(spark, target)
@@ -109,7 +116,8 @@ def replace_partitions(df: DataFrame, target: str, partition_cols: Sequence[str]
     """`DELETE WHERE day = D; INSERT ...` as a dynamic partition overwrite:
     only the partitions present in `df` are replaced, all others are kept."""
     def write(staged: DataFrame) -> None:
-        out = staged.repartition(*partition_cols)
+        # a day's rows come together, but a large day is split over several tasks and files
+        out = staged.hint("rebalance", *[F.col(c) for c in partition_cols])
         if sort_within:
             out = out.sortWithinPartitions(*sort_within)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -138,7 +146,8 @@ def upsert_table(rows: DataFrame, target: str, key: Sequence[str], checks: Seque
         out = staged.repartition(*key)
         if sort_within:
             out = out.sortWithinPartitions(*sort_within)
-        out.write.mode("errorifexists").parquet(f"{target.rstrip('/')}/v={nxt}")
+        # not committed yet: what a failed attempt left there is replaced
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target.rstrip('/')}/v={nxt}")
     return publish(new, checks, write)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, round_half_up_ratio
-from ..operators.joins import broadcast_if_small, either_endpoint_join
+from ..operators.joins import either_endpoint_join
 from ..operators.ranking import bucket_by_thresholds, latest_version, share_of_total
 
 WINDOW_DAYS = 30
@@ -68,10 +68,8 @@ def ticket_rows(v, flights_w: DataFrame, latest=False, revenue="booking_total")
     multiplicity from the booking side.
     """
     tf = v["link_ticket_flight"].select("ticket_flight_link_id", "ticket_booking_link_id", "flight_hub_id")
-    # the window's flights first: the most selective join, so the big link is
-    # cut early; when they fit (bounded count) they are broadcast and the link
-    # table is filtered in place instead of shuffled
-    rows = tf.join(broadcast_if_small(flights_w), "flight_hub_id")
+    # the window's flights first: the most selective join, so the big link is cut early
+    rows = tf.join(flights_w, "flight_hub_id")
     tb = v["link_ticket_booking"].select("ticket_booking_link_id", "booking_hub_id", "passenger_hub_id")
     rows = rows.join(tb, "ticket_booking_link_id").join(booking_weights(v, latest), "booking_hub_id")
     if revenue == "booking_total":
@@ -89,7 +87,7 @@ def active_airport_days(v, as_of, until=None, latest=False) -> DataFrame:
     """Distinct (flight_date, airport_code) of flights touching the airport."""
     fw = flight_versions(v, as_of, until, latest, by_date=True)
     legs = v["link_flight_leg"].select("flight_hub_id", "departure_airport_hub_id", "arrival_airport_hub_id")
-    legs = legs.join(broadcast_if_small(fw.select("flight_hub_id", "flight_date")), "flight_hub_id")
+    legs = legs.join(fw.select("flight_hub_id", "flight_date"), "flight_hub_id")
     airports = (v["hub_airports"].select("airport_hub_id", "airport_code")
                 .join(v["sat_airport_details"].select("airport_hub_id"), "airport_hub_id", "left_semi"))
     j = either_endpoint_join(airports, "airport_hub_id", legs, "departure_airport_hub_id", "arrival_airport_hub_id")
@@ -189,7 +187,7 @@ def dashboard_kpis(v, as_of, until=None, latest=False) -> DataFrame:
                  round_half_up_ratio(F.col("_cents"), F.col("unique_passengers_30d") * 100).alias("avg_check_30d"),
                  round_half_up_ratio(F.col("_flights"), F.col("unique_passengers_30d"))
                  .alias("avg_flights_per_passenger_30d"))
-    return k1.withColumn("_k", F.lit(1)).join(k.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return k1.crossJoin(k)  # one row by one row
 
 
 def daily_series(v, as_of, until=None, latest=False) -> DataFrame:

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small, swap_roles
+from ..operators.joins import swap_roles
 from ..operators.quality import check_not_empty, check_rules
 from ..operators.ranking import tier_by_percent_rank
 from ..operators.sinks import replace_partitions, upsert_table
@@ -38,17 +38,15 @@ def departures_on(flights: DataFrame, day) -> DataFrame:
                     F.col("arrival_airport").alias("linked_airport_code")))
 
 
-def outbound_counts(t: dict[str, DataFrame], day, broadcast_rows: int | None = None) -> DataFrame:
+def outbound_counts(t: dict[str, DataFrame], day) -> DataFrame:
     """Per route of `day`: flights_out (ticket rows, 1 for an empty flight, as the
     reference counts), flights_out_distinct and passengers_out (distinct tickets).
 
-    The day's flights are the small side: when a bounded count says they fit
-    they are broadcast into the ticket_flights scan, so the big table is never
-    shuffled; the empty flights are found on the small side only.
+    The day's flights are the small side of the join (Spark broadcasts them
+    where its own size figures allow); empty flights are found on it alone.
     """
     day_f = departures_on(t["flights"], day)
-    small = broadcast_if_small(day_f, broadcast_rows) if broadcast_rows else broadcast_if_small(day_f)
-    matched = t["ticket_flights"].select("flight_id", "ticket_no").join(small, "flight_id")
+    matched = t["ticket_flights"].select("flight_id", "ticket_no").join(day_f, "flight_id")
     by_route = (matched.groupBy(*ROUTE)
                 .agg(F.count(F.lit(1)).alias("_rows"),
                      F.count_distinct("ticket_no").alias("passengers_out"),

@@ -3,7 +3,7 @@
 Keys
   hub hash key   = MD5 of the business key text (as the reference computes it)
   link hash key  = record hash of all business keys of its endpoints
-  surrogate ids  = 60-bit number from the hash key (`surrogate_id`), so a link
+  surrogate ids  = the hash key as 16 bytes (`surrogate_id`), so a link
                    gets its hub / link references from business keys with no
                    look-up join and no load-order dependency
   hash_diff      = record hash of parent business key + satellite payload
@@ -19,16 +19,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_sql, surrogate_id,
                               surrogate_id_sql, with_lineage)
 from ..lazy import LazyTables
-from ..operators.joins import broadcast_if_small
 from ..operators.ranking import latest_version
-from ..operators.sinks import append_batch, insert_if_absent, path_exists
+from ..operators.sinks import append_batch, has_data, insert_if_absent, path_exists
 
 LINEAGE_COLS = ["load_date", "record_source", "source_system_id"]
 
@@ -231,10 +229,9 @@ def read_vault(spark: SparkSession, root: str, before_batch: int | None = None)
         p = f"{root.rstrip('/')}/{name}"
         if not path_exists(spark, p):
             continue
-        try:
-            df = spark.read.parquet(p)
-        except AnalysisException:      # created by an empty batch: no data file yet
+        if not has_data(spark, p):     # only empty batches so far
             continue
+        df = spark.read.parquet(p)     # data that cannot be read is an error, not an empty history
         if before_batch is not None:
             df = df.where(F.col("batch_id") < before_batch)
         out[name] = df.drop("batch_id")
@@ -268,12 +265,10 @@ def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None
 def stored_for_batch(stored: DataFrame, rows: DataFrame, cols: list[str]) -> DataFrame:
     """The part of a stored table whose `cols` occur in this batch.
 
-    A batch is small next to the history it is checked against: its distinct
-    keys are broadcast when provably small and the stored table is filtered in
-    its scan tasks, so the anti-joins that follow touch only the batch's keys
-    instead of shuffling the whole history every batch.
+    Only these rows go into the anti-joins that follow. Spark picks the join by
+    its own size statistics (a small batch's keys are broadcast by AQE).
     """
-    keys = broadcast_if_small(rows.select(*cols).distinct())
+    keys = rows.select(*cols).distinct()
     return stored.join(keys, cols, "left_semi")
 
 

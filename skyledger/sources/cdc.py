@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import hash_columns
-from ..schemas import OLTP
+from ..schemas import OLTP, PRIMARY_KEYS
 
 TOPIC_PREFIX = "airline.public"
 ACCEPTED_OPS = ("c", "u", "d")
+_BAD = "_unreadable"
 
 ENVELOPE = T.StructType([T.StructField("payload", T.StructType([
     T.StructField("op", T.StringType()),
@@ -103,7 +104,9 @@ def parse_changes(feed: DataFrame, include_snapshot: bool = False, ops: Sequence
     data = F.when(op != "d", F.col("env.payload.after")).otherwise(F.col("env.payload.before"))
     out = (parsed.where(_reject_reason(F.col("_tomb"), F.col("env")).isNull())
            .select(*keys, "timestamp", op.alias("op"), data.alias("data")))
-    return out.where(F.col("op").isin(*accepted) & F.col("data").isNotNull() & (F.col("data") != "null"))
+    # an empty image says nothing and is skipped
+    return out.where(F.col("op").isin(*accepted) & F.col("data").isNotNull() & (F.col("data") != "null")
+                     & ~F.col("data").rlike(r"^\s*\{\s*\}\s*$"))
 
 
 def quarantine(feed: DataFrame) -> DataFrame:
@@ -127,16 +130,52 @@ def decode_decimal(c: Column, scale: int = 2, precision: int = 10) -> Column:
     return F.coalesce(as_text.cast(f"decimal({precision},{scale})"), from_b64)
 
 
+def _typed(changes: DataFrame, table: str, schema: T.StructType | None, prefix: str) -> DataFrame:
+    """Changes of one table with the typed image `i` and `problem`: what is wrong with it, else NULL."""
+    schema = schema or _image_schema(table)
+    text = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    i = F.col("i")
+    required = [f.name for f in OLTP[table].fields if f.name in schema.names and (not f.nullable or f.name in PRIMARY_KEYS[table])]
+    keys = [c for c in required if c in PRIMARY_KEYS[table]]
+
+    def lacks(names):
+        out = F.lit(False)
+        for n in names:
+            out = out | i[n].isNull()
+        return out
+
+    # a number that does not read as one
+    unread = F.lit(False)
+    for f in OLTP[table].fields:
+        if isinstance(f.dataType, T.DecimalType) and f.name in schema.names:
+            unread = unread | (i[f.name].isNotNull() & decode_decimal(i[f.name], f.dataType.scale, f.dataType.precision).isNull())
+    problem = (F.when(i.isNull() | i[_BAD].isNotNull() | unread, F.lit("bad_image"))
+               .when(F.when(F.col("op") == "d", lacks(keys)).otherwise(lacks(required)), F.lit("missing_value")))
+    rows = changes.where(F.col("topic") == topic_of(table, prefix))
+    img = F.from_json(F.col("data"), text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    return rows.withColumn("i", img).withColumn("problem", problem)
+
+
 def images(changes: DataFrame, table: str, schema: T.StructType | None = None,
            prefix: str = TOPIC_PREFIX) -> DataFrame:
     """Typed row images of one table's topic, with the change metadata kept
-    as `_op`, `_partition`, `_offset`, `_load_ts` (message time)."""
-    schema = schema or _image_schema(table)
-    rows = changes.where(F.col("topic") == topic_of(table, prefix))
-    img = F.from_json(F.col("data"), schema)
-    return rows.select(img.alias("i"), F.col("op").alias("_op"), F.col("partition").alias("_partition"),
-                       F.col("offset").alias("_offset"), F.col("timestamp").alias("_load_ts")).select(
-        "i.*", "_op", "_partition", "_offset", "_load_ts")
+    as `_op`, `_partition`, `_offset`, `_load_ts` (message time). Images that do
+    not fit the table's types and NOT NULLs are left out (see `image_rejects`)."""
+    names = (schema or _image_schema(table)).names
+    rows = _typed(changes, table, schema, prefix).where(F.col("problem").isNull())
+    return rows.select(*[F.col("i")[n].alias(n) for n in names], F.col("op").alias("_op"), F.col("partition").alias("_partition"),
+                       F.col("offset").alias("_offset"), F.col("timestamp").alias("_load_ts"))
+
+
+def image_rejects(changes: DataFrame, tables: Sequence[str], prefix: str = TOPIC_PREFIX) -> DataFrame:
+    """Accepted changes whose image cannot be stored, as quarantine rows."""
+    out = None
+    for t in tables:
+        bad = _typed(changes, t, None, prefix).where(F.col("problem").isNotNull()).select(
+            "topic", "partition", "offset", "timestamp", F.lit(None).cast("string").alias("key"), F.col("data").alias("value"),
+            F.col("problem").alias("reject_reason"))
+        out = bad if out is None else out.unionByName(bad)
+    return out
 
 
 def _image_schema(table: str) -> T.StructType:

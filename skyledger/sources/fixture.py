@@ -21,7 +21,6 @@ from ..lazy import LazyTables
 # the SQL oracle for results to match.
 DEFAULT_AS_OF = dt.date(2001, 8, 1)
 FLIGHT_STATUS_BY_SIZE_MOD_5 = ["Arrived", "Arrived", "Departed", "Scheduled", "Cancelled"]
-TICKET_RETURNFLAG = "N"
 BOARDED_LINESTATUS = "F"
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -35,6 +34,13 @@ def _pad(c: Column, n: int) -> Column:
     return F.lpad(c.cast("string"), n, "0")
 
 
+def _book_ref(key: Column) -> Column:
+    """Six-character code of an order key: its base-36 digits, an error beyond six of them."""
+    code = F.lpad(F.conv(key.cast("string"), 10, 36), 6, "0")
+    return F.when(key.between(0, 36 ** 6 - 1), code).when(
+        key.isNotNull(), F.raise_error(F.concat(F.lit("order key outside six base-36 digits: "), key.cast("string"))).cast("string"))
+
+
 def _airport(c: Column) -> Column:
     return F.concat(F.lit("A"), _pad(c, 2))
 
@@ -69,7 +75,7 @@ def flights(part: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     arr = F.when(hub, (dep + 1 + size % 24) % 25).otherwise((dep + 1 + size % 4) % 5)
     status = F.element_at(F.array(*[F.lit(s) for s in FLIGHT_STATUS_BY_SIZE_MOD_5]),
                           (size % 5 + 1).cast("int"))
-    day_offset = (F.lit(5) - k % 41 - F.when((k % 7) == 0, 400).otherwise(0)).cast("int")
+    day_offset = (F.lit(5) - k % 123 - F.when((k % 7) == 0, 400).otherwise(0)).cast("int")
     base = F.to_timestamp(F.lit(as_of.isoformat()))
     sched_dep = (base + F.make_dt_interval(day_offset, (size % 24).cast("int")))
     flown = status.isin("Arrived", "Departed")
@@ -90,7 +96,7 @@ def flights(part: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
 
 
 def bookings(orders: DataFrame) -> DataFrame:
-    return orders.select(_pad(F.col("o_orderkey"), 6).alias("book_ref"),
+    return orders.select(_book_ref(F.col("o_orderkey")).alias("book_ref"),
                          F.col("o_orderdate").cast("timestamp").alias("book_date"),
                          F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"))
 
@@ -98,21 +104,19 @@ def bookings(orders: DataFrame) -> DataFrame:
 def tickets(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .select(_pad(F.col("o_orderkey"), 13).alias("ticket_no"),
-                    _pad(F.col("o_orderkey"), 6).alias("book_ref"),
+                    _book_ref(F.col("o_orderkey")).alias("book_ref"),
                     F.col("c_custkey").cast("string").alias("passenger_id"),
                     F.col("c_name").alias("passenger_name"),
                     F.concat(F.lit('{"segment":"'), F.col("c_mktsegment"), F.lit('"}')).alias("contact_data")))
 
 
-def _legs(lineitem: DataFrame, boarded_only: bool) -> DataFrame:
-    cond = F.col("l_returnflag") == TICKET_RETURNFLAG
-    if boarded_only:
-        cond = cond & (F.col("l_linestatus") == BOARDED_LINESTATUS)
-    return lineitem.where(cond).groupBy("l_orderkey", "l_partkey")
+def _legs(lineitem: DataFrame):
+    """Every (order, part) pair is a ticket leg."""
+    return lineitem.groupBy("l_orderkey", "l_partkey")
 
 
 def ticket_flights(lineitem: DataFrame) -> DataFrame:
-    return (_legs(lineitem, False)
+    return (_legs(lineitem)
             .agg(F.min("l_tax").cast("decimal(10,2)").alias("fare_conditions"),
                  F.sum(F.col("l_extendedprice").cast("decimal(10,2)")).cast("decimal(10,2)").alias("amount"))
             .select(_pad(F.col("l_orderkey"), 13).alias("ticket_no"),
@@ -121,9 +125,12 @@ def ticket_flights(lineitem: DataFrame) -> DataFrame:
 
 
 def boarding_passes(lineitem: DataFrame) -> DataFrame:
-    return (_legs(lineitem, True)
-            .agg(F.min("l_linenumber").alias("boarding_no"),
-                 F.min("l_quantity").alias("q"))
+    """One pass for each leg that was boarded (a line of it has the boarded status)."""
+    boarded = F.col("l_linestatus") == BOARDED_LINESTATUS
+    return (_legs(lineitem)
+            .agg(F.min(F.when(boarded, F.col("l_linenumber"))).alias("boarding_no"),
+                 F.min(F.when(boarded, F.col("l_quantity"))).alias("q"))
+            .where(F.col("boarding_no").isNotNull())
             .select(_pad(F.col("l_orderkey"), 13).alias("ticket_no"),
                     F.col("l_partkey").cast("int").alias("flight_id"),
                     F.col("boarding_no").cast("int").alias("boarding_no"),
@@ -186,9 +193,8 @@ def change_feed(events: DataFrame, prefix: str = "airline.public", partitions: i
     """Kafka-like change messages: every event becomes one airports message and
     one aircrafts message, offset = event_id, message time = event ts.
 
-    Like a keyed topic, messages are spread over `partitions` topic partitions
-    by a hash of their key (Spark partitions follow them), so parsing runs in
-    parallel as it does when reading a real topic.
+    Like a keyed topic, messages are numbered into `partitions` topic partitions
+    by a hash of their key; Spark's own split of the input stays as it is read.
     """
     op = F.try_element_at(F.create_map(*[F.lit(x) for kv in EVENT_OPS.items() for x in kv]), F.col("event_type"))
 
@@ -206,7 +212,7 @@ def change_feed(events: DataFrame, prefix: str = "airline.public", partitions: i
         F.struct(F.lit(f"{prefix}.aircrafts").alias("topic"), envelope(aircraft_image(events)).alias("value")),
     )
     keyed = events.select("event_id", "ts", "user_id", "event_type", "value",
-                          part.alias("partition")).repartition(partitions, "partition")
+                          part.alias("partition"))
     return (keyed.select("event_id", "ts", "user_id", "partition", F.explode(msgs).alias("m"))
             .select(F.col("m.topic").alias("topic"), "partition",
                     F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import latest_version
-from ..operators.sinks import append_batch
+from ..operators.sinks import append_batch, path_exists
 from ..plans import vault
 from ..sources import cdc
 
@@ -130,6 +130,53 @@ def stream_ticket_legs(src, stored) -> DataFrame | None:
     return out
 
 
+PENDING = {"ticket_flights": "ticket_no string, flight_id int, fare_conditions decimal(10,2), amount decimal(10,2), _load_ts timestamp",
+           "boarding_passes": "ticket_no string, flight_id int, boarding_no int, seat_no string, _load_ts timestamp"}
+
+
+def read_pending(spark: SparkSession, root: str, batch_id: int) -> dict[str, DataFrame]:
+    """Legs and passes that still waited for their ticket or leg after the last batch before `batch_id`."""
+    out = {}
+    for name, schema in PENDING.items():
+        path = f"{root.rstrip('/')}/_pending_{name}"
+        if not path_exists(spark, path):
+            continue
+        rows = spark.read.schema(f"{schema}, batch_id long").parquet(path).where(F.col("batch_id") < batch_id)
+        last = rows.agg(F.max("batch_id")).first()[0]
+        if last is not None:
+            out[name] = rows.where((F.col("batch_id") == last) & F.col("ticket_no").isNotNull()).drop("batch_id")
+    return out
+
+
+def write_pending(spark: SparkSession, root: str, batch_id: int, waiting: dict[str, DataFrame]) -> None:
+    """What waits after this batch; a row without a ticket marks the batch even if nothing does."""
+    for name, schema in PENDING.items():
+        rows = spark.createDataFrame([], schema)
+        mark = rows.unionByName(spark.range(1).selectExpr(*[f"CAST(NULL AS {c.split(' ', 1)[1]}) AS {c.split(' ', 1)[0]}" for c in schema.split(", ")]))
+        if name in waiting:
+            mark = mark.unionByName(waiting[name].select(*rows.columns))
+        append_batch(mark, f"{root.rstrip('/')}/_pending_{name}", batch_id)
+
+
+def with_pending(src, pending: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Sources of a batch with the rows that waited for it."""
+    out = dict(src)
+    for name, rows in pending.items():
+        own = src[name].select(*rows.columns) if name in src else None
+        out[name] = rows if own is None else own.unionByName(rows)
+    return out
+
+
+def still_waiting(src, legs: DataFrame | None) -> dict[str, DataFrame]:
+    """Leg and pass rows of a batch that led to no ticket leg."""
+    out = {}
+    for name in PENDING:
+        if name in src:
+            rows = src[name].select(*[c.split(" ")[0] for c in PENDING[name].split(", ")])
+            out[name] = rows if legs is None else rows.join(legs.select(*LEG_KEYS).distinct(), LEG_KEYS, "left_anti")
+    return out
+
+
 def change_sources(changes: DataFrame, tables: Sequence[str], include_snapshot: bool = False,
                    prefix: str = cdc.TOPIC_PREFIX) -> dict[str, DataFrame]:
     """Row images per table that produce history rows: creates and updates
@@ -145,11 +192,15 @@ def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Seque
     staged = batch.persist()
     try:
         if quarantine_path:
-            append_batch(cdc.quarantine(staged), quarantine_path, batch_id)
+            rejects = cdc.quarantine(staged).unionByName(cdc.image_rejects(cdc.parse_changes(staged, include_snapshot), tables, prefix))
+            append_batch(rejects, quarantine_path, batch_id)
         changes = cdc.parse_changes(staged, include_snapshot)
         src = change_sources(changes, tables, include_snapshot, prefix)
         if {"ticket_flights", "boarding_passes"} & set(tables):
+            # topics have no mutual order: legs and passes wait until their ticket or leg is known
+            src = with_pending(src, read_pending(spark, root, batch_id))
             legs = stream_ticket_legs(src, vault.read_vault(spark, root, before_batch=batch_id))
+            write_pending(spark, root, batch_id, still_waiting(src, legs))
             src = {k: v for k, v in src.items() if k not in ("ticket_flights", "boarding_passes")}
             if legs is not None:
                 src["ticket_legs"] = legs

@@ -4,6 +4,8 @@ filters pushed into the parquet scan."""
 import datetime as dt
 import re
 
+import pytest
+
 from skyledger.plans import dashboards, marts, vault
 from skyledger.sources import fixture
 from skyledger.sources.tables import read_tables, write_tables
@@ -50,11 +52,23 @@ def test_filters_reach_parquet_scan(spark, scratch):
     assert scans and all("flight_no" not in s and "aircraft_code" not in s for s in scans)
 
 
-def test_flow_mart_broadcasts_the_day_not_the_fact_table(spark):
+def test_no_broadcast_beyond_the_session_threshold(spark):
     t = fixture.airline_tables(spark, SF_SMALL)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only the checked hint may broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = _plan(marts.build_airport_passenger_flow(t, AS_OF))
+        v = _vault(spark)
+        plans = [_plan(marts.build_airport_passenger_flow(t, AS_OF)), _plan(dashboards.airport_traffic_share(v, AS_OF)),
+                 _plan(dashboards.active_airports_30d(v, AS_OF))]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in p
+    assert all("BroadcastHashJoin" not in p for p in plans)
+
+
+def test_booking_codes_are_unique_beyond_ten_million(spark):
+    keys = spark.range(14_999_000, 15_001_000).union(spark.range(149_000, 151_000)).union(spark.range(2_176_782_000, 2_176_782_336))
+    orders = keys.selectExpr("id AS o_orderkey", "current_timestamp() AS o_orderdate", "1.0 AS o_totalprice")
+    codes = fixture.bookings(orders).select("book_ref")
+    assert codes.distinct().count() == keys.count()
+    assert codes.selectExpr("min(length(book_ref))", "max(length(book_ref))").first()[:] == (6, 6)
+    with pytest.raises(Exception, match="base-36"):
+        fixture.bookings(spark.range(36 ** 6, 36 ** 6 + 1).selectExpr("id AS o_orderkey", "current_timestamp() AS o_orderdate", "1.0 AS o_totalprice")).collect()
