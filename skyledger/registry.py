@@ -21,6 +21,7 @@ from .functions import keys
 from .lazy import LazyTables
 from .operators import joins, quality, ranking, sinks
 from .plans import checks
+from .schemas import PRIMARY_KEYS
 from .sources import cdc, fixture
 from .streaming import vault_stream
 
@@ -178,6 +179,30 @@ for _name in ("hub_airports", "sat_airport_details", "hub_aircrafts", "sat_aircr
     _cdc_table(_name)
 
 
+def _legs_before_tickets(spark, sf_dir) -> dict:
+    """History layer after two change batches over all bookings: the legs and their
+    passes first, the bookings and tickets they wait for second."""
+    t, root = _airline(spark, sf_dir), scratch_path(spark, "cdc-legs")
+    groups = (("ticket_flights", "boarding_passes"), ("bookings", "tickets"))
+    names = [n for g in groups for n in g]
+    for i, group in enumerate(groups):
+        feeds = [cdc.to_envelopes(cdc.snapshot_diff(t[n].limit(0), t[n], PRIMARY_KEYS[n]), n) for n in group]
+        vault_stream.load_changes_batch(feeds[0].unionByName(feeds[1]), i, root, names)
+    return vault.read_vault(spark, root)
+
+
+@register("cdc_link_ticket_flight")
+def _cdc_links(spark, sf_dir):
+    """Ticket-flight links loaded from a change feed whose legs come a batch before their tickets."""
+    return _legs_before_tickets(spark, sf_dir)["link_ticket_flight"].drop("load_date")
+
+
+@register("cdc_sat_ticket_flight_details")
+def _cdc_leg_details(spark, sf_dir):
+    """Leg details of the same feed, with the boarding data that waited with them."""
+    return _legs_before_tickets(spark, sf_dir)["sat_ticket_flight_details"].drop("load_date")
+
+
 @register("hash_compat_airports")
 def _hash_compat(spark, sf_dir):
     """Record hash of each airports change image in the reference's encoding."""
