@@ -20,7 +20,7 @@ from .session import apply_required_conf, scratch_path
 from .functions import keys
 from .lazy import LazyTables
 from .operators import joins, quality, ranking, sinks
-from .plans import checks
+from .plans import checks, views
 from .schemas import PRIMARY_KEYS
 from .sources import cdc, fixture
 from .streaming import vault_stream
@@ -150,6 +150,16 @@ def _k5(spark, sf_dir):
     return dashboards.daily_series(_vault(spark, sf_dir), AS_OF)
 
 
+@register("sql_view_passenger_groups")
+def _view(spark, sf_dir):
+    """Q5 and Q1 through their SQL views: each group next to the number of airports with departures."""
+    views.create_views(spark, _airline(spark, sf_dir), _vault(spark, sf_dir), AS_OF, prefix="sky_")
+    return spark.sql("""
+        SELECT passenger_group, passenger_count, group_revenue,
+               (SELECT count(*) FROM sky_airport_traffic WHERE departure_flights_num > 0) AS departure_airports
+        FROM sky_passenger_groups_revenue""")
+
+
 # --- change capture ---------------------------------------------------------------------
 def _feed(spark, sf_dir):
     return fixture.change_feed(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
@@ -203,6 +213,15 @@ def _cdc_leg_details(spark, sf_dir):
     return _legs_before_tickets(spark, sf_dir)["sat_ticket_flight_details"].drop("load_date")
 
 
+@register("changed_versions_aircrafts")
+def _changed(spark, sf_dir):
+    """Which aircraft change images differ from their predecessor (message order) of the same aircraft."""
+    img = cdc.typed_images(cdc.parse_changes(_feed(spark, sf_dir)), "aircrafts").where("_op <> 'd'")
+    rows = img.select("aircraft_code", F.col("_offset").alias("offset"), "model", "range",
+                      keys.hash_columns(img, ["aircraft_code", "model", "range"]).alias("hash_diff"))
+    return ranking.mark_changes(rows, "aircraft_code", "offset").select("aircraft_code", "offset", "is_change")
+
+
 @register("hash_compat_airports")
 def _hash_compat(spark, sf_dir):
     """Record hash of each airports change image in the reference's encoding."""

@@ -13,15 +13,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package relies on. Time zone is pinned because
-# the reference computes calendar days in UTC; ANSI stays on so that narrowing
-# casts (NUMERIC(10,2), INTEGER) raise instead of wrapping.
-REQUIRED_CONF = {
-    "spark.sql.session.timeZone": "UTC",
+# The one setting results depend on: calendar days are taken in UTC.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+# What a session made here starts with; a given session keeps its own.
+DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.ansi.enabled": "true",
 }
 
 
@@ -31,7 +31,7 @@ def build_session(master: str | None = None, app: str = "skyledger",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(REQUIRED_CONF)
+    conf = {**REQUIRED_CONF, **DEFAULT_CONF}
     conf.update({
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -54,9 +54,10 @@ def build_session(master: str | None = None, app: str = "skyledger",
 
 
 def apply_required_conf(spark: SparkSession) -> None:
-    """Pin the settings the query semantics depend on (runtime-settable ones)."""
+    """Pin the time zone; all other settings stay the session's own."""
     for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

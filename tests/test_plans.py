@@ -72,3 +72,15 @@ def test_booking_codes_are_unique_beyond_ten_million(spark):
     assert codes.selectExpr("min(length(book_ref))", "max(length(book_ref))").first()[:] == (6, 6)
     with pytest.raises(Exception, match="base-36"):
         fixture.bookings(spark.range(36 ** 6, 36 ** 6 + 1).selectExpr("id AS o_orderkey", "current_timestamp() AS o_orderdate", "1.0 AS o_totalprice")).collect()
+
+
+def test_dashboard_rows_come_in_order(spark):
+    v = _vault(spark)
+    days = [r.flight_date for r in dashboards.active_airports_30d(v, AS_OF).collect()]
+    assert days == sorted(days) and len(days) > 1
+    assert [r.flight_date for r in dashboards.passenger_metrics_30d(v, AS_OF).collect()] == sorted(
+        r.flight_date for r in dashboards.passenger_metrics_30d(v, AS_OF).collect())
+    flights = [r.total_flights for r in dashboards.airport_traffic_share(v, AS_OF).collect()]
+    assert flights == sorted(flights, reverse=True)
+    money = [r.group_revenue for r in dashboards.passenger_groups_revenue(v, AS_OF).collect()]
+    assert money == sorted(money, reverse=True)
