@@ -38,7 +38,7 @@ TREES, DEPTH = 16, 8
 HASHES = TREES * DEPTH
 MIN_DEPTH = 3
 WINDOW = 4
-BLOCK_SHINGLES = 400_000  # sets of one task's block
+BLOCK_SHINGLES = 150_000  # sets of one task's block
 SALTS = 32               # parts into which the copies of one set are dealt
 
 _LOWER = np.arange(256, dtype=np.uint8)
