@@ -7,6 +7,7 @@ counts (one number per rule) reach the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,18 +69,96 @@ def check_foreign_key(child, child_cols, parent, parent_cols) -> None:
         raise DataQualityError(f"foreign key {list(child_cols)} has orphans")
 
 
-def schema_violations(df: DataFrame, schema: T.StructType,
-                      text_limits: Mapping[str, tuple[str, int]] | None = None) -> DataFrame:
-    """One row with per-column counts of NOT NULL and CHAR/VARCHAR length violations."""
+def schema_rules(schema: T.StructType, columns: Sequence[str],
+                 text_limits: Mapping[str, tuple[str, int]] | None = None) -> dict[str, Column]:
+    """Predicates of NOT NULL and CHAR/VARCHAR length violations of the columns present."""
     rules = {}
     for f in schema.fields:
-        if not f.nullable and f.name in df.columns:
+        if not f.nullable and f.name in columns:
             rules[f"{f.name}_null"] = F.col(f.name).isNull()
     for col, (kind, n) in (text_limits or {}).items():
-        if col in df.columns:
+        if col in columns:
             ln = F.length(F.col(col))
             rules[f"{col}_length"] = (ln != n) if kind == "char" else (ln > n)
-    return rule_counts(df, rules)
+    return rules
+
+
+def schema_violations(df: DataFrame, schema: T.StructType,
+                      text_limits: Mapping[str, tuple[str, int]] | None = None) -> DataFrame:
+    """One row with per-column counts of NOT NULL and CHAR/VARCHAR length violations."""
+    return rule_counts(df, schema_rules(schema, df.columns, text_limits))
+
+
+# --- many constraints in one pass ----------------------------------------------------
+@dataclass
+class Constraints:
+    """Declared constraints of a set of tables.
+
+    keys: (check, table, columns): no value twice (NULL counts as a value).
+    references: (check, table, columns, parent table, parent columns): every value
+    without a NULL occurs in the parent.
+    rules: (check, table, predicate): no row for which the predicate holds.
+    """
+    keys: list[tuple[str, str, list[str]]] = field(default_factory=list)
+    references: list[tuple[str, str, list[str], str, list[str]]] = field(default_factory=list)
+    rules: list[tuple[str, str, Column]] = field(default_factory=list)
+
+
+def _key_text(schema: T.StructType, cols: Sequence[str]) -> Column:
+    """The values of `cols` as one text, different for different values (NULL is left out of the object)."""
+    texts = [F.hex(F.col(c)) if isinstance(schema[c].dataType, T.BinaryType) else F.col(c).cast("string") for c in cols]
+    return F.to_json(F.struct(*[t.alias(f"c{i}") for i, t in enumerate(texts)]))
+
+
+def violation_report(tables: Mapping[str, DataFrame], c: Constraints) -> DataFrame:
+    """One row per constraint: (check_name, violations). A key counts its repeated
+    values, a reference its rows without a parent, a rule the rows that break it.
+
+    Every table is read once: a row gives one small record per constraint it takes
+    part in (as key, child or parent; for a rule only if it breaks it). All records
+    meet in one aggregate by (constraint, value), which combines on the map side, so a
+    value that a third of the rows hold is one record a task; a second, tiny one
+    counts per constraint.
+    """
+    per_table: dict[str, list[Column]] = {}
+    names = []
+
+    def add(table: str, check: str, kind: str, key: Column, parent: bool, when: Column) -> None:
+        rec = F.struct(F.lit(check).alias("check_name"), F.lit(kind).alias("kind"), key.alias("key"),
+                       F.lit(0 if parent else 1).cast("long").alias("n"), F.lit(parent).alias("parent"))
+        per_table.setdefault(table, []).append(F.when(when, rec))
+
+    def present(table: str, cols: Sequence[str]) -> Column:
+        out = F.lit(True)
+        for x in cols:
+            out = out & F.col(x).isNotNull()
+        return out
+
+    for check, table, cols in c.keys:
+        names.append(check)
+        add(table, check, "key", _key_text(tables[table].schema, cols), False, F.lit(True))
+    for check, table, cols, ptable, pcols in c.references:
+        names.append(check)
+        add(table, check, "reference", _key_text(tables[table].schema, cols), False, present(table, cols))
+        add(ptable, check, "reference", _key_text(tables[ptable].schema, pcols), True, present(ptable, pcols))
+    for check, table, broken in c.rules:
+        names.append(check)
+        add(table, check, "rule", F.lit(""), False, F.coalesce(broken, F.lit(False)))
+    records = None
+    for table, recs in per_table.items():
+        r = (tables[table].select(F.explode(F.filter(F.array(*recs), lambda x: x.isNotNull())).alias("r"))
+             .select("r.*"))
+        records = r if records is None else records.unionByName(r)
+    by_value = (records.groupBy("check_name", "kind", "key")
+                .agg(F.sum("n").alias("n"), F.max("parent").alias("has_parent")))
+    broken = (F.when(F.col("kind") == "key", (F.col("n") > 1).cast("long"))
+              .when(F.col("kind") == "reference", F.when(F.col("has_parent"), F.lit(0)).otherwise(F.col("n")))
+              .otherwise(F.col("n")))
+    found = by_value.groupBy("check_name").agg(F.sum(broken).alias("violations"))
+    # a constraint without any record still has its row
+    zero = records.sparkSession.createDataFrame([(n,) for n in names], "check_name string")
+    return (zero.join(found, "check_name", "left")
+            .select("check_name", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))
 
 
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:

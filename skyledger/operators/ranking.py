@@ -43,60 +43,41 @@ def modal_value(df: DataFrame, keys: Sequence[str], value: str, ts: str | None =
 
 
 # --- percent rank ------------------------------------------------------------
-MAX_RANK_BUCKETS = 256
-
-
 def percent_rank(df: DataFrame, col: str, descending: bool = True, out: str = "percent_rank",
-                 buckets: int | None = None, relative_error: float | None = None,
-                 materialize: bool = True) -> DataFrame:
+                 buckets: int | None = None, materialize: bool = True) -> DataFrame:
     """Exact `PERCENT_RANK() OVER (ORDER BY col [DESC])` without a one-partition sort.
 
     1. rows are counted per distinct value (a value held by a third of all rows
        becomes one row);
-    2. distinct values are cut into `buckets` value ranges at approximate
-       quantiles; a bucket is a pure function of the value, so equal values
-       always share one and the ranks stay exact whatever the quantile error;
-    3. per bucket: row total; the exclusive prefix over buckets is computed on
-       that tiny table (one row per bucket) and broadcast;
-    4. inside a bucket a window (partitioned by bucket) gives the rows ahead of
-       each value; rank = 1 + prefix + rows ahead; pr = (rank-1)/(n-1), 0 if n=1.
+    2. the distinct values are range-partitioned by Spark in rank order, into as
+       many partitions as the session shuffles with (or `buckets`): the number
+       of ranges grows with the cluster setting, and equal values are one row;
+    3. per range: row total; the exclusive prefix over ranges is computed on that
+       table (one row per shuffle partition, the proven bound of its broadcast);
+    4. inside a range a window gives the rows ahead of each value;
+       rank = 1 + prefix + rows ahead; pr = (rank-1)/(n-1), 0 if n=1.
     NULL values sort first in DESC and last in ASC (PostgreSQL order).
 
-    The quantile pass and the ranking pass both read `df`; with
-    `materialize=True` it is computed once into the shared checkpoint folder
-    (lineage cut), so an expensive upstream join runs once, not twice.
+    `df` is read twice, by the counts and by the join back: with
+    `materialize=True` it is computed once into the shared checkpoint folder. The
+    ranges are fixed by a lazy checkpoint, so both of their readers see the same
+    ones. Spark removes such files with the session's
+    `spark.cleaner.referenceTracking.cleanCheckpoints`.
     """
-    spark = df.sparkSession
+    from .sinks import materialise
     if materialize:
-        from .sinks import materialise
         df = materialise(df)
     v = F.col(col)
+    order = v.desc_nulls_first() if descending else v.asc_nulls_last()
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    # one range bucket per shuffle partition, capped: the bucket expression is a
-    # chain of comparisons and the per-bucket totals are broadcast
-    nb = buckets or max(1, min(MAX_RANK_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
-    cuts: list[float] = []
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        err = relative_error if relative_error is not None else 1.0 / (4 * nb)
-        qs = counts.where(v.isNotNull()).select(v.cast("double").alias("_q")).approxQuantile("_q", probs, err)
-        cuts = sorted(set(qs))
-    # bucket index increases with the sort order (DESC: larger values first)
-    vd = v.cast("double")
-    b = F.lit(0)
-    for c in cuts:
-        b = b + F.when(vd > F.lit(c), 1).otherwise(0)
-    if descending:
-        b = F.lit(len(cuts)) - b
-    b = F.when(v.isNull(), F.lit(-1) if descending else F.lit(len(cuts) + 1)).otherwise(b)
-    bucketed = counts.withColumn("_b", b)
-    totals = bucketed.groupBy("_b").agg(F.sum("_c").alias("_bt"))
+    ranges = counts.repartitionByRange(buckets, order) if buckets else counts.repartitionByRange(order)
+    ranges = materialise(ranges.withColumn("_b", F.spark_partition_id()), eager=False)
+    totals = ranges.groupBy("_b").agg(F.sum("_c").alias("_bt"))
     w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prefix = totals.select("_b", (F.sum("_bt").over(w_all) - F.col("_bt")).alias("_before"),
                            F.sum("_bt").over(Window.partitionBy()).alias("_n"))
-    order = v.desc_nulls_first() if descending else v.asc_nulls_last()
     w_in = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (bucketed.join(F.broadcast(prefix), "_b")
+    ranked = (ranges.join(F.broadcast(prefix), "_b")
               .withColumn("_ahead", F.sum("_c").over(w_in) - F.col("_c"))
               .select(col, (F.col("_before") + F.col("_ahead")).alias("_rank0"), "_n"))
     pr = F.when(F.col("_n") > 1, F.col("_rank0").cast("double") / (F.col("_n") - 1).cast("double")).otherwise(0.0)

@@ -96,10 +96,11 @@ def ensure_dataset(spark: SparkSession, path: str, schema: T.StructType, version
 
 
 # --- publishing sinks -------------------------------------------------------------
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared checkpoint folder and cut its lineage."""
+def materialise(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Compute `df` once into the shared checkpoint folder and cut its lineage
+    (`eager=False`: with the first job that reads it)."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=eager)
 
 
 def publish(df: DataFrame, checks: Sequence[Check], write: Callable[[DataFrame], None]) -> DataFrame:

@@ -3,9 +3,10 @@
 As written, the reference joins every satellite version, so each extra
 version of a flight or booking multiplies COUNT(*) and SUM (T10), and the
 booking total is summed once per ticket-flight (T11). Those numbers are
-reproduced exactly without materialising the fan-out: satellites are first
-reduced to *version weights* per parent (how many versions, and the sum of
-their amounts), and the weights are multiplied along the join chain.
+reproduced exactly without carrying the fan-out along: the rows of the window
+are cut first, each satellite is reduced to *version weights* of those rows (how
+many versions, and the sum of their amounts) in the stage that joins it, and the
+weights are multiplied along the join chain.
 `latest=True` reads only the current version of every satellite;
 `revenue="ticket_amount"` sums the ticket-flight amounts instead of booking
 totals (the corrected variants).
@@ -34,6 +35,24 @@ def _sat(v: dict[str, DataFrame], name: str, parent: str, latest: bool) -> DataF
     return latest_version(s, parent, "load_date") if latest else s
 
 
+def _per_row(rows: DataFrame, sat: DataFrame, parent: str, value: str, latest: bool,
+             how: str = "inner") -> DataFrame:
+    """`rows` with `_versions` and `_value` of their parent: the number of satellite
+    versions and the sum of `value` over them, or 1 and the value of the newest one.
+
+    The window's rows meet the satellite first and are grouped by themselves
+    afterwards. The groups lie inside the parent key the join is partitioned by, so
+    this adds no shuffle, and versions outside the window are never aggregated.
+    """
+    versions = sat.select(parent, F.col(value).alias("_one"), F.col("load_date").alias("_at"),
+                          F.lit(1).alias("_hit"))
+    if latest:
+        measures = [F.max("_hit").cast("long").alias("_versions"), F.max_by("_one", "_at").alias("_value")]
+    else:
+        measures = [F.count("_hit").alias("_versions"), F.sum("_one").alias("_value")]
+    return rows.join(versions, parent, how).groupBy(*rows.columns).agg(*measures)
+
+
 def _window_filter(ts: Column, as_of, until=None) -> Column:
     since = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(WINDOW_DAYS))
     cond = ts >= since
@@ -45,41 +64,37 @@ def _window_filter(ts: Column, as_of, until=None) -> Column:
 def flight_versions(v, as_of, until=None, latest=False, by_date=False) -> DataFrame:
     """flight_hub_id [, flight_date] -> fv: satellite versions inside the window
     (restricted to flights present in hub_flights)."""
-    fd = _sat(v, "sat_flight_details", "flight_hub_id", latest)
-    fd = fd.where(_window_filter(F.col("scheduled_departure"), as_of, until))
+    fd = v["sat_flight_details"].select("flight_hub_id", "scheduled_departure", "load_date")
+    inside = _window_filter(F.col("scheduled_departure"), as_of, until)
+    if latest:
+        # only a flight with some version inside the window can have its newest one there
+        fd = fd.join(fd.where(inside).select("flight_hub_id").distinct(), "flight_hub_id", "left_semi")
+        fd = fd.groupBy("flight_hub_id").agg(F.max_by("scheduled_departure", "load_date").alias("scheduled_departure"))
     keys = ["flight_hub_id"] + (["flight_date"] if by_date else [])
-    fd = fd.select("flight_hub_id", F.to_date("scheduled_departure").alias("flight_date"))
+    fd = fd.where(inside).select("flight_hub_id", F.to_date("scheduled_departure").alias("flight_date"))
     w = fd.groupBy(*keys).agg(F.count(F.lit(1)).alias("fv"))
     return w.join(v["hub_flights"].select("flight_hub_id"), "flight_hub_id", "left_semi")
 
 
-def booking_weights(v, latest=False) -> DataFrame:
-    """booking_hub_id -> bv (versions), bsum (sum of total_amount over versions)."""
-    bd = _sat(v, "sat_booking_details", "booking_hub_id", latest)
-    w = bd.groupBy("booking_hub_id").agg(F.count(F.lit(1)).alias("bv"), F.sum("total_amount").alias("bsum"))
-    return w.join(v["hub_bookings"].select("booking_hub_id"), "booking_hub_id", "left_semi")
-
-
 def ticket_rows(v, flights_w: DataFrame, latest=False, revenue="booking_total") -> DataFrame:
     """Ticket-flight links of the window's flights with their booking and weight.
 
     Columns: flight_hub_id, passenger_hub_id, [flight_date,] fv, bv, money
     where `money` is what one join row contributes to SUM(...) times its
-    multiplicity from the booking side.
+    multiplicity from the booking side. The window's flights cut the links before
+    any satellite is touched.
     """
     tf = v["link_ticket_flight"].select("ticket_flight_link_id", "ticket_booking_link_id", "flight_hub_id")
-    # the window's flights first: the most selective join, so the big link is cut early
-    rows = tf.join(flights_w, "flight_hub_id")
     tb = v["link_ticket_booking"].select("ticket_booking_link_id", "booking_hub_id", "passenger_hub_id")
-    rows = rows.join(tb, "ticket_booking_link_id").join(booking_weights(v, latest), "booking_hub_id")
-    if revenue == "booking_total":
-        rows = rows.withColumn("money", F.col("bsum"))
-    else:
-        sd = _sat(v, "sat_ticket_flight_details", "ticket_flight_link_id", latest)
-        amt = sd.groupBy("ticket_flight_link_id").agg(F.sum("amount").alias("_amt"))
-        rows = rows.join(amt, "ticket_flight_link_id", "left").withColumn(
-            "money", F.coalesce("_amt", F.lit(0)).cast("decimal(20,2)") * F.col("bv"))
-    return rows
+    rows = tf.join(flights_w, "flight_hub_id")
+    if revenue == "ticket_amount":
+        rows = (_per_row(rows, v["sat_ticket_flight_details"], "ticket_flight_link_id", "amount", latest, "left")
+                .withColumn("_amt", F.coalesce("_value", F.lit(0))).drop("_value", "_versions"))
+    rows = rows.join(tb, "ticket_booking_link_id").drop("ticket_booking_link_id")
+    rows = rows.join(v["hub_bookings"].select("booking_hub_id"), "booking_hub_id", "left_semi")
+    rows = _per_row(rows, v["sat_booking_details"], "booking_hub_id", "total_amount", latest)
+    money = F.col("_value") if revenue == "booking_total" else F.col("_amt").cast("decimal(20,2)") * F.col("_versions")
+    return rows.withColumns({"bv": F.col("_versions"), "money": money}).drop("_versions", "_value")
 
 
 # --- Q2 active airports per day ----------------------------------------------------

@@ -324,6 +324,24 @@ def _op_quality(spark, sf_dir):
     return checks.constraint_report(t)
 
 
+@register("constraint_violations_legs")
+def _op_violations(spark, sf_dir):
+    """The same checks where they are broken: ticket legs of one snapshot against boarding
+    passes and flights of others, with keys that repeat and limits that are passed."""
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    t = {"legs": fixture.ticket_flights_snapshot(li, fixture.SNAPSHOT_OLD_FLAGS),
+         "later_legs": fixture.ticket_flights_snapshot(li, fixture.SNAPSHOT_NEW_FLAGS),
+         "passes": fixture.boarding_passes(li)}
+    return quality.violation_report(t, quality.Constraints(
+        keys=[("pk:legs", "legs", ["ticket_no", "flight_id"]), ("pk:legs.ticket_no", "legs", ["ticket_no"]),
+              ("pk:passes.seat", "passes", ["flight_id", "seat_no"])],
+        references=[("fk:passes.leg", "passes", ["ticket_no", "flight_id"], "legs", ["ticket_no", "flight_id"]),
+                    ("fk:legs.later", "legs", ["ticket_no", "flight_id"], "later_legs", ["ticket_no", "flight_id"]),
+                    ("fk:later.ticket", "later_legs", ["ticket_no"], "legs", ["ticket_no"])],
+        rules=[("col:passes.seat_length", "passes", F.length("seat_no") > 2),
+               ("col:legs.amount", "legs", F.col("amount") > 50000), ("col:legs.ticket_null", "legs", F.col("ticket_no").isNull())]))
+
+
 @register("flow_mart_rule_counts")
 def _op_rules(spark, sf_dir):
     """Violation counts of the passenger-flow mart's publish rules."""
