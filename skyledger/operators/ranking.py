@@ -141,11 +141,36 @@ def latest_version(df: DataFrame, parent: Sequence[str] | str, order: Sequence[s
             .select(*parent, *[F.col(f"_r.{c}").alias(c) for c in payload]))
 
 
-def mark_changes(df: DataFrame, parent: Sequence[str] | str, order: Sequence[str] | str,
-                 hash_col: str = "hash_diff", out: str = "is_change") -> DataFrame:
-    """Flag rows whose hash differs from the previous row of the same parent."""
+def previous_value(df: DataFrame, parent: Sequence[str] | str, order: Sequence[str] | str, value: str,
+                   out: str, buckets: int | None = None) -> DataFrame:
+    """`LAG(value) OVER (PARTITION BY parent ORDER BY order)` with hot parents split.
+
+    Rows are range-partitioned by (parent, order), so a parent that holds a third
+    of all rows spreads over as many tasks as it needs. Inside a range a window
+    looks one row back; the first row of a range gets the last row of the range
+    before it (one such row per shuffle partition, the proven bound of its broadcast),
+    if that has the same parent. Rows of equal parent and order stand in any order.
+    """
+    from .sinks import materialise
     parent = [parent] if isinstance(parent, str) else list(parent)
     order = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy(*parent).orderBy(*order)
-    prev = F.lag(hash_col).over(w)
-    return df.withColumn(out, prev.isNull() | (prev != F.col(hash_col)))
+    cols = [*parent, *order]
+    ranges = df.repartitionByRange(buckets, *cols) if buckets else df.repartitionByRange(*cols)
+    # a lazy checkpoint fixes the ranges: both readers below see the same ones
+    ranges = materialise(ranges.withColumn("_b", F.spark_partition_id()), eager=False)
+    row = F.struct(F.struct(*parent).alias("p"), F.struct(*order).alias("o"), F.col(value).alias("v"))
+    ends = ranges.groupBy("_b").agg(F.max(row).alias("_end"))
+    ends = ends.select("_b", F.lag("_end").over(Window.orderBy("_b")).alias("_end"))
+    # within equal (parent, order) the value decides, as in the range ends
+    w = Window.partitionBy("_b").orderBy(*cols, value)
+    back = F.coalesce(F.lag(row).over(w), F.col("_end"))
+    with_back = ranges.join(F.broadcast(ends), "_b", "left").withColumn("_back", back)
+    same = F.col("_back.p").eqNullSafe(F.struct(*parent))
+    return with_back.withColumn(out, F.when(same, F.col("_back.v"))).drop("_b", "_end", "_back")
+
+
+def mark_changes(df: DataFrame, parent: Sequence[str] | str, order: Sequence[str] | str,
+                 hash_col: str = "hash_diff", out: str = "is_change", buckets: int | None = None) -> DataFrame:
+    """Flag rows whose hash differs from the previous row of the same parent."""
+    seq = previous_value(df, parent, order, hash_col, "_prev", buckets)
+    return seq.withColumn(out, F.col("_prev").isNull() | (F.col("_prev") != F.col(hash_col))).drop("_prev")

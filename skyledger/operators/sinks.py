@@ -25,11 +25,13 @@ Check = Callable[[DataFrame], object]
 
 
 # --- pure DataFrame forms ----------------------------------------------------------
-def insert_if_absent(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
+def insert_if_absent(target: DataFrame, rows: DataFrame, key: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows of `rows` whose key is not yet in `target` (one per key):
-    `INSERT ... ON CONFLICT (key) DO NOTHING` as an anti-join."""
+    `INSERT ... ON CONFLICT (key) DO NOTHING` as an anti-join. `unique=True`
+    says that `rows` has no key twice and saves the aggregate over whole rows."""
     key = list(key)
-    return rows.dropDuplicates(key).join(target.select(*key), key, "left_anti")
+    rows = rows if unique else rows.dropDuplicates(key)
+    return rows.join(target.select(*key), key, "left_anti")
 
 
 def upsert(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -55,7 +57,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether a batch-partitioned dataset holds a data file (an empty batch leaves none)."""
     fs, _ = _fs(spark, path)
-    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch_id=*/part-*"))
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/writer=*/batch_id=*/part-*"))
     return found is not None and len(found) > 0
 
 
@@ -152,9 +154,10 @@ def upsert_table(rows: DataFrame, target: str, key: Sequence[str], checks: Seque
     return publish(new, checks, write)
 
 
-def append_batch(df: DataFrame, target: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
-    """Idempotent append: rows of one batch go to `batch_id=<n>` and a replay of
-    the same batch overwrites exactly that partition."""
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+def append_batch(df: DataFrame, target: str, batch_id: int, partition_cols: Sequence[str] = (),
+                 writer: str = "batch") -> None:
+    """Idempotent append: rows of one batch go to `writer=<w>/batch_id=<n>` and a
+    replay of the same batch by the same writer overwrites exactly that partition."""
+    (df.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")})
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id", *partition_cols).parquet(target))
+     .partitionBy("writer", "batch_id", *partition_cols).parquet(target))

@@ -12,20 +12,21 @@ Batch form (`build_vault`): every table as a lazy DataFrame over the booking
 model. Incremental form (`load_vault`): per batch, hubs and links insert only
 unknown keys (anti-join against what is stored), satellites append a version
 (all, as the reference does, or only changed ones), each batch written to its
-own `batch_id=<n>` partition so a replayed batch overwrites itself.
+own `writer=<w>/batch_id=<n>` partition so a replayed batch overwrites itself and
+nothing of another writer (a backfill next to a stream).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_sql, surrogate_id,
                               surrogate_id_sql, with_lineage)
 from ..lazy import LazyTables
-from ..operators.ranking import latest_version
+from ..operators.ranking import latest_version, previous_value
 from ..operators.sinks import append_batch, has_data, insert_if_absent, path_exists
 
 LINEAGE_COLS = ["load_date", "record_source", "source_system_id"]
@@ -221,9 +222,11 @@ def build_vault(t, load_ts, tables: list[str] | None = None) -> LazyTables:
 
 
 # --- incremental load -------------------------------------------------------------------
-def read_vault(spark: SparkSession, root: str, before_batch: int | None = None) -> dict[str, DataFrame]:
-    """Stored history tables; `before_batch` hides batches >= n so that a replay
-    of batch n sees exactly the past it saw the first time."""
+def read_vault(spark: SparkSession, root: str, before_batch: int | None = None,
+               writer: str = "batch") -> dict[str, DataFrame]:
+    """Stored history tables; `before_batch` hides the batches >= n of `writer`, so
+    that a replay of its batch n does not see its own rows. What other writers
+    stored is always seen."""
     out = {}
     for name in TABLES:
         p = f"{root.rstrip('/')}/{name}"
@@ -233,8 +236,8 @@ def read_vault(spark: SparkSession, root: str, before_batch: int | None = None)
             continue
         df = spark.read.parquet(p)     # data that cannot be read is an error, not an empty history
         if before_batch is not None:
-            df = df.where(F.col("batch_id") < before_batch)
-        out[name] = df.drop("batch_id")
+            df = df.where((F.col("writer") != F.lit(writer)) | (F.col("batch_id") < before_batch))
+        out[name] = df.drop("writer", "batch_id")
     return out
 
 
@@ -251,15 +254,14 @@ def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None
         return rows
     # each version against its predecessor; the parent's current stored
     # version (only for parents in this batch) seeds the sequence
-    seq = rows.withColumn("_stored", F.lit(False))
+    seq = rows.withColumn("_new", F.lit(True))
     if stored is not None:
-        current = latest_version(stored.select(pid, "load_date", "hash_diff"), pid, "load_date")
-        current = current.join(rows.select(pid).distinct(), pid, "left_semi").withColumn("_stored", F.lit(True))
+        current = latest_version(stored.select(pid, "load_date", "hash_diff"), pid, ["load_date", "hash_diff"])
+        current = current.join(rows.select(pid).distinct(), pid, "left_semi").withColumn("_new", F.lit(False))
         seq = seq.unionByName(current, allowMissingColumns=True)
-    w = Window.partitionBy(pid).orderBy("load_date", F.col("_stored").desc())
-    seq = seq.withColumn("_prev", F.lag("hash_diff").over(w))
-    keep = ~F.col("_stored") & (F.col("_prev").isNull() | (F.col("_prev") != F.col("hash_diff")))
-    return seq.where(keep).drop("_prev", "_stored")
+    seq = previous_value(seq, pid, ["load_date", "_new"], "hash_diff", "_prev")
+    keep = F.col("_new") & (F.col("_prev").isNull() | (F.col("_prev") != F.col("hash_diff")))
+    return seq.where(keep).drop("_prev", "_new")
 
 
 def stored_for_batch(stored: DataFrame, rows: DataFrame, cols: list[str]) -> DataFrame:
@@ -273,24 +275,24 @@ def stored_for_batch(stored: DataFrame, rows: DataFrame, cols: list[str]) -> Dat
 
 
 def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id: int, load_ts,
-               on_unchanged: str = "append", tables: list[str] | None = None) -> dict[str, DataFrame]:
+               on_unchanged: str = "append", tables: list[str] | None = None,
+               writer: str = "batch") -> dict[str, DataFrame]:
     """Load one batch of booking-model rows (or change images) into the stored
-    history layer; each table's new rows go to its `batch_id=<n>` partition."""
-    stored = read_vault(spark, root, before_batch=batch_id)
+    history layer; each table's new rows go to its `writer=<w>/batch_id=<n>` partition.
+    Batch ids count per writer; writers load one after the other."""
+    stored = read_vault(spark, root, before_batch=batch_id, writer=writer)
     fresh = build_vault(t, load_ts, tables)
     written = {}
     for name, rows in fresh.items():
         if name in HUB_BY_NAME or name in LINK_BY_NAME:
             key = HUB_BY_NAME[name].hash_col if name in HUB_BY_NAME else LINK_BY_NAME[name].hash_col
             if name in stored:
-                rows = insert_if_absent(stored_for_batch(stored[name], rows, [key]), rows, [key])
-            else:
-                rows = rows.dropDuplicates([key])
+                rows = insert_if_absent(stored_for_batch(stored[name], rows, [key]), rows, [key], unique=True)
         else:
             sat = next(s for s in SATELLITES if s.name == name)
             pid = _parent_cols(sat)[0]
             past = stored_for_batch(stored[name], rows, [pid]) if name in stored else None
             rows = new_satellite_rows(sat, rows, past, on_unchanged)
-        append_batch(rows, f"{root.rstrip('/')}/{name}", batch_id)
+        append_batch(rows, f"{root.rstrip('/')}/{name}", batch_id, writer=writer)
         written[name] = rows
     return written

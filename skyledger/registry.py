@@ -213,6 +213,33 @@ def _cdc_leg_details(spark, sf_dir):
     return _legs_before_tickets(spark, sf_dir)["sat_ticket_flight_details"].drop("load_date")
 
 
+@register("cdc_sat_airport_details_with_snapshot")
+def _cdc_snapshot(spark, sf_dir):
+    """Airport details of the same feed with its snapshot reads (op r) loaded as well."""
+    return vault_stream.batch_load_from_feed(spark, _feed(spark, sf_dir), include_snapshot=True)["sat_airport_details"]
+
+
+@register("cdc_booking_amounts")
+def _cdc_amounts(spark, sf_dir):
+    """Booking amounts read from a change feed that carries NUMERIC as base64 of the unscaled integer."""
+    b = _airline(spark, sf_dir)["bookings"]
+    encoded = b.withColumn("total_amount", cdc.encode_decimal(F.col("total_amount"), 2))
+    feed = cdc.to_envelopes(cdc.snapshot_diff(encoded.limit(0), encoded, PRIMARY_KEYS["bookings"]), "bookings")
+    img = cdc.typed_images(cdc.parse_changes(feed), "bookings", decimals="base64")
+    return img.select("book_ref", "book_date", "total_amount")
+
+
+@register("frequent_flyers_full_refresh")
+def _full_refresh(spark, sf_dir):
+    """Stored frequent-flyer table after an upsert of the July run and a full refresh
+    with the August one, read back: passengers that lapsed are gone."""
+    t, target = _airline(spark, sf_dir), scratch_path(spark, "frequent-flyers")
+    july = marts.build_frequent_flyers(t, dt.date(2001, 7, 1), created_at="2001-07-01 00:00:00")
+    sinks.upsert_table(july, target, ["passenger_id"])
+    sinks.upsert_table(marts.build_frequent_flyers(t, AS_OF, created_at=LOAD_TS), target, ["passenger_id"], full=True)
+    return sinks.read_current(spark, target)
+
+
 @register("changed_versions_aircrafts")
 def _changed(spark, sf_dir):
     """Which aircraft change images differ from their predecessor (message order) of the same aircraft."""
@@ -358,7 +385,7 @@ def _two_load_vault(spark, sf_dir):
         if name.startswith("sat_"):
             return first[name].unionByName(second[name])
         key = vault.HUB_BY_NAME[name].hash_col if name in vault.HUB_BY_NAME else vault.LINK_BY_NAME[name].hash_col
-        return first[name].unionByName(sinks.insert_if_absent(first[name], second[name], [key]))
+        return first[name].unionByName(sinks.insert_if_absent(first[name], second[name], [key], unique=True))
     return LazyTables({n: (lambda n=n: combined(n)) for n in vault.TABLES})
 
 

@@ -116,21 +116,42 @@ def quarantine(feed: DataFrame) -> DataFrame:
             .select(*FEED_COLUMNS, "reject_reason"))
 
 
-def decode_decimal(c: Column, scale: int = 2, precision: int = 10) -> Column:
-    """NUMERIC value from a change image: plain number / numeric text, or the
-    base64 big-endian unscaled integer the connector emits by default."""
+DECIMAL_ENCODINGS = ("auto", "text", "base64")
+
+
+def encode_decimal(c: Column, scale: int = 2) -> Column:
+    """The base64 form of a NUMERIC value: its unscaled integer as 8 big-endian bytes."""
+    unscaled = (c * F.lit(10 ** scale)).cast("long")
+    return F.base64(F.unhex(F.lpad(F.hex(unscaled), 16, "0")))
+
+
+def decode_decimal(c: Column, scale: int = 2, precision: int = 10, encoding: str = "auto") -> Column:
+    """NUMERIC value from a change image, by the connector's setting: "text" (plain
+    number or numeric text) or "base64" (big-endian unscaled integer, its default).
+    "auto" takes what reads as a number for one; a base64 text may be all digits
+    (some negative values), so name the encoding where it is known. What does not
+    read in the encoding is NULL."""
+    if encoding not in DECIMAL_ENCODINGS:
+        raise ValueError(f"encoding must be one of {DECIMAL_ENCODINGS}")
     as_text = F.when(c.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), c)
+    if encoding == "text":
+        return as_text.cast(f"decimal({precision},{scale})")
+    if encoding == "base64":
+        c = F.when(F.try_to_binary(c, F.lit("base64")).isNotNull(), c)
     raw = F.unbase64(c)
     hexs = F.hex(raw)
-    nbytes = F.length(raw)
     unsigned = F.conv(hexs, 16, 10).cast("decimal(38,0)")
     negative = F.substring(hexs, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F")
-    signed = F.when(negative, unsigned - F.pow(F.lit(2), nbytes * 8).cast("decimal(38,0)")).otherwise(unsigned)
+    # two's complement in whole numbers: -(inverted bits + 1)
+    inverted = F.conv(F.translate(hexs, "0123456789ABCDEF", "FEDCBA9876543210"), 16, 10).cast("decimal(38,0)")
+    signed = F.when(negative, -(inverted + F.lit(1))).otherwise(unsigned)
     from_b64 = (signed / F.lit(10 ** scale)).cast(f"decimal({precision},{scale})")
+    if encoding == "base64":
+        return from_b64
     return F.coalesce(as_text.cast(f"decimal({precision},{scale})"), from_b64)
 
 
-def _typed(changes: DataFrame, table: str, schema: T.StructType | None, prefix: str) -> DataFrame:
+def _typed(changes: DataFrame, table: str, schema: T.StructType | None, prefix: str, decimals: str = "auto") -> DataFrame:
     """Changes of one table with the typed image `i` and `problem`: what is wrong with it, else NULL."""
     schema = schema or _image_schema(table)
     text = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
@@ -148,7 +169,7 @@ def _typed(changes: DataFrame, table: str, schema: T.StructType | None, prefix:
     unread = F.lit(False)
     for f in OLTP[table].fields:
         if isinstance(f.dataType, T.DecimalType) and f.name in schema.names:
-            unread = unread | (i[f.name].isNotNull() & decode_decimal(i[f.name], f.dataType.scale, f.dataType.precision).isNull())
+            unread = unread | (i[f.name].isNotNull() & decode_decimal(i[f.name], f.dataType.scale, f.dataType.precision, decimals).isNull())
     problem = (F.when(i.isNull() | i[_BAD].isNotNull() | unread, F.lit("bad_image"))
                .when(F.when(F.col("op") == "d", lacks(keys)).otherwise(lacks(required)), F.lit("missing_value")))
     rows = changes.where(F.col("topic") == topic_of(table, prefix))
@@ -157,21 +178,22 @@ def _typed(changes: DataFrame, table: str, schema: T.StructType | None, prefix:
 
 
 def images(changes: DataFrame, table: str, schema: T.StructType | None = None,
-           prefix: str = TOPIC_PREFIX) -> DataFrame:
+           prefix: str = TOPIC_PREFIX, decimals: str = "auto") -> DataFrame:
     """Typed row images of one table's topic, with the change metadata kept
     as `_op`, `_partition`, `_offset`, `_load_ts` (message time). Images that do
     not fit the table's types and NOT NULLs are left out (see `image_rejects`)."""
     names = (schema or _image_schema(table)).names
-    rows = _typed(changes, table, schema, prefix).where(F.col("problem").isNull())
+    rows = _typed(changes, table, schema, prefix, decimals).where(F.col("problem").isNull())
     return rows.select(*[F.col("i")[n].alias(n) for n in names], F.col("op").alias("_op"), F.col("partition").alias("_partition"),
                        F.col("offset").alias("_offset"), F.col("timestamp").alias("_load_ts"))
 
 
-def image_rejects(changes: DataFrame, tables: Sequence[str], prefix: str = TOPIC_PREFIX) -> DataFrame:
+def image_rejects(changes: DataFrame, tables: Sequence[str], prefix: str = TOPIC_PREFIX,
+                  decimals: str = "auto") -> DataFrame:
     """Accepted changes whose image cannot be stored, as quarantine rows."""
     out = None
     for t in tables:
-        bad = _typed(changes, t, None, prefix).where(F.col("problem").isNotNull()).select(
+        bad = _typed(changes, t, None, prefix, decimals).where(F.col("problem").isNotNull()).select(
             "topic", "partition", "offset", "timestamp", F.lit(None).cast("string").alias("key"), F.col("data").alias("value"),
             F.col("problem").alias("reject_reason"))
         out = bad if out is None else out.unionByName(bad)
@@ -187,12 +209,12 @@ def _image_schema(table: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def typed_images(changes: DataFrame, table: str, prefix: str = TOPIC_PREFIX) -> DataFrame:
+def typed_images(changes: DataFrame, table: str, prefix: str = TOPIC_PREFIX, decimals: str = "auto") -> DataFrame:
     """`images` with NUMERIC columns decoded to their declared decimal type."""
-    df = images(changes, table, prefix=prefix)
+    df = images(changes, table, prefix=prefix, decimals=decimals)
     for f in OLTP[table].fields:
         if isinstance(f.dataType, T.DecimalType):
-            df = df.withColumn(f.name, decode_decimal(F.col(f.name), f.dataType.scale, f.dataType.precision))
+            df = df.withColumn(f.name, decode_decimal(F.col(f.name), f.dataType.scale, f.dataType.precision, decimals))
     return df
 
 

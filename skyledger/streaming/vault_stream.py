@@ -4,10 +4,12 @@
 micro-batch is parsed, its rejects written to a quarantine dataset, and its
 row images loaded as one set-based batch (`plans.vault.load_vault`): hubs and
 links insert unknown keys, satellites append versions. Everything a batch
-writes lands in `batch_id=<n>` partitions and reads of the stored layer hide
-batches >= n, so a batch replayed after a failure overwrites exactly its own
-output: with the checkpoint this gives exactly-once results on an
-at-least-once source.
+writes lands in `writer=<w>/batch_id=<n>` partitions and reads of the stored layer
+hide the writer's own batches >= n, so a batch replayed after a failure overwrites
+exactly its own output: with the checkpoint this gives exactly-once results on an
+at-least-once source. The writer is the id of the streaming query, which lives in
+its checkpoint: a stream started on a new checkpoint is a new writer and overwrites
+nothing.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ def vault_tables_for(tables: Sequence[str]) -> list[str]:
 
 
 LEG_KEYS = ["ticket_no", "flight_id"]
+# message times tie within a millisecond: the place in the topic decides then
+MESSAGE_ORDER = ["_load_ts", "_partition", "_offset"]
 
 
 def _leg_rows(src) -> DataFrame | None:
@@ -55,7 +59,7 @@ def ticket_keys(src, stored, wanted: DataFrame | None = None) -> DataFrame | Non
     With `wanted` (rows with ticket_no) only those tickets are read from storage."""
     parts = []
     if "tickets" in src:
-        parts.append(src["tickets"].select("ticket_no", "book_ref", "passenger_id", "_load_ts"))
+        parts.append(src["tickets"].select("ticket_no", "book_ref", "passenger_id", *MESSAGE_ORDER))
     if {"link_ticket_booking", "hub_bookings", "hub_passengers"} <= set(stored):
         link = stored["link_ticket_booking"]
         if wanted is not None:
@@ -65,13 +69,14 @@ def ticket_keys(src, stored, wanted: DataFrame | None = None) -> DataFrame | Non
         hp = vault.stored_for_batch(stored["hub_passengers"], link, ["passenger_hub_id"])
         parts.append(link.join(hb.select("booking_hub_id", "book_ref"), "booking_hub_id")
                      .join(hp.select("passenger_hub_id", "passenger_id"), "passenger_hub_id")
-                     .select("ticket_no", "book_ref", "passenger_id", "_load_ts"))
+                     .select("ticket_no", "book_ref", "passenger_id", "_load_ts",
+                             F.lit(-1).alias("_partition"), F.lit(-1).cast("long").alias("_offset")))
     if not parts:
         return None
     keys = parts[0]
     for p in parts[1:]:
         keys = keys.unionByName(p)
-    return latest_version(keys, "ticket_no", "_load_ts").drop("_load_ts")
+    return latest_version(keys, "ticket_no", MESSAGE_ORDER).drop(*MESSAGE_ORDER)
 
 
 def stream_ticket_legs(src, stored) -> DataFrame | None:
@@ -95,13 +100,13 @@ def stream_ticket_legs(src, stored) -> DataFrame | None:
         # only the current versions of this batch's ticket legs are read
         ids = batch_legs.join(keys, "ticket_no").select(link_id.alias("ticket_flight_link_id"))
         past = vault.stored_for_batch(stored[sat_name], ids, ["ticket_flight_link_id"])
-        current = latest_version(past, "ticket_flight_link_id", "load_date").select(
+        current = latest_version(past, "ticket_flight_link_id", ["load_date", "hash_diff"]).select(
             "ticket_flight_link_id", F.col("fare_conditions").alias("_cur_fare"), F.col("amount").alias("_cur_amount"),
             F.col("boarding_no").alias("_cur_boarding"), F.col("seat_no").alias("_cur_seat"))
     bp = None
     if "boarding_passes" in src:
-        bp = latest_version(src["boarding_passes"].select(*LEG_KEYS, "boarding_no", "seat_no", "_load_ts"),
-                            LEG_KEYS, "_load_ts")
+        bp = latest_version(src["boarding_passes"].select(*LEG_KEYS, "boarding_no", "seat_no", *MESSAGE_ORDER),
+                            LEG_KEYS, MESSAGE_ORDER)
     legs = []
     if "ticket_flights" in src:
         tf = src["ticket_flights"].select(*LEG_KEYS, "fare_conditions", "amount", "_load_ts").join(keys, "ticket_no")
@@ -130,32 +135,33 @@ def stream_ticket_legs(src, stored) -> DataFrame | None:
     return out
 
 
-PENDING = {"ticket_flights": "ticket_no string, flight_id int, fare_conditions decimal(10,2), amount decimal(10,2), _load_ts timestamp",
-           "boarding_passes": "ticket_no string, flight_id int, boarding_no int, seat_no string, _load_ts timestamp"}
+PENDING = {"ticket_flights": "ticket_no string, flight_id int, fare_conditions decimal(10,2), amount decimal(10,2), _load_ts timestamp, _partition int, _offset long",
+           "boarding_passes": "ticket_no string, flight_id int, boarding_no int, seat_no string, _load_ts timestamp, _partition int, _offset long"}
 
 
-def read_pending(spark: SparkSession, root: str, batch_id: int) -> dict[str, DataFrame]:
-    """Legs and passes that still waited for their ticket or leg after the last batch before `batch_id`."""
+def read_pending(spark: SparkSession, root: str, batch_id: int, writer: str) -> dict[str, DataFrame]:
+    """Legs and passes of `writer` that still waited for their ticket or leg after its last batch before `batch_id`."""
     out = {}
     for name, schema in PENDING.items():
         path = f"{root.rstrip('/')}/_pending_{name}"
         if not path_exists(spark, path):
             continue
-        rows = spark.read.schema(f"{schema}, batch_id long").parquet(path).where(F.col("batch_id") < batch_id)
+        rows = (spark.read.schema(f"{schema}, writer string, batch_id long").parquet(path)
+                .where((F.col("writer") == F.lit(writer)) & (F.col("batch_id") < batch_id)))
         last = rows.agg(F.max("batch_id")).first()[0]
         if last is not None:
-            out[name] = rows.where((F.col("batch_id") == last) & F.col("ticket_no").isNotNull()).drop("batch_id")
+            out[name] = rows.where((F.col("batch_id") == last) & F.col("ticket_no").isNotNull()).drop("writer", "batch_id")
     return out
 
 
-def write_pending(spark: SparkSession, root: str, batch_id: int, waiting: dict[str, DataFrame]) -> None:
+def write_pending(spark: SparkSession, root: str, batch_id: int, waiting: dict[str, DataFrame], writer: str) -> None:
     """What waits after this batch; a row without a ticket marks the batch even if nothing does."""
     for name, schema in PENDING.items():
         rows = spark.createDataFrame([], schema)
         mark = rows.unionByName(spark.range(1).selectExpr(*[f"CAST(NULL AS {c.split(' ', 1)[1]}) AS {c.split(' ', 1)[0]}" for c in schema.split(", ")]))
         if name in waiting:
             mark = mark.unionByName(waiting[name].select(*rows.columns))
-        append_batch(mark, f"{root.rstrip('/')}/_pending_{name}", batch_id)
+        append_batch(mark, f"{root.rstrip('/')}/_pending_{name}", batch_id, writer=writer)
 
 
 def with_pending(src, pending: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -178,34 +184,35 @@ def still_waiting(src, legs: DataFrame | None) -> dict[str, DataFrame]:
 
 
 def change_sources(changes: DataFrame, tables: Sequence[str], include_snapshot: bool = False,
-                   prefix: str = cdc.TOPIC_PREFIX) -> dict[str, DataFrame]:
+                   prefix: str = cdc.TOPIC_PREFIX, decimals: str = "auto") -> dict[str, DataFrame]:
     """Row images per table that produce history rows: creates and updates
     (and snapshot reads if asked). Deletes add nothing (history is kept)."""
     ops = ["c", "u"] + (["r"] if include_snapshot else [])
-    return {t: cdc.typed_images(changes, t, prefix).where(F.col("_op").isin(*ops)) for t in tables}
+    return {t: cdc.typed_images(changes, t, prefix, decimals).where(F.col("_op").isin(*ops)) for t in tables}
 
 
 def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Sequence[str] = DEFAULT_TABLES,
                        on_unchanged: str = "append", include_snapshot: bool = False,
-                       quarantine_path: str | None = None, prefix: str = cdc.TOPIC_PREFIX) -> None:
+                       quarantine_path: str | None = None, prefix: str = cdc.TOPIC_PREFIX,
+                       writer: str = "stream", decimals: str = "auto") -> None:
     spark = batch.sparkSession
     staged = batch.persist()
     try:
         if quarantine_path:
-            rejects = cdc.quarantine(staged).unionByName(cdc.image_rejects(cdc.parse_changes(staged, include_snapshot), tables, prefix))
-            append_batch(rejects, quarantine_path, batch_id)
+            rejects = cdc.quarantine(staged).unionByName(cdc.image_rejects(cdc.parse_changes(staged, include_snapshot), tables, prefix, decimals))
+            append_batch(rejects, quarantine_path, batch_id, writer=writer)
         changes = cdc.parse_changes(staged, include_snapshot)
-        src = change_sources(changes, tables, include_snapshot, prefix)
+        src = change_sources(changes, tables, include_snapshot, prefix, decimals)
         if {"ticket_flights", "boarding_passes"} & set(tables):
             # topics have no mutual order: legs and passes wait until their ticket or leg is known
-            src = with_pending(src, read_pending(spark, root, batch_id))
-            legs = stream_ticket_legs(src, vault.read_vault(spark, root, before_batch=batch_id))
-            write_pending(spark, root, batch_id, still_waiting(src, legs))
+            src = with_pending(src, read_pending(spark, root, batch_id, writer))
+            legs = stream_ticket_legs(src, vault.read_vault(spark, root, before_batch=batch_id, writer=writer))
+            write_pending(spark, root, batch_id, still_waiting(src, legs), writer)
             src = {k: v for k, v in src.items() if k not in ("ticket_flights", "boarding_passes")}
             if legs is not None:
                 src["ticket_legs"] = legs
         vault.load_vault(spark, src, root, batch_id, load_ts=None, on_unchanged=on_unchanged,
-                         tables=vault_tables_for(tables))
+                         tables=vault_tables_for(tables), writer=writer)
     finally:
         staged.unpersist()
 
@@ -213,10 +220,14 @@ def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Seque
 def start_vault_stream(feed: DataFrame, root: str, checkpoint: str, tables: Sequence[str] = DEFAULT_TABLES,
                        on_unchanged: str = "append", include_snapshot: bool = False,
                        quarantine_path: str | None = None, available_now: bool = True,
-                       processing_time: str | None = None, query_name: str | None = None):
+                       processing_time: str | None = None, query_name: str | None = None,
+                       decimals: str = "auto"):
     """Start the streaming load; `feed` is a streaming DataFrame of feed rows."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        load_changes_batch(batch, batch_id, root, tables, on_unchanged, include_snapshot, quarantine_path)
+        # the query's id is kept in its checkpoint: the same after a restart, new on a new checkpoint
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        load_changes_batch(batch, batch_id, root, tables, on_unchanged, include_snapshot, quarantine_path,
+                           writer=writer, decimals=decimals)
 
     w = feed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:

@@ -266,6 +266,49 @@ def test_mark_changes(spark):
     assert got == [(1, 1, True), (1, 2, False), (1, 3, True), (1, 4, True), (2, 1, True)]
 
 
+@pytest.mark.parametrize("seed,buckets", [(1, 1), (2, 7), (3, 40)])
+def test_previous_value_equals_lag(spark, seed, buckets):
+    """Ranges cut through the hot parent (a third of the rows), NULL parents and NULL values."""
+    from skyledger.operators.ranking import previous_value
+    rnd = random.Random(seed)
+    rows = [(1 if i % 3 == 0 else rnd.choice([None, 2, 3, 4, 5]), i, rnd.choice([None, "a", "b"])) for i in range(400)]
+    df = spark.createDataFrame(rows, "p int, seq int, h string")
+    w = Window.partitionBy("p").orderBy("seq")
+    expected = {r.seq: r.x for r in df.withColumn("x", F.lag("h").over(w)).collect()}
+    out = previous_value(df, "p", "seq", "h", "x", buckets=buckets)
+    assert out.columns == ["p", "seq", "h", "x"]
+    assert {r.seq: r.x for r in out.collect()} == expected
+    assert previous_value(df.limit(0), "p", "seq", "h", "x").count() == 0
+
+
+def test_decode_decimal_by_encoding(spark):
+    digits = "9999"                          # base64 of 3 bytes and a number at once
+    df = spark.createDataFrame([(digits,), ("17.5",), ("!",), (None,)], "v string")
+    text = [r.d for r in df.select(cdc.decode_decimal(F.col("v"), encoding="text").alias("d")).collect()]
+    assert text == [Decimal("9999.00"), Decimal("17.50"), None, None]
+    import base64
+    unscaled = int.from_bytes(base64.b64decode(digits), "big", signed=True)
+    b64 = [r.d for r in df.select(cdc.decode_decimal(F.col("v"), encoding="base64").alias("d")).collect()]
+    assert b64[0] == Decimal(unscaled) / 100 and b64[2] is None and b64[3] is None
+    amounts = spark.createDataFrame([(Decimal("-12.34"),), (Decimal("0.00"),), (Decimal("99999999.99"),), (None,)], "a decimal(10,2)")
+    back = amounts.select("a", cdc.decode_decimal(cdc.encode_decimal(F.col("a")), encoding="base64").alias("b")).collect()
+    assert all(r.a == r.b for r in back)
+    with pytest.raises(ValueError):
+        cdc.decode_decimal(F.col("v"), encoding="hex")
+
+
+def test_violation_report_counts(spark):
+    from skyledger.operators.quality import Constraints, violation_report
+    t = {"p": spark.createDataFrame([("A", 1), ("B", 1), ("B", 2), (None, 3), (None, 4)], "code string, n int"),
+         "c": spark.createDataFrame([(1, "A"), (2, None), (3, "C"), (4, "C"), (5, "")], "id int, code string"),
+         "e": spark.createDataFrame([], "code string")}
+    got = {r.check_name: r.violations for r in violation_report(t, Constraints(
+        keys=[("pk:p", "p", ["code"]), ("pk:pn", "p", ["code", "n"]), ("pk:e", "e", ["code"])],
+        references=[("fk:c", "c", ["code"], "p", ["code"]), ("fk:c.e", "c", ["code"], "e", ["code"]), ("fk:e", "e", ["code"], "p", ["code"])],
+        rules=[("col:c", "c", F.col("code").isNull()), ("col:p", "p", F.col("n") > 9)])).collect()}
+    assert got == {"pk:p": 2, "pk:pn": 0, "pk:e": 0, "fk:c": 3, "fk:c.e": 4, "fk:e": 0, "col:c": 1, "col:p": 0}
+
+
 def test_key_checks_raise(spark):
     from skyledger.operators.quality import DataQualityError, check_foreign_key, check_unique, orphans
     parent = spark.createDataFrame([("A",), ("B",)], "code string")

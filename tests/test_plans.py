@@ -84,3 +84,25 @@ def test_dashboard_rows_come_in_order(spark):
     assert flights == sorted(flights, reverse=True)
     money = [r.group_revenue for r in dashboards.passenger_groups_revenue(v, AS_OF).collect()]
     assert money == sorted(money, reverse=True)
+
+
+def test_constraint_reports_read_each_table_once(spark, scratch):
+    from skyledger.plans import checks
+    stored = {n: df for n, df in _vault(spark).items()}
+    write_tables(stored, scratch)
+    tables = read_tables(spark, scratch, names=tuple(stored))
+    assert _plan(checks.vault_report(tables)).count("FileScan parquet") == len(stored)
+
+
+def test_dashboards_cut_links_before_satellite_amounts(spark, scratch):
+    """No aggregate stands directly on a whole booking or ticket-flight satellite."""
+    stored = {n: df for n, df in _vault(spark).items()}
+    write_tables(stored, scratch)
+    v = read_tables(spark, scratch, names=tuple(stored))
+    for latest in (False, True):
+        p = dashboards.passenger_metrics_30d(v, AS_OF, latest=latest, revenue="ticket_amount")._jdf.queryExecution().optimizedPlan().toString()
+        lines = p.splitlines()
+        for i, line in enumerate(lines):
+            if "amount#" in line and "Relation [" in line:
+                above = lines[max(0, i - 3):i]          # its projection and filter
+                assert not any("Aggregate" in x for x in above)

@@ -234,6 +234,36 @@ def test_bad_images_go_to_quarantine(spark, scratch):
     assert set(got) == {2, 3, 4, 5} and got[2] == got[5] == "missing_value" and got[3] == got[4] == "bad_image"
 
 
+def test_writers_keep_their_own_batches(spark, scratch):
+    """A backfill numbered 42 and a stream from 0, then the same stream on a new checkpoint:
+    no key is stored twice and nothing stored is overwritten."""
+    airport = {"airport_code": "AAA", "airport_name": "N", "city": "C", "coordinates_lon": 1.0, "coordinates_lat": 2.0, "timezone": "UTC"}
+    t = {"airports": spark.createDataFrame([tuple(airport.values())], "airport_code string, airport_name string, city string, "
+                                           "coordinates_lon double, coordinates_lat double, timezone string")}
+    root, src = f"{scratch}/vault", f"{scratch}/feed".replace("file:", "")
+    vault.load_vault(spark, t, root, 42, "2023-01-01 00:00:00", tables=["hub_airports", "sat_airport_details"])
+    _write_feed(src, [_message("airports", 0, "u", {**airport, "city": "D"}), _message("airports", 1, "c", {**airport, "airport_code": "BBB"})])
+
+    def stream(checkpoint):
+        feed = cdc.cdc_source(spark, kind="json", path=src, options={"maxFilesPerTrigger": "1"})
+        vault_stream.start_vault_stream(feed, root, f"{scratch}/{checkpoint}", tables=["airports"]).awaitTermination()
+        v = vault.read_vault(spark, root)
+        return (sorted(r.airport_code for r in v["hub_airports"].collect()), v["sat_airport_details"].count())
+    assert stream("one") == (["AAA", "BBB"], 3)
+    _write_feed(src, [_message("airports", 2, "u", {**airport, "city": "E"}, 5)])
+    assert stream("one") == (["AAA", "BBB"], 4)
+    assert stream("two") == (["AAA", "BBB"], 4)              # all redelivered under new batch ids
+    writers = {r.writer for r in spark.read.parquet(f"{root}/hub_airports").select("writer").distinct().collect()}
+    assert "batch" in writers and "stream" not in writers and len(writers) == 2      # the stream writes under its query id
+
+
+def test_equal_message_times_follow_the_topic(spark):
+    """Two tickets images of one time: the one with the higher offset holds."""
+    src = {"tickets": spark.createDataFrame([("t1", "B2", "p2", dt.datetime(2024, 1, 1), 0, 9), ("t1", "B1", "p1", dt.datetime(2024, 1, 1), 0, 10)],
+                                            "ticket_no string, book_ref string, passenger_id string, _load_ts timestamp, _partition int, _offset long")}
+    assert [tuple(r) for r in vault_stream.ticket_keys(src, {}).collect()] == [("t1", "B1", "p1")]
+
+
 def test_upsert_goes_on_after_a_failed_attempt(spark, scratch):
     rows = spark.createDataFrame([(1, "a")], "k int, x string")
     sinks.upsert_table(rows, scratch, ["k"])
