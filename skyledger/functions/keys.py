@@ -39,21 +39,6 @@ def _text_sql(name: str, dtype: T.DataType | None, compat: bool) -> str:
     return f"CAST({c} AS STRING)"
 
 
-def _as_text(c: Column, dtype: T.DataType | None, compat: bool) -> Column:
-    if compat and isinstance(dtype, T.BooleanType):
-        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
-    return c.cast("string")
-
-
-def py_str(c: Column, dtype: T.DataType | None = None) -> Column:
-    """Text of a value as Python's `str` renders it, for the common types.
-
-    Documented limit: doubles with 0 < |x| < 1e-3 or |x| >= 1e7 use exponent
-    notation differently in Python and Spark.
-    """
-    return F.coalesce(_as_text(c, dtype, True), F.lit("None"))
-
-
 def hash_sql(names: Iterable[str], types: dict | None = None, compat: bool = False) -> str:
     """SQL text of the record hash of the named columns (column-name order)."""
     types = types or {}

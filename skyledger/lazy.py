@@ -28,10 +28,3 @@ class LazyTables(Mapping):
 
     def __contains__(self, name: object) -> bool:
         return name in self._factories
-
-    def with_tables(self, extra: Mapping[str, Callable[[], Any]]) -> "LazyTables":
-        f = dict(self._factories)
-        f.update(extra)
-        out = LazyTables(f)
-        out._built.update({k: v for k, v in self._built.items() if k not in extra})
-        return out

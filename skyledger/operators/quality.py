@@ -89,6 +89,17 @@ def schema_violations(df: DataFrame, schema: T.StructType,
     return rule_counts(df, schema_rules(schema, df.columns, text_limits))
 
 
+def check_contract(df: DataFrame, schema: T.StructType, key: Sequence[str]) -> None:
+    """Raise unless `df` has the columns and types of `schema`, no NULL where it forbids
+    one, and `key` unique: what a table definition would refuse on insert."""
+    got = {f.name: f.dataType for f in df.schema.fields}
+    want = {f.name: f.dataType for f in schema.fields}
+    if got != want:
+        raise DataQualityError(f"columns differ from the declared ones: {set(got.items()) ^ set(want.items())}")
+    check_rules(df, schema_rules(schema, df.columns))
+    check_unique(df, key)
+
+
 # --- many constraints in one pass ----------------------------------------------------
 @dataclass
 class Constraints:

@@ -75,7 +75,7 @@ def versions(spark: SparkSession, target: str) -> list[int]:
     return sorted(out)
 
 
-def read_current(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_current(spark: SparkSession, target: str) -> DataFrame | None:
     v = versions(spark, target)
     if not v:
         return None

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import swap_roles
-from ..operators.quality import check_not_empty, check_rules
+from ..operators.quality import check_contract, check_not_empty, check_rules
 from ..operators.ranking import tier_by_percent_rank
 from ..operators.sinks import replace_partitions, upsert_table
+from ..schemas import MART_KEYS, MARTS
 
 FLOWN_STATUSES = ("Arrived", "Departed")
 ROUTE = ["flight_date", "airport_code", "linked_airport_code"]
@@ -86,6 +87,11 @@ def build_airport_passenger_flow(t: dict[str, DataFrame], as_of: dt.date, create
         F.coalesce("passengers_out", F.lit(0)).cast("int").alias("passengers_out"))
 
 
+def check_mart(name: str):
+    """Check of a mart's rows against its declared columns, NOT NULLs and key."""
+    return lambda d: check_contract(d, MARTS[name], MART_KEYS[name])
+
+
 def flow_rules() -> dict[str, Column]:
     return {
         "negative_counts": (F.col("flights_in") < 0) | (F.col("flights_out") < 0)
@@ -99,7 +105,8 @@ def refresh_airport_passenger_flow(t: dict[str, DataFrame], target: str, as_of:
     """Validate the day's rows, then replace only that day's partition of `target`."""
     rows = build_airport_passenger_flow(t, as_of, corrected=corrected)
     return replace_partitions(rows, target, ["flight_date"],
-                              checks=[lambda d: check_rules(d, flow_rules()), check_not_empty],
+                              checks=[lambda d: check_rules(d, flow_rules()), check_not_empty,
+                                      check_mart("airport_passenger_flow")],
                               sort_within=["airport_code", "linked_airport_code"])
 
 
@@ -166,7 +173,7 @@ def refresh_frequent_flyers(t: dict[str, DataFrame], target: str, as_of: dt.date
     """Validate, then upsert on passenger_id (as the reference does) or, with
     refresh="full", replace the whole table so lapsed passengers disappear."""
     rows = build_frequent_flyers(t, as_of)
-    return upsert_table(rows, target, ["passenger_id"], checks=[lambda d: check_rules(d, flyer_rules())],
+    return upsert_table(rows, target, ["passenger_id"], checks=[lambda d: check_rules(d, flyer_rules()), check_mart("frequent_flyers")],
                         full=(refresh == "full"), sort_within=["home_airport", "purchase_sum"])
 
 

@@ -27,9 +27,10 @@ from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, has
                               surrogate_id_sql, with_lineage)
 from ..lazy import LazyTables
 from ..operators.ranking import latest_version, previous_value
+from ..schemas import LINEAGE
 from ..operators.sinks import append_batch, has_data, insert_if_absent, path_exists
 
-LINEAGE_COLS = ["load_date", "record_source", "source_system_id"]
+LINEAGE_COLS = [name for name, _, _ in LINEAGE]
 
 
 @dataclass(frozen=True)

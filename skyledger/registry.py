@@ -425,6 +425,24 @@ def _op_replace(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@register("refused_publish_keeps_flow")
+def _op_refused(spark, sf_dir):
+    """Passenger-flow mart table after one good publish and three refused ones (a negative
+    count, a repeated key, no rows at all), read back: the good rows are untouched."""
+    target = scratch_path(spark, "airport-passenger-flow")
+    rows = marts.build_airport_passenger_flow(_airline(spark, sf_dir), AS_OF, created_at=LOAD_TS)
+    flow_checks = [lambda d: quality.check_rules(d, marts.flow_rules()), quality.check_not_empty,
+                   marts.check_mart("airport_passenger_flow")]
+    sinks.replace_partitions(rows, target, ["flight_date"], checks=flow_checks)
+    for bad in (rows.withColumn("flights_in", F.lit(-1)), rows.unionAll(rows), rows.where("flights_out < 0")):
+        try:
+            sinks.replace_partitions(bad, target, ["flight_date"], checks=flow_checks)
+        except quality.DataQualityError:
+            continue
+        raise AssertionError("a publish that breaks the mart's rules went through")
+    return spark.read.parquet(target)
+
+
 @register("vault_constraint_report")
 def _vault_report(spark, sf_dir):
     """Key checks of the loaded history layer: unique hash keys / ids / versions,

@@ -195,18 +195,26 @@ def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Seque
                        on_unchanged: str = "append", include_snapshot: bool = False,
                        quarantine_path: str | None = None, prefix: str = cdc.TOPIC_PREFIX,
                        writer: str = "stream", decimals: str = "auto") -> None:
+    """Load one batch of feed rows. Messages are parsed and typed once per source table:
+    up to six history tables and the pending rows read the kept images."""
     spark = batch.sparkSession
-    staged = batch.persist()
+    kept = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist())
+        return kept[-1]
+    staged = keep(batch)
     try:
         if quarantine_path:
             rejects = cdc.quarantine(staged).unionByName(cdc.image_rejects(cdc.parse_changes(staged, include_snapshot), tables, prefix, decimals))
             append_batch(rejects, quarantine_path, batch_id, writer=writer)
         changes = cdc.parse_changes(staged, include_snapshot)
-        src = change_sources(changes, tables, include_snapshot, prefix, decimals)
+        src = {t: keep(df) for t, df in change_sources(changes, tables, include_snapshot, prefix, decimals).items()}
         if {"ticket_flights", "boarding_passes"} & set(tables):
             # topics have no mutual order: legs and passes wait until their ticket or leg is known
             src = with_pending(src, read_pending(spark, root, batch_id, writer))
             legs = stream_ticket_legs(src, vault.read_vault(spark, root, before_batch=batch_id, writer=writer))
+            legs = None if legs is None else keep(legs)
             write_pending(spark, root, batch_id, still_waiting(src, legs), writer)
             src = {k: v for k, v in src.items() if k not in ("ticket_flights", "boarding_passes")}
             if legs is not None:
@@ -214,7 +222,8 @@ def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Seque
         vault.load_vault(spark, src, root, batch_id, load_ts=None, on_unchanged=on_unchanged,
                          tables=vault_tables_for(tables), writer=writer)
     finally:
-        staged.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def start_vault_stream(feed: DataFrame, root: str, checkpoint: str, tables: Sequence[str] = DEFAULT_TABLES,
