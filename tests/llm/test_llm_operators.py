@@ -329,6 +329,21 @@ def test_quality_bands_reject_noise_and_keep_clean(spark):
     assert not any(got[300 + i]["kept"] for i in range(6))
 
 
+def prose(seed, texts, words=120):
+    r = random.Random(seed)
+    vocabulary = ["".join(r.choice(["an", "er", "th", "in", "or", "es", "ti"]) for _ in range(r.randrange(1, 4))) for _ in range(300)]
+    return [" ".join(r.choice(vocabulary) for _ in range(words)) for _ in range(texts)]
+
+
+def test_quality_bands_with_one_text_in_most_rows(spark):
+    clean = prose(5, 300)
+    near = [clean[0].rsplit(" ", 1)[0] + " " + w for w in prose(6, 1, 400)[0].split()]
+    texts = clean[:100] + [clean[0]] * 400 + clean[100:200] + near + clean[200:]
+    langs = ["de"] * 500 + ["fr"] * 500 + ["en"] * 100  # one text, or near copies of it, in 80 % of the rows
+    got = by_id(quality_rules.quality_report(rows(spark, texts, langs=langs)))
+    assert [sum(got[i]["kept"] for i in at) for at in (range(100), range(500, 600), range(1000, 1100))] == [100, 100, 100]
+
+
 # --- 8 substring ------------------------------------------------------------------------------
 def brute_removed(texts, window=35):
     words = [WORD.findall(t or "") for t in texts]
