@@ -51,6 +51,8 @@ _SIGN = re.escape("".join(c for c in LEET if not c.isdigit()))
 WORD = re.compile("[a-zß-öø-ÿ]+")
 #: single letters or signs with a separator between each two, inside one token
 SPACED = re.compile(rf"[0-9a-zß-öø-ÿ{_SIGN}](?:[{re.escape(SEPARATORS)}][0-9a-zß-öø-ÿ{_SIGN}]){{2,}}")
+#: a part of a run over several tokens: single letters or signs, with separators between them if more than one
+PIECE = re.compile(rf"[0-9a-zß-öø-ÿ{_SIGN}](?:[{re.escape(SEPARATORS)}][0-9a-zß-öø-ÿ{_SIGN}])*")
 #: a sign or digit between letters, or one or two before letters
 MIXED = re.compile(rf"[a-z][{_SIGN}0-9]+[a-z]|^[{_SIGN}0-9]{{1,2}}[a-z]{{2}}")
 #: a letter three times
@@ -58,6 +60,15 @@ LONG = re.compile(r"([a-zß-öø-ÿ])\1\1")
 EDGE = ".,;:!?\"'()[]{}|<>#*$%&-"
 
 
+def _inside(token: str, pattern: re.Pattern) -> str:
+    """The longest part of a token that is a full match: the token, or without
+    punctuation behind, before, or on both sides; else an empty text."""
+    for part in (token, token.rstrip(EDGE), token.lstrip(EDGE), token.strip(EDGE)):
+        if pattern.fullmatch(part):
+            return part
+    return ""
+
+
 def _letter_classes() -> np.ndarray:
     """Byte -> class 0..63: 0 outside words, letters apart, UTF-8 bytes by their low bits."""
     t = np.zeros(256, dtype=np.uint32)
@@ -159,7 +170,10 @@ class Restorer:
     def token_words(self, token: str) -> tuple[str, ...]:
         """Words of a token that is no plain word: its letters, and what it may hide."""
         out = [token] if token.isalpha() else WORD.findall(token)
-        if SPACED.fullmatch(token) or MIXED.search(token) or LONG.search(token):
+        spaced = _inside(token, SPACED)
+        if spaced:
+            out.append(self.decode(spaced))
+        if spaced != token and (MIXED.search(token) or LONG.search(token)):
             out.append(self.decode(token))
         return tuple(out)
 
@@ -183,12 +197,14 @@ class Restorer:
                         look.clear()
                     w = look[t] = self.token_words(t)
                 out.update(w)
-        single = [i for i, t in enumerate(tokens) if len(t) == 1]
+        pieces = {t: x for t in set(tokens) if not t[:2].isalpha() or len(t) == 1 if (x := _inside(t, PIECE))}
+        at = [i for i, t in enumerate(tokens) if t in pieces]
         start = 0
-        for j in range(1, len(single) + 1):  # three or more single letters in a row
-            if j == len(single) or single[j] != single[j - 1] + 1:
-                if j - start >= 3:
-                    out.add(self.decode(" ".join(tokens[single[start]:single[j - 1] + 1])))
+        for j in range(1, len(at) + 1):  # pieces in a row with three or more letters or signs
+            if j == len(at) or at[j] != at[j - 1] + 1:
+                run = [pieces[tokens[i]] for i in at[start:j]]
+                if len(run) > 1 and sum(len(x) + 1 for x in run) >= 6:
+                    out.add(self.decode(" ".join(run)))
                 start = j
         return {w for w in out if len(w) > 1}
 

@@ -404,6 +404,20 @@ def test_deobfuscation_restores_words(spark):
     assert r.words("") == set()
 
 
+@pytest.fixture(scope="module")
+def restorer(spark):
+    text = "you are a stupid clown and he is an idiot. the moron met a stupid idiot in the trash, you know. is this an ass or shit? good food for the class"
+    return toxicity.Restorer(toxicity.count_trigrams(rows(spark, [text] * 5)))
+
+
+@pytest.mark.parametrize("text,word", [
+    ("so s.t.u.p.i.d.", "stupid"), ("an i-d-i-o-t!", "idiot"), ("an i-d-i-o-t, yes", "idiot"), ("(i-d-i-o-t)", "idiot"), ("$-t-u-p-i-d!", "stupid"),
+    ("so i d i o t.", "idiot"), ('"i d i o t"', "idiot"), ("so i-d i-o-t.", "idiot"), ("i, d, i, o, t!", "idiot"),
+])
+def test_deobfuscation_beside_punctuation(restorer, text, word):
+    assert word in restorer.words(text), restorer.words(text)
+
+
 def test_toxicity_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").select("score", "predicted", "toxic").toPandas()
