@@ -2,7 +2,7 @@
 
 Disguised words (leetspeak, letters set apart, letters repeated) are read as a
 lattice: each sign may stand for several letters, a run for one or two letters,
-a separator between single letters for nothing. Viterbi decoding picks the path
+a separator for nothing or for the end of a word. Viterbi decoding picks the path
 with the best sum of channel and character language model; the model (letter
 trigrams) is counted by Spark over every document. Plain words are their own
 only path. The restored words and their beginnings are the features of a
@@ -111,7 +111,7 @@ class Restorer:
         self._ready()
 
     def _ready(self):
-        self.decode = lru_cache(maxsize=200_000)(self._decode)
+        self._cached = lru_cache(maxsize=200_000)(self._decode)
         self.seen: dict[str, tuple[str, ...]] = {}
 
     @classmethod
@@ -123,6 +123,7 @@ class Restorer:
         return r
 
     @staticmethod
+    @lru_cache(maxsize=1024)
     def _class(ch: str) -> int:
         return int(LETTERS[ch.encode()[-1]])
 
@@ -138,7 +139,7 @@ class Restorer:
             letters = [(c, CHANNEL["same"])] if WORD.fullmatch(c) else []
             letters += [(x, CHANNEL["leet"]) for x in LEET.get(c, "")]
             if not letters or (spaced and c in SEPARATORS and n == 1):
-                out.append([("", 0.0)] + [(x, w - 2) for x, w in letters])
+                out.append([("", 0.0), (" ", 0.0)] + [(x, w - 2) for x, w in letters])
                 continue
             opts = [(x, w if n == 1 else w - 0.1) for x, w in letters]
             if n > 1:
@@ -148,14 +149,13 @@ class Restorer:
             out.append(opts)
         return out
 
-    def _decode(self, span: str) -> str:
-        """Best reading of a span, a single word of letters."""
-        if len(span) > 200:
-            return "".join(WORD.findall(span))  # too long for a word: its letters as they stand
-        best = {(0, 0): (0.0, "")}
-        for opts in self._lattice(span):
+    def _path(self, lattice: list[list[tuple[str, float]]]) -> str:
+        """Best path of a lattice. Paths are kept as links to their beginnings, so
+        time and memory grow with the length of the span, whatever it is."""
+        best: dict = {(0, 0): (0.0, None)}
+        for opts in lattice:
             nxt: dict = {}
-            for (a, b), (score, text) in best.items():
+            for (a, b), (score, back) in best.items():
                 for letters, w in opts:
                     s, x, y = score + w, a, b
                     for ch in letters:
@@ -163,18 +163,34 @@ class Restorer:
                         s += float(self.lm[x, y, z])
                         x, y = y, z
                     if (x, y) not in nxt or nxt[x, y][0] < s:
-                        nxt[x, y] = (s, text + letters)
+                        nxt[x, y] = (s, (back, letters) if letters else back)
             best = nxt
-        return max(((s + float(self.lm[a, b, 0]), t) for (a, b), (s, t) in best.items()), default=(0, ""))[1]
+        _, back = max(((s + float(self.lm[a, b, 0]), t) for (a, b), (s, t) in best.items()), key=lambda x: x[0])
+        out = []
+        while back is not None:
+            back, letters = back
+            out.append(letters)
+        return "".join(reversed(out))
+
+    def _decode(self, span: str) -> tuple[str, ...]:
+        """Words of the best reading of a span, and its best reading as one word."""
+        lattice = self._lattice(span)
+        out = self._path(lattice).split()
+        if any(" " in x for opts in lattice for x, _ in opts):
+            out.append(self._path([[(x, w) for x, w in opts if x != " "] for opts in lattice]))
+        return tuple(out)
+
+    def decode(self, span: str) -> tuple[str, ...]:
+        return self._cached(span) if len(span) <= 200 else self._decode(span)  # long spans seldom come again
 
     def token_words(self, token: str) -> tuple[str, ...]:
         """Words of a token that is no plain word: its letters, and what it may hide."""
         out = [token] if token.isalpha() else WORD.findall(token)
         spaced = _inside(token, SPACED)
         if spaced:
-            out.append(self.decode(spaced))
+            out.extend(self.decode(spaced))
         if spaced != token and (MIXED.search(token) or LONG.search(token)):
-            out.append(self.decode(token))
+            out.extend(self.decode(token))
         return tuple(out)
 
     def words(self, text: str) -> set[str]:
@@ -185,7 +201,7 @@ class Restorer:
             if t.isalpha():
                 out.add(t)
                 if LONG.search(t):
-                    out.add(self.decode(t))
+                    out.update(self.decode(t))
             elif (s := t.strip(EDGE)).isalpha() and len(t) - len(s) < 4:
                 out.add(s)
                 if t[0] in LEET or LONG.search(s):
@@ -195,7 +211,9 @@ class Restorer:
                 if w is None:
                     if len(look) > 200_000:
                         look.clear()
-                    w = look[t] = self.token_words(t)
+                    w = self.token_words(t)
+                    if len(t) <= 200:
+                        look[t] = w
                 out.update(w)
         pieces = {t: x for t in set(tokens) if not t[:2].isalpha() or len(t) == 1 if (x := _inside(t, PIECE))}
         at = [i for i, t in enumerate(tokens) if t in pieces]
@@ -204,7 +222,7 @@ class Restorer:
             if j == len(at) or at[j] != at[j - 1] + 1:
                 run = [pieces[tokens[i]] for i in at[start:j]]
                 if len(run) > 1 and sum(len(x) + 1 for x in run) >= 6:
-                    out.add(self.decode(" ".join(run)))
+                    out.update(self.decode(" ".join(run)))
                 start = j
         return {w for w in out if len(w) > 1}
 

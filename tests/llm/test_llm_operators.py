@@ -418,6 +418,15 @@ def test_deobfuscation_beside_punctuation(restorer, text, word):
     assert word in restorer.words(text), restorer.words(text)
 
 
+@pytest.mark.parametrize("text,words", [
+    ("you are a i d i o t", ["idiot"]), ("y o u i d i o t", ["you", "idiot"]), ("y.o.u.a.r.e.a.s.t.u.p.i.d.", ["you", "are", "stupid"]),
+    (" ".join("youareastupidclown" * 12 + "1d10t"), ["you", "are", "stupid", "clown", "idiot"]),
+    ("-".join("youareastupidclown" * 500 + "1d10t"), ["you", "are", "stupid", "clown", "idiot"]),
+])
+def test_deobfuscation_of_several_words(restorer, text, words):
+    assert set(words) <= restorer.words(text), restorer.words(text)
+
+
 def test_toxicity_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").select("score", "predicted", "toxic").toPandas()
