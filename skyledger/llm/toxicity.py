@@ -53,10 +53,9 @@ WORD = re.compile("[a-zß-öø-ÿ]+")
 SPACED = re.compile(rf"[0-9a-zß-öø-ÿ{_SIGN}](?:[{re.escape(SEPARATORS)}][0-9a-zß-öø-ÿ{_SIGN}]){{2,}}")
 #: a part of a run over several tokens: single letters or signs, with separators between them if more than one
 PIECE = re.compile(rf"[0-9a-zß-öø-ÿ{_SIGN}](?:[{re.escape(SEPARATORS)}][0-9a-zß-öø-ÿ{_SIGN}])*")
-#: a sign or digit between letters, or one or two before letters
-MIXED = re.compile(rf"[a-z][{_SIGN}0-9]+[a-z]|^[{_SIGN}0-9]{{1,2}}[a-z]{{2}}")
 #: a letter three times
 LONG = re.compile(r"([a-zß-öø-ÿ])\1\1")
+PLAIN_EDGE = ".,;:?\"'()[]{}<>&-"
 EDGE = ".,;:!?\"'()[]{}|<>#*$%&-"
 
 
@@ -69,6 +68,15 @@ def _inside(token: str, pattern: re.Pattern) -> str:
     return ""
 
 
+def _hides(token: str) -> bool:
+    """A token of letters and signs or digits, or of signs alone with two digits or more:
+    what it says is left to the language model."""
+    if WORD.search(token):
+        return not LEET.keys().isdisjoint(token)
+    core = token.strip(PLAIN_EDGE)
+    return all(c in LEET for c in core) and sum(c.isdigit() for c in core) >= 2
+
+
 def _letter_classes() -> np.ndarray:
     """Byte -> class 0..63: 0 outside words, letters apart, UTF-8 bytes by their low bits."""
     t = np.zeros(256, dtype=np.uint32)
@@ -189,14 +197,25 @@ class Restorer:
         spaced = _inside(token, SPACED)
         if spaced:
             out.extend(self.decode(spaced))
-        if spaced != token and (MIXED.search(token) or LONG.search(token)):
+        if spaced != token and (_hides(token) or LONG.search(token)):
             out.extend(self.decode(token))
         return tuple(out)
 
+    def _looked_up(self, token: str) -> tuple[str, ...]:
+        """`token_words`, once per distinct token (long ones seldom come again)."""
+        w = self.seen.get(token)
+        if w is None:
+            w = self.token_words(token)
+            if len(self.seen) > 200_000:
+                self.seen.clear()
+            if len(token) <= 200:
+                self.seen[token] = w
+        return w
+
     def words(self, text: str) -> set[str]:
         """Distinct words of a text, plain ones and restored ones."""
         tokens = text.lower().split()
-        out, look = set(), self.seen
+        out = set()
         for t in set(tokens):
             if t.isalpha():
                 out.add(t)
@@ -204,17 +223,10 @@ class Restorer:
                     out.update(self.decode(t))
             elif (s := t.strip(EDGE)).isalpha() and len(t) - len(s) < 4:
                 out.add(s)
-                if t[0] in LEET or LONG.search(s):
-                    out.update(self.token_words(t))
+                if not LEET.keys().isdisjoint(t) or LONG.search(s):
+                    out.update(self._looked_up(t))
             else:
-                w = look.get(t)
-                if w is None:
-                    if len(look) > 200_000:
-                        look.clear()
-                    w = self.token_words(t)
-                    if len(t) <= 200:
-                        look[t] = w
-                out.update(w)
+                out.update(self._looked_up(t))
         pieces = {t: x for t in set(tokens) if not t[:2].isalpha() or len(t) == 1 if (x := _inside(t, PIECE))}
         at = [i for i, t in enumerate(tokens) if t in pieces]
         start = 0

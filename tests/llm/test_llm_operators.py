@@ -427,6 +427,14 @@ def test_deobfuscation_of_several_words(restorer, text, words):
     assert set(words) <= restorer.words(text), restorer.words(text)
 
 
+@pytest.mark.parametrize("text,word", [
+    ("an a55", "ass"), ("an a$$", "ass"), ("oh shi7", "shit"), ("an idi07", "idiot"), ("oh 5h17", "shit"), ("(5h17)", "shit"),
+    ("an 1d107.", "idiot"), ("the 455", "ass"), ("an 1d!07", "idiot"), ("an id!0+", "idiot"),
+])
+def test_deobfuscation_of_signs(restorer, text, word):
+    assert word in restorer.words(text), restorer.words(text)
+
+
 def test_toxicity_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").select("score", "predicted", "toxic").toPandas()
