@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Generator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,23 +57,31 @@ class Node:
 
 
 def parse(page: str) -> Node:
-    """Tree of a page. Its depth is bounded: very deep nesting is flattened."""
+    """Tree of a page, as deep as its elements are nested. The places of the open
+    elements of each tag are kept, so that no tag has to search the open ones."""
     root = Node("#root")
     stack = [root]
+    places: dict[str, list[int]] = {}
+
+    def deepest(tags):
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def pop():
+        places[stack.pop().tag].pop()
 
     def close(names, scope):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                return True
-            if stack[i].tag in scope:
-                return False
-        return False
+        at = deepest(names)
+        if not at or at < deepest(scope):
+            return False
+        while len(stack) > at:
+            pop()
+        return True
 
     def open_(tag, attrs=""):
         node = Node(tag, attrs)
         stack[-1].kids.append(node)
-        if tag not in VOID and len(stack) < 150:
+        if tag not in VOID:
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
 
     at, n = 0, len(page)
@@ -88,9 +97,9 @@ def parse(page: str) -> Node:
             continue
         tag, attrs = m[2].lower(), m[3]
         if m[1]:
-            if tag == "p" and not any(x.tag == "p" for x in stack):
+            if tag == "p" and not places.get("p"):
                 open_("p")  # a stray </p> is an empty paragraph
-                stack.pop()
+                pop()
             elif tag == "br":
                 stack[-1].kids.append(Node("br"))
             elif tag not in VOID:
@@ -100,11 +109,11 @@ def parse(page: str) -> Node:
         if tag in CLOSE_P:
             close(("p",), ("table", "td", "th", "button", "caption"))
         if tag[0] == "h" and len(tag) == 2 and tag[1] in "123456" and stack[-1].tag[0] == "h" and stack[-1].tag[1:] in ("1", "2", "3", "4", "5", "6"):
-            stack.pop()
+            pop()
         if tag in CLOSES:
             while close(CLOSES[tag], SCOPE.get(tag, TABLE_SCOPE)) and tag in ("tr", "thead", "tbody", "tfoot", "dt", "dd", "optgroup"):
                 pass
-        if tag in ("td", "th") and stack[-1].tag != "tr" and any(x.tag == "table" for x in stack):
+        if tag in ("td", "th") and stack[-1].tag != "tr" and places.get("table"):
             open_("tr")  # implied row
         open_(tag, attrs)
         if tag in RAW:
@@ -114,7 +123,7 @@ def parse(page: str) -> Node:
                 stack[-1].kids.append(html.unescape(page[at:stop]) if tag != "xmp" else page[at:stop])
             at = end.end() if end else n
             if stack[-1].tag == tag:
-                stack.pop()
+                pop()
     return root
 
 
@@ -181,14 +190,37 @@ def hidden(node: Node) -> bool:
             or (node.tag == "dialog" and "open" not in a) or bool(INVISIBLE.search(a.get("style", ""))))
 
 
-def _inner(node: Node, keep: bool, depth: int) -> list[str]:
+def _run(steps: Generator):
+    """Result of a rendering step. Steps yield the steps inside them, which wait on
+    a list instead of the call stack: any depth of nesting is laid out."""
+    waiting, value = [steps], None
+    while waiting:
+        try:
+            inside = waiting[-1].send(value)
+        except StopIteration as done:
+            waiting.pop()
+            value = done.value
+        else:
+            waiting.append(inside)
+            value = None
+    return value
+
+
+def _kids(kids: list, lines: Lines, keep: bool, parent: Node) -> Generator:
+    for k in kids:
+        if isinstance(k, str):
+            lines.text(k, keep)
+        else:
+            yield _render(k, lines, keep, parent)
+
+
+def _inner(node: Node, keep: bool) -> Generator:
     sub = Lines()
-    for k in node.kids:
-        _render(k, sub, keep, depth, node)
+    yield from _kids(node.kids, sub, keep, node)
     return sub.done()
 
 
-def _table(node: Node, lines: Lines, keep: bool, depth: int) -> None:
+def _table(node: Node, lines: Lines, keep: bool) -> Generator:
     """Cells of a column padded to one width; a cell of several lines spans as many."""
     rows, captions = [], []
 
@@ -206,14 +238,14 @@ def _table(node: Node, lines: Lines, keep: bool, depth: int) -> None:
                             cells.append(([SPACES.sub(" ", c.strip())], 1))
                     elif not hidden(c):
                         span = c.get().get("colspan", "1") if c.attrs else "1"
-                        cells.append((_inner(c, keep, depth + 1), min(int(span), 1000) if span.isdigit() and span != "0" else 1))
+                        cells.append(((yield _inner(c, keep)), min(int(span), 1000) if span.isdigit() and span != "0" else 1))
                 rows.append(cells)
             elif k.tag in ("thead", "tbody", "tfoot", "colgroup"):
-                gather(k)
+                yield gather(k)
             else:
-                captions.append(_inner(k, keep, depth + 1))
+                captions.append((yield _inner(k, keep)))
 
-    gather(node)
+    yield gather(node)
     width: dict[int, int] = {}
     for cells in rows:
         col = 0
@@ -238,10 +270,7 @@ def _table(node: Node, lines: Lines, keep: bool, depth: int) -> None:
             lines.text("  ".join(out).rstrip(" "), True)
 
 
-def _render(node, lines: Lines, keep: bool, depth: int, parent: Node) -> None:
-    if isinstance(node, str):
-        lines.text(node, keep)
-        return
+def _render(node: Node, lines: Lines, keep: bool, parent: Node) -> Generator:
     if hidden(node):
         return
     tag = node.tag
@@ -266,7 +295,7 @@ def _render(node, lines: Lines, keep: bool, depth: int, parent: Node) -> None:
     if gap:
         lines.block(gap)
     if tag == "table":
-        _table(node, lines, keep, depth)
+        yield _table(node, lines, keep)
     elif tag in ("ul", "ol", "menu"):
         number = 1
         start = node.get().get("start", "1") if node.attrs else "1"
@@ -274,16 +303,16 @@ def _render(node, lines: Lines, keep: bool, depth: int, parent: Node) -> None:
             number = int(start)
         for k in node.kids:
             if isinstance(k, str) or k.tag != "li":
-                _render(k, lines, keep, depth, node)
+                yield from _kids([k], lines, keep, node)
             elif not hidden(k):
                 mark = f"{number}. " if tag == "ol" else "- "
                 number += 1
-                for i, t in enumerate(_inner(k, keep, depth + 1) or [""]):
+                for i, t in enumerate((yield _inner(k, keep)) or [""]):
                     lines.block(1)
                     if (mark + t).strip():
                         lines.text((mark if i == 0 else " " * len(mark)) + t if t or i == 0 else "", True)
     elif tag == "blockquote":
-        for t in _inner(node, keep, depth + 1):
+        for t in (yield _inner(node, keep)):
             lines.block(1)
             lines.text("> " + t, True)
     elif tag == "hr":
@@ -293,8 +322,7 @@ def _render(node, lines: Lines, keep: bool, depth: int, parent: Node) -> None:
         kids = node.kids
         if tag == "pre" and kids and isinstance(kids[0], str) and kids[0].startswith("\n"):
             kids = [kids[0][1:], *kids[1:]]
-        for k in kids:
-            _render(k, lines, inner, depth, node)
+        yield from _kids(kids, lines, inner, node)
     if tag in ("td", "th", "option", "button"):
         lines.space = True
     if gap:
@@ -306,8 +334,7 @@ def render(page: str | None) -> str:
     if not page:
         return ""
     root, lines = parse(page), Lines()
-    for k in root.kids:
-        _render(k, lines, False, 0, root)
+    _run(_kids(root.kids, lines, False, root))
     return "\n".join(lines.done())
 
 

@@ -164,6 +164,18 @@ def test_html_table(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<span>" * 400 + "<div style='display:none'><p>no</p></div>yes", "yes"),
+    ("<b>" * 400 + "<ul><li>a<li>b</ul>", "- a\n- b"),
+    ("<div>" * 400 + "<table><tr><td>a<td>bb<tr><td>ccc<td>d</table>", "a    bb\nccc  d"),
+    ("<div hidden>" + "<font>" * 400 + "<div>no</div>no</div>yes", "yes"),
+    ("<blockquote>" * 200 + "q", "> " * 200 + "q"),
+    ("<div>" * 30000 + "<p hidden>no</p>a<br>" + "<b><i>b</i>" * 30000, "a\n" + "b" * 30000),
+])
+def test_html_deep_nesting(page, text):
+    assert html_text.render(page) == text
+
+
 # --- 4 token files ------------------------------------------------------------------------
 @pytest.mark.parametrize("seed", range(6))
 def test_simple8b_round_trip(seed):
