@@ -356,6 +356,16 @@ def test_quality_bands_with_one_text_in_most_rows(spark):
     assert [sum(got[i]["kept"] for i in at) for at in (range(100), range(500, 600), range(1000, 1100))] == [100, 100, 100]
 
 
+def test_quality_bands_of_rare_languages(spark):
+    clean = prose(7, 606)
+    r = random.Random(8)
+    noise = [" ".join("".join(r.choice("qzxjkvwy#%&") for _ in range(7)) for _ in range(120)) for _ in range(103)]
+    langs = ["en"] * 600 + ["yy"] * 5 + [None] + ["n1"] * 3 + ["n49"] * 49 + ["n50"] * 50 + ["x"]
+    got = by_id(quality_rules.quality_report(rows(spark, clean + noise, langs=langs)))
+    assert all(got[i]["kept"] for i in range(606))
+    assert [i for i in range(606, 709) if got[i]["kept"]] == []
+
+
 # --- 8 substring ------------------------------------------------------------------------------
 def brute_removed(texts, window=35):
     words = [WORD.findall(t or "") for t in texts]
