@@ -1,4 +1,4 @@
-"""Repeated passages by prefix-partitioned suffix trees (operator 8).
+"""Repeated passages by prefix-partitioned window hashes (operator 8).
 
 A window is a run of WINDOW words of one document. Every window whose word
 sequence also starts anywhere else is a repeat; the words it covers go.
@@ -11,11 +11,11 @@ sequence also starts anywhere else is a repeat; the words it covers go.
 2. Groups. A suffix goes to the group of its prefix. Prefixes have variable
    length: of 8 words, or of 16, 24 or all 35 where the shorter prefix starts so
    many suffixes that its group would outgrow a task.
-3. Subtrees. A group's suffixes stream in the order of their (prefix, rest to
-   depth 35) labels: the leaves of its subtree from left to right, edges
-   compressed to one label. A node at depth 35 or more with two leaves or more
-   is a repeat and all its leaves are its places; nothing of a group is held
-   but the last leaf.
+3. Windows. A group's suffixes are sorted by (prefix hash, hash of all 35 words)
+   and each is compared with its neighbour: equal ones are places of a repeat.
+   No tree is built: there is no order of words, no common prefix and no node
+   deeper than 35, which the removal does not ask for. Nothing of a group is held
+   but the last row.
 4. Runs of places join to the maximal repeats of each document.
 
 Equal suffixes of one chunk of text meet before the shuffle: they are known
