@@ -1,5 +1,5 @@
-"""Registered queries of the ten operators, each over its whole table, and the
-SQL of those that SQL can express."""
+"""Registered queries of the operators, each over its whole table, and the SQL of
+those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_text, near_dup, quality_rules, substring, tiling, token_file, toxicity, warc
+from . import bpe, chat, hard_negatives, html_text, near_dup, quality_rules, substring, tiling, token_file, toxicity, warc
 from . import common as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,14 @@ def _op10(spark, sf_dir):
     return tiling.decontaminate(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
 
+@register("op11_hard_negatives")
+def _op11(spark, sf_dir):
+    """Hard negatives of every anchor and positive; labels of ids divisible by 7 move on by one."""
+    rows = C.table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 ORACLE["op1_chat_formatting"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -163,3 +171,23 @@ SELECT docs.doc_id, len(w) AS n_words, count(*) FILTER (WHERE gone) AS n_removed
   sha256(coalesce(string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM docs LEFT JOIN marked ON marked.doc_id = docs.doc_id GROUP BY docs.doc_id, len(w)
 """
+
+ORACLE["op11_hard_negatives"] = """
+WITH pool AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM pool a JOIN pool b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3
+"""
