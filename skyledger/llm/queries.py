@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, hard_negatives, html_text, near_dup, quality_rules, substring, tiling, token_file, toxicity, warc
+from . import (bpe, chat, hard_negatives, html_text, near_dup, quality_rules, spelling, substring, tiling, token_file, toxicity,
+               warc)
 from . import common as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +115,12 @@ def _op11(spark, sf_dir):
     return hard_negatives.hard_negatives(rows.withColumn("label", moved))
 
 
+@register("op12_spelling_variants")
+def _op12(spark, sf_dir):
+    """Near words, form and root of every word of the corpus vocabulary."""
+    return spelling.variants(C.table(spark, sf_dir, "documents"))
+
+
 ORACLE["op1_chat_formatting"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -191,3 +198,37 @@ FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 50
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
 QUALIFY row_number() OVER w <= 3
 """
+
+ORACLE["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+), runs AS (
+  SELECT doc_id, r, length(r) AS len, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS r
+    FROM documents) GROUP BY ALL HAVING length(r) >= 6
+), bytes AS (
+  SELECT r, len, n, list_transform(range(1, length(x), 2), lambda i: 16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1) AS b
+  FROM (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r)) AS x FROM runs)
+), hashed AS (
+  SELECT r, len, n, xor(4294967295, list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295)) AS h FROM bytes, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % len) || substr(r, h % len + 2) ELSE r END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), gaps AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT x.word, y.word AS near, y.n FROM gaps x JOIN gaps y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM gaps x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word, x.n FROM gaps x JOIN words y ON x.a || x.b = y.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS most, arg_min(near, {'m': -n, 'w': near}) AS near FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN near END AS form, CASE WHEN most >= 5 * w.n THEN most END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word
+), chain(word, last) AS (
+  SELECT word, word FROM forms UNION ALL SELECT chain.word, form FROM chain JOIN forms ON forms.word = chain.last WHERE form IS NOT NULL
+)
+SELECT forms.word, n, n_near, form, form_n, last AS root
+FROM forms JOIN chain ON chain.word = forms.word WHERE NOT EXISTS (SELECT 1 FROM forms f WHERE f.word = last AND f.form IS NOT NULL)
+"""
