@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, hard_negatives, html_text, near_dup, quality_rules, spelling, substring, tiling, token_file, toxicity,
+from . import (bpe, chat, hard_negatives, html_text, licenses, near_dup, quality_rules, spelling, substring, tiling, token_file, toxicity,
                warc)
 from . import common as C
 
@@ -121,6 +121,12 @@ def _op12(spark, sf_dir):
     return spelling.variants(C.table(spark, sf_dir, "documents"))
 
 
+@register("op13_license_scan")
+def _op13(spark, sf_dir):
+    """License phrases, labels and score of every document."""
+    return licenses.scan_licenses(C.table(spark, sf_dir, "documents"))
+
+
 ORACLE["op1_chat_formatting"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

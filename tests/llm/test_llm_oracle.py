@@ -21,5 +21,5 @@ def test_matches_oracle(spark, name):
 def test_one_query_for_each_operator():
     names = set(E.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
