@@ -280,7 +280,8 @@ def _near(vocab: DataFrame, n_blocks: int, right: bool) -> DataFrame:
     shared = F.substring("word", 1, MIN_HALF) if right else F.substring("word", -MIN_HALF, MIN_HALF)
     words = vocab.select("word", "n", shared.alias("_shared"))
     parts = words.groupBy("_shared").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("_parts"))
-    words = words.join(parts, "_shared")
+    # only split starts are sent to all tasks: each stands for over BLOCK words, and they have MIN_HALF letters
+    words = words.join(F.broadcast(parts.where(F.col("_parts") > 1)), "_shared", "left").fillna(1, ["_parts"])
     # small starts are put together, a split one has its blocks for itself
     block = F.when(F.col("_parts") == 1, F.pmod(F.xxhash64("_shared"), F.lit(n_blocks)).cast("string")).otherwise(F.concat(F.lit("s"), "_shared"))
     part = F.pmod(F.xxhash64("word"), F.col("_parts")).cast("int")
