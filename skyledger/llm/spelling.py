@@ -289,6 +289,8 @@ def _near(vocab: DataFrame, n_blocks: int, right: bool) -> DataFrame:
     rows = words.select("word", "n", block.alias("_block"), part.alias("_i"), every.alias("_j"))
     queries = words.select(F.col("word").alias("word"), block.alias("_block"), every.alias("_i"), part.alias("_j"))
     keys = ["_block", "_i", "_j"]
+    # about one block a task: the work of a block is far more than its bytes say
+    rows, queries = (x.repartition(n_blocks, *keys) for x in (rows, queries))
     return rows.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(_searched(right), "word string, near string, near_n long")
 
 
