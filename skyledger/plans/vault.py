@@ -11,13 +11,15 @@ Keys
 Batch form (`build_vault`): every table as a lazy DataFrame over the booking
 model. Incremental form (`load_vault`): per batch, hubs and links insert only
 unknown keys (anti-join against what is stored), satellites append a version
-(all, as the reference does, or only changed ones), each batch written to its
-own `writer=<w>/batch_id=<n>` partition so a replayed batch overwrites itself and
-nothing of another writer (a backfill next to a stream).
+(all, as the reference does, or only changed ones). All tables of a batch appear at
+once (`operators.commits`), a batch looks only into the buckets of its own keys, and a
+repeated batch takes the place of the former one and of nothing of another writer (a
+backfill next to a stream).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +30,10 @@ from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, has
 from ..lazy import LazyTables
 from ..operators.ranking import latest_version, previous_value
 from ..schemas import LINEAGE
-from ..operators.sinks import append_batch, has_data, insert_if_absent, path_exists
+from ..operators import commits
+from ..operators.sinks import insert_if_absent
+
+TABLES_AT_ONCE = 4  # tables of a batch written side by side
 
 LINEAGE_COLS = [name for name, _, _ in LINEAGE]
 
@@ -175,6 +180,11 @@ def build_link(lk: Link, src: DataFrame, load_ts) -> DataFrame:
     return with_lineage(rows, load_ts)
 
 
+def parent_id(sat: Satellite) -> str:
+    """Column with the id of a satellite's hub or link."""
+    return HUB_BY_NAME[sat.parent].id_col if sat.parent in HUB_BY_NAME else LINK_BY_NAME[sat.parent].id_col
+
+
 def _parent_cols(sat: Satellite) -> tuple[str, list[str], Column]:
     """(parent id column, parent business key columns, parent id expression)."""
     if sat.parent in HUB_BY_NAME:
@@ -223,23 +233,38 @@ def build_vault(t, load_ts, tables: list[str] | None = None) -> LazyTables:
 
 
 # --- incremental load -------------------------------------------------------------------
-def read_vault(spark: SparkSession, root: str, before_batch: int | None = None,
-               writer: str = "batch") -> dict[str, DataFrame]:
-    """Stored history tables; `before_batch` hides the batches >= n of `writer`, so
-    that a replay of its batch n does not see its own rows. What other writers
-    stored is always seen."""
-    out = {}
-    for name in TABLES:
-        p = f"{root.rstrip('/')}/{name}"
-        if not path_exists(spark, p):
-            continue
-        if not has_data(spark, p):     # only empty batches so far
-            continue
-        df = spark.read.parquet(p)     # data that cannot be read is an error, not an empty history
-        if before_batch is not None:
-            df = df.where((F.col("writer") != F.lit(writer)) | (F.col("batch_id") < before_batch))
-        out[name] = df.drop("writer", "batch_id")
-    return out
+# the key by which a stored table is dealt to buckets and looked up
+BUCKET_KEYS = {**{h.name: h.id_col for h in HUBS}, **{lk.name: lk.id_col for lk in LINKS}, "link_ticket_booking": "ticket_no",
+               **{s.name: parent_id(s) for s in SATELLITES},
+               **{f"{state}_{rows}": "ticket_no" for state in ("waiting", "settled") for rows in ("ticket_flights", "boarding_passes")}}
+# one waiting row: its place in the topic tells it from others of the same leg
+WAITING_KEY = ["ticket_no", "flight_id", "_partition", "_offset", "writer"]
+
+
+def begin_batch(spark: SparkSession, root: str, writer: str, batch_id: int, buckets: int = commits.BUCKETS) -> commits.Batch:
+    return commits.Batch(spark, root, writer, batch_id, BUCKET_KEYS, buckets)
+
+
+def read_vault(spark: SparkSession, root: str, before_batch: int | None = None, writer: str = "batch") -> LazyTables:
+    """Committed history tables; `before_batch` hides the batches >= n of `writer`. What other writers
+    committed is always seen, nothing of a batch that did not finish is."""
+    m = commits.read_manifest(spark, root)
+    if before_batch is not None:
+        m = commits.replace(m, runs=tuple(r for r in m.runs if r.writer != writer or r.batch_id < before_batch))
+    found = {t for r in m.runs for t in r.tables}
+    return LazyTables({n: (lambda n=n: commits.read_runs(spark, root, m, n).drop("run", "bucket", "writer", "batch_id"))
+                       for n in TABLES if n in found})
+
+
+def compact_vault(spark: SparkSession, root: str, fan: int = 8) -> commits.Manifest:
+    """Merge small batches (`commits.compact`): satellites sorted by parent and load date; waiting rows that were
+    settled go, both in the merged runs."""
+    def reduce(table: str, rows: dict[str, DataFrame]) -> DataFrame:
+        state, _, kind = table.partition("_")
+        other = {"waiting": "settled", "settled": "waiting"}.get(state, "") + f"_{kind}"
+        return rows[table].join(rows[other].select(*WAITING_KEY), WAITING_KEY, "left_anti") if other in rows else rows[table]
+    order = {s.name: [parent_id(s), "load_date"] for s in SATELLITES}
+    return commits.compact(spark, root, BUCKET_KEYS, fan, order, reduce)
 
 
 def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None,
@@ -248,7 +273,7 @@ def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None
     behaviour) except exact repeats of a stored one (same parent, load time and
     hash: a redelivered message). "skip": also versions equal to the parent's
     latest stored version (the intended use of hash_diff)."""
-    pid = _parent_cols(sat)[0]
+    pid = parent_id(sat)
     if stored is not None:
         rows = rows.join(stored.select(pid, "load_date", "hash_diff"), [pid, "load_date", "hash_diff"], "left_anti")
     if on_unchanged == "append":
@@ -275,25 +300,34 @@ def stored_for_batch(stored: DataFrame, rows: DataFrame, cols: list[str]) -> Dat
     return stored.join(keys, cols, "left_semi")
 
 
-def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id: int, load_ts,
-               on_unchanged: str = "append", tables: list[str] | None = None,
-               writer: str = "batch") -> dict[str, DataFrame]:
-    """Load one batch of booking-model rows (or change images) into the stored
-    history layer; each table's new rows go to its `writer=<w>/batch_id=<n>` partition.
-    Batch ids count per writer; writers load one after the other."""
-    stored = read_vault(spark, root, before_batch=batch_id, writer=writer)
-    fresh = build_vault(t, load_ts, tables)
-    written = {}
-    for name, rows in fresh.items():
+def write_batch(batch: commits.Batch, t, load_ts, on_unchanged: str = "append", tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """The new rows of one batch, written but not committed. Only the buckets of the batch's keys are read. The tables
+    do not need each other: TABLES_AT_ONCE are written side by side, so that small ones do not queue."""
+    def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
+        name, rows = item
+        past = batch.near(name, rows)
+        if past is not None:
+            past = past.drop("writer", "batch_id")
         if name in HUB_BY_NAME or name in LINK_BY_NAME:
             key = HUB_BY_NAME[name].hash_col if name in HUB_BY_NAME else LINK_BY_NAME[name].hash_col
-            if name in stored:
-                rows = insert_if_absent(stored_for_batch(stored[name], rows, [key]), rows, [key], unique=True)
+            if past is not None:
+                rows = insert_if_absent(stored_for_batch(past, rows, [key]), rows, [key], unique=True)
         else:
             sat = next(s for s in SATELLITES if s.name == name)
-            pid = _parent_cols(sat)[0]
-            past = stored_for_batch(stored[name], rows, [pid]) if name in stored else None
+            past = stored_for_batch(past, rows, [parent_id(sat)]) if past is not None else None
             rows = new_satellite_rows(sat, rows, past, on_unchanged)
-        append_batch(rows, f"{root.rstrip('/')}/{name}", batch_id, writer=writer)
-        written[name] = rows
+        batch.write(name, rows)
+        return name, rows
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        return dict(pool.map(write, list(build_vault(t, load_ts, tables).items())))
+
+
+def load_vault(spark: SparkSession, t: dict[str, DataFrame], root: str, batch_id: int, load_ts,
+               on_unchanged: str = "append", tables: list[str] | None = None,
+               writer: str = "batch", buckets: int = commits.BUCKETS) -> dict[str, DataFrame]:
+    """Load one batch of booking-model rows (or change images) into the stored history layer; all its tables
+    appear at once. Batch ids count per writer; of two loads at the same time one fails and is to be repeated."""
+    batch = begin_batch(spark, root, writer, batch_id, buckets)
+    written = write_batch(batch, t, load_ts, on_unchanged, tables)
+    batch.commit()
     return written

@@ -3,13 +3,16 @@
 `readStream` (Kafka, or JSON files in tests) -> `foreachBatch`: each
 micro-batch is parsed, its rejects written to a quarantine dataset, and its
 row images loaded as one set-based batch (`plans.vault.load_vault`): hubs and
-links insert unknown keys, satellites append versions. Everything a batch
-writes lands in `writer=<w>/batch_id=<n>` partitions and reads of the stored layer
-hide the writer's own batches >= n, so a batch replayed after a failure overwrites
-exactly its own output: with the checkpoint this gives exactly-once results on an
-at-least-once source. The writer is the id of the streaming query, which lives in
-its checkpoint: a stream started on a new checkpoint is a new writer and overwrites
-nothing.
+links insert unknown keys, satellites append versions. All tables of a batch are
+committed at once, and a batch replayed after a failure takes the place of exactly its own
+output: with the checkpoint this gives exactly-once results on an at-least-once
+source. The writer is the id of the streaming query, which lives in its checkpoint: a
+stream started on a new checkpoint is a new writer and replaces nothing.
+
+Topics have no mutual order: legs and boarding passes whose ticket or leg is not known yet
+wait as keyed rows of the same store, in the bucket of their ticket. A batch reads only
+the waiting rows of tickets it holds, adds those that begin to wait and marks those that are
+settled; what waits otherwise is neither read nor written.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import latest_version
-from ..operators.sinks import append_batch, path_exists
+from ..operators import commits
+from ..operators.sinks import append_batch
 from ..plans import vault
 from ..sources import cdc
 
@@ -53,24 +57,28 @@ def _leg_rows(src) -> DataFrame | None:
     return out
 
 
+def _near(stored, table: str, rows: DataFrame) -> DataFrame | None:
+    """Stored rows of a table in the buckets of the keys of `rows` (nothing is stored: None)."""
+    return stored.near(table, rows) if stored else None
+
+
 def ticket_keys(src, stored, wanted: DataFrame | None = None) -> DataFrame | None:
-    """ticket_no -> (book_ref, passenger_id): from this batch's tickets images and,
-    for tickets loaded earlier, from the stored link and hubs (latest wins).
-    With `wanted` (rows with ticket_no) only those tickets are read from storage."""
+    """ticket_no -> (book_ref, passenger_id): from this batch's tickets images and, for
+    the tickets of `wanted` (rows with ticket_no) loaded earlier, from the stored link and
+    hubs (latest wins). `stored` is the batch that is loaded, or nothing."""
     parts = []
     if "tickets" in src:
         parts.append(src["tickets"].select("ticket_no", "book_ref", "passenger_id", *MESSAGE_ORDER))
-    if {"link_ticket_booking", "hub_bookings", "hub_passengers"} <= set(stored):
-        link = stored["link_ticket_booking"]
-        if wanted is not None:
-            link = vault.stored_for_batch(link, wanted, ["ticket_no"])
+    link = _near(stored, "link_ticket_booking", wanted) if wanted is not None else None
+    if link is not None:
+        link = vault.stored_for_batch(link, wanted, ["ticket_no"])
         link = link.select("ticket_no", "booking_hub_id", "passenger_hub_id", F.col("load_date").alias("_load_ts"))
-        hb = vault.stored_for_batch(stored["hub_bookings"], link, ["booking_hub_id"])
-        hp = vault.stored_for_batch(stored["hub_passengers"], link, ["passenger_hub_id"])
-        parts.append(link.join(hb.select("booking_hub_id", "book_ref"), "booking_hub_id")
-                     .join(hp.select("passenger_hub_id", "passenger_id"), "passenger_hub_id")
-                     .select("ticket_no", "book_ref", "passenger_id", "_load_ts",
-                             F.lit(-1).alias("_partition"), F.lit(-1).cast("long").alias("_offset")))
+        hb, hp = _near(stored, "hub_bookings", link), _near(stored, "hub_passengers", link)
+        if hb is not None and hp is not None:
+            parts.append(link.join(hb.select("booking_hub_id", "book_ref"), "booking_hub_id")
+                         .join(hp.select("passenger_hub_id", "passenger_id"), "passenger_hub_id")
+                         .select("ticket_no", "book_ref", "passenger_id", "_load_ts",
+                                 F.lit(-1).alias("_partition"), F.lit(-1).cast("long").alias("_offset")))
     if not parts:
         return None
     keys = parts[0]
@@ -93,13 +101,12 @@ def stream_ticket_legs(src, stored) -> DataFrame | None:
     keys = ticket_keys(src, stored, batch_legs)
     if keys is None:
         return None
-    sat_name = "sat_ticket_flight_details"
     link_id = vault.ref_id("link_ticket_flight")
-    current = None
-    if sat_name in stored:
-        # only the current versions of this batch's ticket legs are read
-        ids = batch_legs.join(keys, "ticket_no").select(link_id.alias("ticket_flight_link_id"))
-        past = vault.stored_for_batch(stored[sat_name], ids, ["ticket_flight_link_id"])
+    # only the current versions of this batch's ticket legs are read
+    ids = batch_legs.join(keys, "ticket_no").select(link_id.alias("ticket_flight_link_id"))
+    past, current = _near(stored, "sat_ticket_flight_details", ids), None
+    if past is not None:
+        past = vault.stored_for_batch(past, ids, ["ticket_flight_link_id"])
         current = latest_version(past, "ticket_flight_link_id", ["load_date", "hash_diff"]).select(
             "ticket_flight_link_id", F.col("fare_conditions").alias("_cur_fare"), F.col("amount").alias("_cur_amount"),
             F.col("boarding_no").alias("_cur_boarding"), F.col("seat_no").alias("_cur_seat"))
@@ -135,54 +142,66 @@ def stream_ticket_legs(src, stored) -> DataFrame | None:
     return out
 
 
-PENDING = {"ticket_flights": "ticket_no string, flight_id int, fare_conditions decimal(10,2), amount decimal(10,2), _load_ts timestamp, _partition int, _offset long",
-           "boarding_passes": "ticket_no string, flight_id int, boarding_no int, seat_no string, _load_ts timestamp, _partition int, _offset long"}
+WAITING_COLUMNS = {"ticket_flights": [*LEG_KEYS, "fare_conditions", "amount", *MESSAGE_ORDER],
+                   "boarding_passes": [*LEG_KEYS, "boarding_no", "seat_no", *MESSAGE_ORDER]}
 
 
-def read_pending(spark: SparkSession, root: str, batch_id: int, writer: str) -> dict[str, DataFrame]:
-    """Legs and passes of `writer` that still waited for their ticket or leg after its last batch before `batch_id`."""
+def waiting_rows(spark: SparkSession, root: str, before: str | None = None) -> DataFrame | None:
+    """Legs and passes that wait for their ticket or leg (sent before a time, to find those whose ticket
+    never comes): table, ticket_no, flight_id, waiting_since, writer."""
+    out = None
+    for name in WAITING_COLUMNS:
+        rows = commits.read_table(spark, root, f"waiting_{name}")
+        if rows is None:
+            continue
+        settled = commits.read_table(spark, root, f"settled_{name}")
+        if settled is not None:
+            rows = rows.join(settled.select(*vault.WAITING_KEY), vault.WAITING_KEY, "left_anti")
+        rows = rows.select(F.lit(name).alias("table"), *LEG_KEYS, F.col("_load_ts").alias("waiting_since"), "writer")
+        out = rows if out is None else out.unionByName(rows)
+    return out.where(F.col("waiting_since") < F.lit(before).cast("timestamp")) if out is not None and before else out
+
+
+def read_waiting(batch: commits.Batch, src) -> dict[str, DataFrame]:
+    """What this writer has waiting for the tickets of a batch (by the tickets' buckets)."""
+    arrived = None
+    for name in ("tickets", *WAITING_COLUMNS):
+        if name in src:
+            keys = src[name].select("ticket_no")
+            arrived = keys if arrived is None else arrived.unionByName(keys)
     out = {}
-    for name, schema in PENDING.items():
-        path = f"{root.rstrip('/')}/_pending_{name}"
-        if not path_exists(spark, path):
+    for name, columns in WAITING_COLUMNS.items():
+        rows = _near(batch, f"waiting_{name}", arrived)
+        if rows is None:
             continue
-        rows = (spark.read.schema(f"{schema}, writer string, batch_id long").parquet(path)
-                .where((F.col("writer") == F.lit(writer)) & (F.col("batch_id") < batch_id)))
-        last = rows.agg(F.max("batch_id")).first()[0]
-        if last is not None:
-            out[name] = rows.where((F.col("batch_id") == last) & F.col("ticket_no").isNotNull()).drop("writer", "batch_id")
+        rows = vault.stored_for_batch(rows.where(F.col("writer") == F.lit(batch.writer)), arrived, ["ticket_no"])
+        settled = _near(batch, f"settled_{name}", arrived)
+        if settled is not None:
+            rows = rows.join(settled.select(*vault.WAITING_KEY), vault.WAITING_KEY, "left_anti")
+        out[name] = rows.select(*columns)
     return out
 
 
-def write_pending(spark: SparkSession, root: str, batch_id: int, waiting: dict[str, DataFrame], writer: str) -> None:
-    """What waits after this batch; a row without a ticket marks the batch even if nothing does."""
-    for name, schema in PENDING.items():
-        rows = spark.createDataFrame([], schema)
-        mark = rows.unionByName(spark.range(1).selectExpr(*[f"CAST(NULL AS {c.split(' ', 1)[1]}) AS {c.split(' ', 1)[0]}" for c in schema.split(", ")]))
-        if name in waiting:
-            mark = mark.unionByName(waiting[name].select(*rows.columns))
-        append_batch(mark, f"{root.rstrip('/')}/_pending_{name}", batch_id, writer=writer)
+def write_waiting(batch: commits.Batch, src, waited: dict[str, DataFrame], legs: DataFrame | None) -> None:
+    """Rows of the batch that led to no ticket leg begin to wait; rows that waited and led to one are settled."""
+    done = None if legs is None else legs.select(*LEG_KEYS).distinct()
+    for name, columns in WAITING_COLUMNS.items():
+        if name in src:
+            rows = src[name].select(*columns)
+            batch.write(f"waiting_{name}", rows if done is None else rows.join(done, LEG_KEYS, "left_anti"))
+        if name in waited and done is not None:
+            batch.write(f"settled_{name}", waited[name].join(done, LEG_KEYS, "left_semi").select(*[c for c in vault.WAITING_KEY if c != "writer"]))
 
 
-def with_pending(src, pending: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def with_waiting(src, waited: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Sources of a batch with the rows that waited for it."""
     out = dict(src)
-    for name, rows in pending.items():
+    for name, rows in waited.items():
         own = src[name].select(*rows.columns) if name in src else None
         out[name] = rows if own is None else own.unionByName(rows)
     return out
 
 
-def still_waiting(src, legs: DataFrame | None) -> dict[str, DataFrame]:
-    """Leg and pass rows of a batch that led to no ticket leg."""
-    out = {}
-    for name in PENDING:
-        if name in src:
-            rows = src[name].select(*[c.split(" ")[0] for c in PENDING[name].split(", ")])
-            out[name] = rows if legs is None else rows.join(legs.select(*LEG_KEYS).distinct(), LEG_KEYS, "left_anti")
-    return out
-
-
 def change_sources(changes: DataFrame, tables: Sequence[str], include_snapshot: bool = False,
                    prefix: str = cdc.TOPIC_PREFIX, decimals: str = "auto") -> dict[str, DataFrame]:
     """Row images per table that produce history rows: creates and updates
@@ -194,9 +213,9 @@ def change_sources(changes: DataFrame, tables: Sequence[str], include_snapshot:
 def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Sequence[str] = DEFAULT_TABLES,
                        on_unchanged: str = "append", include_snapshot: bool = False,
                        quarantine_path: str | None = None, prefix: str = cdc.TOPIC_PREFIX,
-                       writer: str = "stream", decimals: str = "auto") -> None:
+                       writer: str = "stream", decimals: str = "auto", buckets: int = commits.BUCKETS) -> None:
     """Load one batch of feed rows. Messages are parsed and typed once per source table:
-    up to six history tables and the pending rows read the kept images."""
+    up to six history tables and the waiting rows read the kept images."""
     spark = batch.sparkSession
     kept = []
 
@@ -208,19 +227,19 @@ def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Seque
         if quarantine_path:
             rejects = cdc.quarantine(staged).unionByName(cdc.image_rejects(cdc.parse_changes(staged, include_snapshot), tables, prefix, decimals))
             append_batch(rejects, quarantine_path, batch_id, writer=writer)
+        load = vault.begin_batch(spark, root, writer, batch_id, buckets)
         changes = cdc.parse_changes(staged, include_snapshot)
         src = {t: keep(df) for t, df in change_sources(changes, tables, include_snapshot, prefix, decimals).items()}
         if {"ticket_flights", "boarding_passes"} & set(tables):
-            # topics have no mutual order: legs and passes wait until their ticket or leg is known
-            src = with_pending(src, read_pending(spark, root, batch_id, writer))
-            legs = stream_ticket_legs(src, vault.read_vault(spark, root, before_batch=batch_id, writer=writer))
+            waited = {name: keep(rows) for name, rows in read_waiting(load, src).items()}
+            legs = stream_ticket_legs(with_waiting(src, waited), load)
             legs = None if legs is None else keep(legs)
-            write_pending(spark, root, batch_id, still_waiting(src, legs), writer)
+            write_waiting(load, src, waited, legs)
             src = {k: v for k, v in src.items() if k not in ("ticket_flights", "boarding_passes")}
             if legs is not None:
                 src["ticket_legs"] = legs
-        vault.load_vault(spark, src, root, batch_id, load_ts=None, on_unchanged=on_unchanged,
-                         tables=vault_tables_for(tables), writer=writer)
+        vault.write_batch(load, src, None, on_unchanged, vault_tables_for(tables))
+        load.commit()
     finally:
         for df in kept:
             df.unpersist()
@@ -230,13 +249,13 @@ def start_vault_stream(feed: DataFrame, root: str, checkpoint: str, tables: Sequ
                        on_unchanged: str = "append", include_snapshot: bool = False,
                        quarantine_path: str | None = None, available_now: bool = True,
                        processing_time: str | None = None, query_name: str | None = None,
-                       decimals: str = "auto"):
+                       decimals: str = "auto", buckets: int = commits.BUCKETS):
     """Start the streaming load; `feed` is a streaming DataFrame of feed rows."""
     def run(batch: DataFrame, batch_id: int) -> None:
         # the query's id is kept in its checkpoint: the same after a restart, new on a new checkpoint
         writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
         load_changes_batch(batch, batch_id, root, tables, on_unchanged, include_snapshot, quarantine_path,
-                           writer=writer, decimals=decimals)
+                           writer=writer, decimals=decimals, buckets=buckets)
 
     w = feed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:
