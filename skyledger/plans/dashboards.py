@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, round_half_up_ratio
 from ..operators.joins import either_endpoint_join
-from ..operators.ranking import bucket_by_thresholds, latest_version, share_of_total
+from ..operators.ranking import bucket_by_thresholds, newest_version, share_of_total
 
 WINDOW_DAYS = 30
 # Passenger groups by distinct flights in the window.
@@ -32,7 +32,7 @@ GROUP_LABELS = ("Frequent Flyer", "Regular Customer", "Occasional Traveler")
 
 def _sat(v: dict[str, DataFrame], name: str, parent: str, latest: bool) -> DataFrame:
     s = v[name]
-    return latest_version(s, parent, "load_date") if latest else s
+    return newest_version(s, parent) if latest else s
 
 
 def _per_row(rows: DataFrame, sat: DataFrame, parent: str, value: str, latest: bool,

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import (RECORD_SOURCE, SOURCE_SYSTEM_ID, hash_columns, hash_sql, surrogate_id,
                               surrogate_id_sql, with_lineage)
 from ..lazy import LazyTables
-from ..operators.ranking import latest_version, previous_value
+from ..operators.ranking import latest_version, newest_version, previous_value
 from ..schemas import LINEAGE
 from ..operators import commits
 from ..operators.sinks import insert_if_absent
@@ -282,7 +282,7 @@ def new_satellite_rows(sat: Satellite, rows: DataFrame, stored: DataFrame | None
     # version (only for parents in this batch) seeds the sequence
     seq = rows.withColumn("_new", F.lit(True))
     if stored is not None:
-        current = latest_version(stored.select(pid, "load_date", "hash_diff"), pid, ["load_date", "hash_diff"])
+        current = newest_version(stored.select(pid, "load_date", "hash_diff"), pid)
         current = current.join(rows.select(pid).distinct(), pid, "left_semi").withColumn("_new", F.lit(False))
         seq = seq.unionByName(current, allowMissingColumns=True)
     seq = previous_value(seq, pid, ["load_date", "_new"], "hash_diff", "_prev")

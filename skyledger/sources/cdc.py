@@ -33,6 +33,8 @@ ENVELOPE = T.StructType([T.StructField("payload", T.StructType([
 
 # Kafka-like columns every source is brought to.
 FEED_COLUMNS = ["topic", "partition", "offset", "timestamp", "key", "value"]
+# the place of a message, by which a repeated delivery is known
+MESSAGE_KEY = ["topic", "partition", "offset"]
 
 
 def topic_of(table: str, prefix: str = TOPIC_PREFIX) -> str:
@@ -45,8 +47,8 @@ def cdc_source(spark: SparkSession, kind: str = "kafka", path: str | None = None
     """Change messages as (topic, partition, offset, timestamp, key, value).
 
     kind="kafka": subscribe to `topics` from the earliest offset (needs the
-    Kafka connector on the cluster). kind="json": files of feed rows (one JSON
-    object per line with the columns above) — the same shape, used in tests.
+    Kafka connector on the cluster). kind="json", "parquet", ...: files of feed rows
+    with the columns above in one of Spark's formats.
     """
     opts = dict(options or {})
     if kind == "kafka":
@@ -63,7 +65,7 @@ def cdc_source(spark: SparkSession, kind: str = "kafka", path: str | None = None
     r = (spark.readStream if stream else spark.read).schema(schema)
     for k, v in opts.items():
         r = r.option(k, v)
-    df = r.json(path)
+    df = r.format(kind).load(path)
     return df.where(F.col("topic").isin(*topics)) if topics else df
 
 
@@ -85,21 +87,38 @@ def parse_envelopes(feed: DataFrame) -> DataFrame:
     return df.withColumn("reject_reason", _reject_reason(F.col("value").isNull(), F.col("env")))
 
 
+def drop_redelivered(feed: DataFrame) -> DataFrame:
+    """One row per message. Which places occur again is found from the places alone (a hash
+    aggregate); only the messages of those, few in any healthy feed, are sorted to keep one of
+    each. A message without a place cannot be told from another and stays."""
+    again = feed.groupBy(*MESSAGE_KEY).count().where("count > 1").select(*MESSAGE_KEY)
+    once = feed.join(again, MESSAGE_KEY, "left_anti")
+    return once.unionByName(feed.join(again, MESSAGE_KEY, "left_semi").dropDuplicates(MESSAGE_KEY))
+
+
+def watch_redelivery(feed: DataFrame, window: str) -> DataFrame:
+    """A streaming feed without messages that were delivered within `window` before, by Spark's state store.
+
+    Time is that of arrival: topics lag behind each other, and by message time the watermark
+    of one would drop another's messages as late. What is delivered again after the window is
+    found when it is loaded (equal parent, load time and hash)."""
+    arrived = feed.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", window)
+    return arrived.dropDuplicatesWithinWatermark(MESSAGE_KEY).drop("_arrived")
+
+
 def parse_changes(feed: DataFrame, include_snapshot: bool = False, ops: Sequence[str] = ACCEPTED_OPS) -> DataFrame:
     """Accepted change rows: topic, partition, offset, timestamp, op, data (JSON image).
 
     Duplicate deliveries of one message (same topic/partition/offset) are kept
     once; a message with no usable image is skipped, as the reference does.
-    Each value is parsed once: the parsed envelope goes through the
-    de-duplicating aggregate, and only then is it filtered (a filter written
-    directly over `from_json` would be pushed below it and re-parse the
-    message once per reference).
+    Each value is parsed once, by a generator of one row: a filter written directly
+    over `from_json` would be pushed below it and parse the message once per reference.
     """
     accepted = list(ops) + (["r"] if include_snapshot else [])
-    keys = ["topic", "partition", "offset"]
-    parsed = (feed.select(*keys, "timestamp", F.col("value").isNull().alias("_tomb"),
-                          _envelope(F.col("value")).alias("env"))
-              .dropDuplicates(keys))
+    keys = MESSAGE_KEY
+    parsed = (drop_redelivered(feed.select(*keys, "timestamp", "value"))
+              .select(*keys, "timestamp", F.col("value").isNull().alias("_tomb"),
+                      F.explode(F.array(_envelope(F.col("value")))).alias("env")))
     op = F.col("env.payload.op")
     data = F.when(op != "d", F.col("env.payload.after")).otherwise(F.col("env.payload.before"))
     out = (parsed.where(_reject_reason(F.col("_tomb"), F.col("env")).isNull())

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranking import latest_version
+from ..operators.ranking import latest_version, newest_version
 from ..operators import commits
 from ..operators.sinks import append_batch
 from ..plans import vault
@@ -107,7 +107,7 @@ def stream_ticket_legs(src, stored) -> DataFrame | None:
     past, current = _near(stored, "sat_ticket_flight_details", ids), None
     if past is not None:
         past = vault.stored_for_batch(past, ids, ["ticket_flight_link_id"])
-        current = latest_version(past, "ticket_flight_link_id", ["load_date", "hash_diff"]).select(
+        current = newest_version(past, "ticket_flight_link_id").select(
             "ticket_flight_link_id", F.col("fare_conditions").alias("_cur_fare"), F.col("amount").alias("_cur_amount"),
             F.col("boarding_no").alias("_cur_boarding"), F.col("seat_no").alias("_cur_seat"))
     bp = None
@@ -224,6 +224,8 @@ def load_changes_batch(batch: DataFrame, batch_id: int, root: str, tables: Seque
         return kept[-1]
     staged = keep(batch)
     try:
+        if staged.isEmpty():  # a trigger that only moves the stream's time
+            return
         if quarantine_path:
             rejects = cdc.quarantine(staged).unionByName(cdc.image_rejects(cdc.parse_changes(staged, include_snapshot), tables, prefix, decimals))
             append_batch(rejects, quarantine_path, batch_id, writer=writer)
@@ -249,14 +251,17 @@ def start_vault_stream(feed: DataFrame, root: str, checkpoint: str, tables: Sequ
                        on_unchanged: str = "append", include_snapshot: bool = False,
                        quarantine_path: str | None = None, available_now: bool = True,
                        processing_time: str | None = None, query_name: str | None = None,
-                       decimals: str = "auto", buckets: int = commits.BUCKETS):
-    """Start the streaming load; `feed` is a streaming DataFrame of feed rows."""
+                       decimals: str = "auto", buckets: int = commits.BUCKETS, redelivery_window: str | None = "1 hour"):
+    """Start the streaming load; `feed` is a streaming DataFrame of feed rows. Messages delivered again within
+    `redelivery_window` are dropped by the stream's state, later ones by the load itself (None: all)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         # the query's id is kept in its checkpoint: the same after a restart, new on a new checkpoint
         writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
         load_changes_batch(batch, batch_id, root, tables, on_unchanged, include_snapshot, quarantine_path,
                            writer=writer, decimals=decimals, buckets=buckets)
 
+    if redelivery_window:
+        feed = cdc.watch_redelivery(feed, redelivery_window)
     w = feed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

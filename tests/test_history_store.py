@@ -129,3 +129,45 @@ def test_what_a_batch_writes_does_not_grow_with_what_waits(spark, scratch):
         assert vault_stream.waiting_rows(spark, root).count() == waiting - 2
         assert commits.read_table(spark, root, "settled_ticket_flights").count() < 2     # settled rows went with those they settle
     assert written[10] == written[1000] and written[10]["settled_ticket_flights"] == 2
+
+
+def test_redelivered_messages_are_kept_once(spark):
+    rows = [("airline.public.airports", 0, i % 5, "2024-01-01 00:00:00", None, "{}") for i in range(12)]
+    rows += [("airline.public.airports", 1, 0, None, None, "{}"), ("airline.public.airports", None, None, None, None, "x")]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long, timestamp string, key string, value string")
+    got = cdc.drop_redelivered(df).collect()
+    assert sorted((r.partition is None, r.partition or 0, r["offset"] or 0) for r in got) == [(False, 0, i) for i in range(5)] + [(False, 1, 0), (True, 0, 0)]
+
+
+def test_messages_are_not_sorted_or_parsed_more_than_once(spark, scratch):
+    feed(spark, [("airports", i, {"airport_code": "AAA"}) for i in range(5)]).write.parquet(f"{scratch}/f")
+    plan = cdc.parse_changes(spark.read.parquet(f"{scratch}/f"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1                     # one generator parses; filters use its result
+    physical = cdc.drop_redelivered(spark.read.parquet(f"{scratch}/f"))._jdf.queryExecution().executedPlan().toString()
+    once = physical.split("SortAggregate")[0]               # the branch of all messages that came once
+    assert "Sort" not in once.replace("SortMerge", "")
+
+
+def test_newest_version_needs_no_sort_aggregate(spark):
+    import datetime as dt
+    import hashlib
+    rows = [(p, dt.datetime(2024, 1, 1 + v), hashlib.md5(f"{p}{v}{k}".encode()).hexdigest(), f"{v}{k}") for p in range(30) for v in range(p % 4 + 1) for k in "ab"]
+    df = spark.createDataFrame(rows, "p long, load_date timestamp, hash_diff string, payload string")
+    from skyledger.operators.ranking import latest_version, newest_version
+    got = newest_version(df, "p")
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    want = latest_version(df, "p", ["load_date", "hash_diff"])
+    assert rows_of(got) == rows_of(want) and got.count() == 30
+
+
+def test_digests_find_the_rows_that_differ(spark):
+    from skyledger.operators import quality
+    sch = "k int, v string, w double"
+    a = spark.createDataFrame([(i % 40, None if i % 3 else str(i), i / 4) for i in range(200)] + [(None, None, None), (1, "x", None)], sch)
+    b = a.where("k is null or k <> 7").unionByName(spark.createDataFrame([(1, None, 1.0), (None, "x", None), (None, None, None), (99, "n", 0.0)], sch))
+    for x, y in ((a, b), (b, a), (a, a), (a, a.limit(0)), (a.limit(0), a.limit(0)), (a, a.unionByName(a.limit(1)))):
+        assert sorted(map(repr, quality.table_diff_by_digest(x, y, ["k"], 16).collect())) == sorted(map(repr, quality.table_diff(x, y).collect()))
+    assert quality.differing_buckets(*(quality.bucket_digests(x, ["k"], 16) for x in (a, a.repartition(3)))).count() == 0
+    # a value moved between NULL and not NULL columns, or between rows, is seen
+    p, q = spark.createDataFrame([("a", None), (None, "b")], "x string, y string"), spark.createDataFrame([(None, "a"), ("b", None)], "x string, y string")
+    assert quality.differing_buckets(*(quality.bucket_digests(x.withColumn("k", F.lit(1)), ["k"], 4) for x in (p, q))).count() == 1
