@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .plans import dashboards, marts, traffic, vault
+from .plans import daily, dashboards, marts, traffic, vault
 from .session import apply_required_conf, scratch_path
 from .functions import keys
 from .lazy import LazyTables
@@ -177,6 +177,28 @@ for _name, _build in (("active_airports_30d", dashboards.active_airports_30d), (
     _dashboard_stored(_name, _build)
 
 
+def _stored_days(spark, sf_dir):
+    """Day partials of the stored history after three runs: the first 29 days, the next day alone, all later ones."""
+    def load(root):
+        v = _stored_history(spark, sf_dir)
+        first = AS_OF - dt.timedelta(days=dashboards.WINDOW_DAYS)
+        for since, until in ((first, AS_OF - dt.timedelta(days=1)), (AS_OF - dt.timedelta(days=1), AS_OF), (AS_OF, None)):
+            daily.refresh_days(v, root, since, until)
+    return daily.read_days(spark, _stored_once(spark, sf_dir, "days", load), AS_OF)
+
+
+def _dashboard_days(name, build):
+    def q(spark, sf_dir):
+        return build(_stored_days(spark, sf_dir))
+    q.__doc__ = f"{name} combined from stored day partials."
+    register(f"{name}_from_days")(q)
+
+
+for _name, _build in (("active_airports_30d", daily.active_airports), ("passenger_metrics_30d", daily.passenger_metrics),
+                      ("passenger_groups_revenue", daily.passenger_groups), ("dashboard_kpis", daily.kpis), ("daily_dashboard_series", daily.series)):
+    _dashboard_days(_name, _build)
+
+
 @register("stopped_load_shows_nothing")
 def _stopped(spark, sf_dir):
     """Rows per history table seen after a finished batch and one that stopped after writing its tables, and after
