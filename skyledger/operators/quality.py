@@ -115,60 +115,83 @@ class Constraints:
     rules: list[tuple[str, str, Column]] = field(default_factory=list)
 
 
-def _key_text(schema: T.StructType, cols: Sequence[str]) -> Column:
-    """The values of `cols` as one text, different for different values (NULL is left out of the object)."""
-    texts = [F.hex(F.col(c)) if isinstance(schema[c].dataType, T.BinaryType) else F.col(c).cast("string") for c in cols]
-    return F.to_json(F.struct(*[t.alias(f"c{i}") for i, t in enumerate(texts)]))
+class _Domain:
+    """One key of one table: the checks that it is unique, and those whose rows refer to it."""
+
+    def __init__(self, number: int, types: Sequence[T.DataType] = ()):
+        self.number, self.types = number, list(types)
+        self.keys: list[str] = []
+        self.references: list[str] = []
+
+    def places(self) -> list[str]:
+        """The record column of each key column: one for each type and its turn."""
+        names = [t.simpleString() for t in self.types]
+        return [f"_{n}_{names[:i].count(n)}" for i, n in enumerate(names)]
 
 
 def violation_report(tables: Mapping[str, DataFrame], c: Constraints) -> DataFrame:
     """One row per constraint: (check_name, violations). A key counts its repeated
     values, a reference its rows without a parent, a rule the rows that break it.
 
-    Every table is read once: a row gives one small record per constraint it takes
-    part in (as key, child or parent; for a rule only if it breaks it). All records
-    meet in one aggregate by (constraint, value), which combines on the map side, so a
+    Every table is read once: a row gives one small record for each key it holds and
+    each reference it makes (for a rule only if it breaks it). Values keep their types,
+    and a parent's key is one record however many references lead to it. All records
+    meet in one hash aggregate by (key, value), which combines on the map side, so a
     value that a third of the rows hold is one record a task; a second, tiny one
     counts per constraint.
     """
-    per_table: dict[str, list[Column]] = {}
-    names = []
+    domains: dict[tuple, _Domain] = {}
 
-    def add(table: str, check: str, kind: str, key: Column, parent: bool, when: Column) -> None:
-        rec = F.struct(F.lit(check).alias("check_name"), F.lit(kind).alias("kind"), key.alias("key"),
-                       F.lit(0 if parent else 1).cast("long").alias("n"), F.lit(parent).alias("parent"))
-        per_table.setdefault(table, []).append(F.when(when, rec))
-
-    def present(table: str, cols: Sequence[str]) -> Column:
-        out = F.lit(True)
-        for x in cols:
-            out = out & F.col(x).isNotNull()
-        return out
+    def domain(table: str, cols: Sequence[str]) -> _Domain:
+        at = (table, tuple(cols))
+        if at not in domains:
+            domains[at] = _Domain(len(domains), [tables[table].schema[x].dataType for x in cols])
+        return domains[at]
 
     for check, table, cols in c.keys:
-        names.append(check)
-        add(table, check, "key", _key_text(tables[table].schema, cols), False, F.lit(True))
+        domain(table, cols).keys.append(check)
     for check, table, cols, ptable, pcols in c.references:
-        names.append(check)
-        add(table, check, "reference", _key_text(tables[table].schema, cols), False, present(table, cols))
-        add(ptable, check, "reference", _key_text(tables[ptable].schema, pcols), True, present(ptable, pcols))
+        d = domain(ptable, pcols)
+        d.references.append(check)
+        for i, x in enumerate(cols):  # values of unlike types are compared as text
+            if tables[table].schema[x].dataType != d.types[i]:
+                d.types[i] = T.StringType()
+    for check, table, _ in c.rules:
+        domains[(table, check)] = _Domain(len(domains))
+        domains[(table, check)].references.append(check)
+    columns = {p: t for d in domains.values() for p, t in zip(d.places(), d.types)}
+
+    def record(d: _Domain, cols: Sequence[str], slot: int) -> Column:
+        own = {p: F.col(f"`{x}`").cast(t) for p, x, t in zip(d.places(), cols, d.types)}
+        return F.struct(F.lit(d.number).alias("domain"), F.lit(slot).alias("slot"),
+                        *[own.get(p, F.lit(None).cast(t)).alias(p) for p, t in columns.items()])
+
+    per_table: dict[str, list[Column]] = {}
+    for (table, cols), d in domains.items():
+        if d.types:
+            per_table.setdefault(table, []).append(record(d, cols, -1))
+    for check, table, cols, ptable, pcols in c.references:
+        d = domain(ptable, pcols)
+        present = F.lit(True)
+        for x in cols:
+            present = present & F.col(f"`{x}`").isNotNull()
+        per_table.setdefault(table, []).append(F.when(present, record(d, cols, d.references.index(check))))
     for check, table, broken in c.rules:
-        names.append(check)
-        add(table, check, "rule", F.lit(""), False, F.coalesce(broken, F.lit(False)))
+        per_table.setdefault(table, []).append(F.when(F.coalesce(broken, F.lit(False)), record(domains[(table, check)], [], 0)))
     records = None
     for table, recs in per_table.items():
-        r = (tables[table].select(F.explode(F.filter(F.array(*recs), lambda x: x.isNotNull())).alias("r"))
-             .select("r.*"))
+        r = tables[table].select(F.explode(F.filter(F.array(*recs), lambda x: x.isNotNull())).alias("r")).select("r.*")
         records = r if records is None else records.unionByName(r)
-    by_value = (records.groupBy("check_name", "kind", "key")
-                .agg(F.sum("n").alias("n"), F.max("parent").alias("has_parent")))
-    broken = (F.when(F.col("kind") == "key", (F.col("n") > 1).cast("long"))
-              .when(F.col("kind") == "reference", F.when(F.col("has_parent"), F.lit(0)).otherwise(F.col("n")))
-              .otherwise(F.col("n")))
-    found = by_value.groupBy("check_name").agg(F.sum(broken).alias("violations"))
+    slots = range(max((len(d.references) for d in domains.values()), default=0))
+    by_value = records.groupBy("domain", *columns).agg(F.count_if(F.col("slot") == -1).alias("held"),
+                                                      *[F.count_if(F.col("slot") == j).alias(f"made_{j}") for j in slots])
+    counts = by_value.groupBy("domain").agg(F.count_if(F.col("held") > 1).alias("v_-1"),
+                                            *[F.sum(F.when(F.col("held") == 0, F.col(f"made_{j}")).otherwise(0)).alias(f"v_{j}") for j in slots])
+    found = counts.select("domain", F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), F.col(f"`v_{j}`").alias("violations")) for j in (-1, *slots)])).alias("r"))
     # a constraint without any record still has its row
-    zero = records.sparkSession.createDataFrame([(n,) for n in names], "check_name string")
-    return (zero.join(found, "check_name", "left")
+    names = [(d.number, -1, k) for d in domains.values() for k in d.keys] + [(d.number, j, k) for d in domains.values() for j, k in enumerate(d.references)]
+    checks = records.sparkSession.createDataFrame(names, "domain int, slot int, check_name string")
+    return (checks.join(found.select("domain", "r.*"), ["domain", "slot"], "left")
             .select("check_name", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))
 
 

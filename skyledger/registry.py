@@ -588,6 +588,6 @@ def _op_refused(spark, sf_dir):
 
 @register("vault_constraint_report")
 def _vault_report(spark, sf_dir):
-    """Key checks of the loaded history layer: unique hash keys / ids / versions,
+    """Key checks of the stored history layer: unique hash keys / ids / versions,
     and link and satellite references resolving to their hubs and links."""
-    return checks.vault_report(_vault(spark, sf_dir))
+    return checks.vault_report(_stored_history(spark, sf_dir))
