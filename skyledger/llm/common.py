@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +168,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shielded(docs: DataFrame, work: Callable[..., DataFrame], *cols: str) -> DataFrame:
+    """`work(docs, *cols)` over columns with names that no operator uses (by position, so any name is safe);
+    what comes back has the same columns, under their own names again."""
+    inner = [f"x{i}" for i in range(len(docs.columns))]
+    return work(docs.toDF(*inner), *[inner[docs.columns.index(c)] for c in cols]).toDF(*docs.columns)
+
+
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
     """(rows `_k` long, `_text`; key table or None).
 

@@ -307,7 +307,11 @@ def connected(texts: DataFrame, reps: DataFrame, percent: int, block: int) -> Da
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component (its smallest id); of rows that repeat an
-    id the one with the smallest text; columns unchanged."""
+    id the one with the smallest text; columns unchanged (whatever their names)."""
+    return C.shielded(docs, _keep_one, id_col, text_col)
+
+
+def _keep_one(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     judged = components(docs, id_col, text_col)
     gone = C.stored(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     kept = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")

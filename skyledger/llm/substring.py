@@ -337,11 +337,15 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents without the words of repeated windows; the words left of a
-    changed text are joined by single spaces, other texts and columns stay."""
+    changed text are joined by single spaces, other texts and columns (whatever their names) stay."""
+    return C.shielded(docs, lambda d, i, t: _cut_repeats(d, i, t, window), id_col, text_col)
+
+
+def _cut_repeats(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     texts, keys = C.keyed_texts(docs, id_col, text_col)
     if keys is not None:  # ids that repeat or are null: number the whole rows
         numbered = C.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-        out = cut_repeats(numbered.drop(id_col).withColumnRenamed("_row", "_rid"), "_rid", text_col, window)
+        out = _cut_repeats(numbered.drop(id_col).withColumnRenamed("_row", "_rid"), "_rid", text_col, window)
         return (out.withColumnRenamed("_rid", "_row").join(numbered.select("_row", id_col), "_row").select(*docs.columns))
     every, affected, starts = repeats(texts, window)
     cut = (_kept(affected, starts, window, True).select(F.col("_k").alias("_cut"), "_kept")

@@ -198,7 +198,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                       coverage: float = COVERAGE, min_match: int = MIN_MATCH, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
-    """The documents that no item covers to the threshold; rows keep their place (no shuffle)."""
+    """The documents that no item covers to the threshold, with their columns unchanged (whatever their names); rows
+    keep their place (no shuffle)."""
+    return C.shielded(docs, lambda d, text: _drop_contaminated(d, items, text, item_id, item_text, coverage, min_match, block_seeds), text_col)
+
+
+def _drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, coverage: float,
+                       min_match: int, block_seeds: int) -> DataFrame:
     sc, at = docs.sparkSession.sparkContext, docs.columns.index(text_col)
     for block in benchmark_blocks(items, item_id, item_text, min_match, block_seeds):
         shared = sc.broadcast(block)

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyledger.llm import bpe, chat, common, html_text, near_dup, quality_rules, substring, tiling, token_file, toxicity, warc
@@ -575,3 +576,21 @@ def test_words_and_windows_helpers():
     at, h = common.window_hashes(w.hashes(), w.row, 2)
     assert at.tolist() == [0, 1, 3] and len(set(h.tolist())) == 3
     assert common.ragged(np.array([5, 0, 2]), np.array([2, 0, 3])).tolist() == [5, 6, 2, 3, 4]
+
+
+CLASHING = ["_q_kept", "_q_n_words", "_gone", "_cut", "_kept", "_row", "_rid", "_k", "_text", "_lang", "a.b", "x0", "x1", "item_id", "words"]
+
+
+@pytest.mark.parametrize("ids", ["unique", "odd"])
+def test_stages_leave_columns_of_any_name_alone(spark, ids):
+    docs = sample(spark).where("length(text) < 3000")
+    if ids == "odd":  # null and repeated ids
+        docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 11 == 0, F.lit(None)).when(F.col("doc_id") % 13 == 0, F.lit(26)).otherwise(F.col("doc_id")))
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, out = stage(spark, docs, SF_SMALL), stage(spark, wide, SF_SMALL)
+        assert out.columns == wide.columns, name
+        rows = out.select(*[F.col(f"`{c}`") for c in out.columns]).collect()
+        assert sorted(map(repr, (tuple(r)[:len(docs.columns)] for r in rows))) == sorted(map(repr, map(tuple, plain.collect()))), name
+        for r in rows:
+            assert all(r[c] == f"{c}:{'-' if r['doc_id'] is None else r['doc_id']}" for c in CLASHING), name
