@@ -34,6 +34,14 @@ def percent_half_up(part: Column, total: Column, scale: int = 2) -> Column:
     return round_half_up_ratio(part.cast(_WIDE) * F.lit(100).cast(_WIDE), total, scale)
 
 
+def narrow(c: Column, to: str) -> Column:
+    """`c` as a narrower type; a value that does not fit is an error whatever the session's ANSI setting
+    (a plain cast makes it NULL where ANSI is off)."""
+    fits = c.try_cast(to)
+    too_large = F.raise_error(F.concat(F.lit(f"value out of range for {to}: "), c.cast("string"))).cast(to)
+    return F.when(c.isNotNull() & fits.isNull(), too_large).otherwise(fits)
+
+
 def cents(money: Column) -> Column:
     """decimal(p,2) money as an exact integer number of cents."""
     return (money * F.lit(100)).cast(_WIDE)

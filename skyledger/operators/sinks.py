@@ -38,7 +38,7 @@ def upsert(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """`INSERT ... ON CONFLICT (key) DO UPDATE`: target rows without a new
     version plus all new rows (rows must be unique on key)."""
     key = list(key)
-    kept = target.join(rows.select(*key), key, "left_anti")
+    kept = target.join(rows.select(*key), key, "left_anti").select(*target.columns)
     return kept.unionByName(rows.select(*target.columns))
 
 

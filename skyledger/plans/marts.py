@@ -11,10 +11,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import narrow
 from ..operators.joins import swap_roles
 from ..operators.quality import check_contract, check_not_empty, check_rules
 from ..operators.ranking import tier_by_percent_rank
-from ..operators.sinks import replace_partitions, upsert_table
+from ..operators.sinks import ensure_dataset, replace_partitions, upsert_table
 from ..schemas import MART_KEYS, MARTS
 
 FLOWN_STATUSES = ("Arrived", "Departed")
@@ -81,10 +82,7 @@ def build_airport_passenger_flow(t: dict[str, DataFrame], as_of: dt.date, create
     created = _lit_ts(created_at) if created_at is not None else F.current_timestamp()
     return j.select(
         created.alias("created_at"), *ROUTE,
-        F.coalesce("flights_in", F.lit(0)).cast("int").alias("flights_in"),
-        F.coalesce("flights_out", F.lit(0)).cast("int").alias("flights_out"),
-        F.coalesce("passengers_in", F.lit(0)).cast("int").alias("passengers_in"),
-        F.coalesce("passengers_out", F.lit(0)).cast("int").alias("passengers_out"))
+        *[narrow(F.coalesce(c, F.lit(0)), "int").alias(c) for c in ("flights_in", "flights_out", "passengers_in", "passengers_out")])
 
 
 def check_mart(name: str):
@@ -104,6 +102,7 @@ def refresh_airport_passenger_flow(t: dict[str, DataFrame], target: str, as_of:
                                    corrected: bool = False) -> DataFrame:
     """Validate the day's rows, then replace only that day's partition of `target`."""
     rows = build_airport_passenger_flow(t, as_of, corrected=corrected)
+    ensure_dataset(rows.sparkSession, target, MARTS["airport_passenger_flow"], partition_by=["flight_date"])
     return replace_partitions(rows, target, ["flight_date"],
                               checks=[lambda d: check_rules(d, flow_rules()), check_not_empty,
                                       check_mart("airport_passenger_flow")],
@@ -155,8 +154,8 @@ def build_frequent_flyers(t: dict[str, DataFrame], as_of: dt.date, created_at=No
     tiered = tier_by_percent_rank(named, "purchase_sum", out="customer_group", **rank_kw)
     created = _lit_ts(created_at) if created_at is not None else F.current_timestamp()
     return tiered.select(created.alias("created_at"), "passenger_id", "passenger_name",
-                         F.col("flights_number").cast("int").alias("flights_number"),
-                         F.col("purchase_sum").cast("decimal(10,2)").alias("purchase_sum"),
+                         narrow(F.col("flights_number"), "int").alias("flights_number"),
+                         narrow(F.col("purchase_sum"), "decimal(10,2)").alias("purchase_sum"),
                          "home_airport", "customer_group")
 
 
@@ -173,6 +172,7 @@ def refresh_frequent_flyers(t: dict[str, DataFrame], target: str, as_of: dt.date
     """Validate, then upsert on passenger_id (as the reference does) or, with
     refresh="full", replace the whole table so lapsed passengers disappear."""
     rows = build_frequent_flyers(t, as_of)
+    ensure_dataset(rows.sparkSession, target, MARTS["frequent_flyers"], versioned=True)
     return upsert_table(rows, target, ["passenger_id"], checks=[lambda d: check_rules(d, flyer_rules()), check_mart("frequent_flyers")],
                         full=(refresh == "full"), sort_within=["home_airport", "purchase_sum"])
 

@@ -21,7 +21,7 @@ from .functions import keys
 from .lazy import LazyTables
 from .operators import joins, quality, ranking, sinks
 from .plans import checks, views
-from .schemas import PRIMARY_KEYS
+from .schemas import MARTS, PRIMARY_KEYS
 from .sources import cdc, fixture
 from .streaming import vault_stream
 
@@ -562,6 +562,7 @@ def _op_replace(spark, sf_dir):
     then day 2 replaced by its corrected rows), read back from storage."""
     t = _airline(spark, sf_dir)
     target = scratch_path(spark, "airport-passenger-flow")
+    sinks.ensure_dataset(spark, target, MARTS["airport_passenger_flow"], partition_by=["flight_date"])
     for as_of, corrected in ((dt.date(2001, 7, 31), False), (AS_OF, False), (AS_OF, True)):
         rows = marts.build_airport_passenger_flow(t, as_of, created_at=LOAD_TS, corrected=corrected)
         sinks.replace_partitions(rows, target, ["flight_date"])

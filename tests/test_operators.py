@@ -220,6 +220,22 @@ def test_latest_version(spark):
     assert {r.p: r.v for r in latest_version(df, "p").collect()} == {1: "new", 2: "only"}
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_narrowing_raises_whatever_the_session_says(spark, ansi):
+    from skyledger.functions.numeric import narrow
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(5, "1.25"), (None, None), (-7, "99999999.99")], "n long, m string").withColumn("m", F.col("m").cast("decimal(20,2)"))
+        got = [tuple(r) for r in df.select(narrow(F.col("n"), "int"), narrow(F.col("m"), "decimal(10,2)").cast("double")).collect()]
+        assert got == [(5, 1.25), (None, None), (-7, 99999999.99)]
+        for bad in (narrow(F.lit(2 ** 31).cast("long"), "int"), narrow(F.lit("100000000.00").cast("decimal(20,2)"), "decimal(10,2)")):
+            with pytest.raises(Exception, match="out of range"):
+                df.select(bad).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
 # --- change capture ---------------------------------------------------------------------------------------
 def test_decode_decimal(spark):
     import base64
