@@ -358,7 +358,7 @@ def fit(docs: DataFrame, labels: DataFrame, restorer: Restorer, max_train: int =
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(doc_id, held_out, score, predicted, n_restored) of every document."""
+    """(doc_id, held_out, score, predicted) of every document."""
     restorer = Restorer(count_trigrams(docs))
     scorer = fit(docs, labels, restorer, max_train)
     shared = docs.sparkSession.sparkContext.broadcast((restorer.lm, scorer))
