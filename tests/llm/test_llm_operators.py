@@ -177,6 +177,129 @@ def test_html_deep_nesting(page, text):
     assert html_text.render(page) == text
 
 
+def plain_layout(node, parent="", keep=False):
+    """Lines of a tree by plain recursion: every level lays out its lines anew. A tree is (tag, kids) or a text."""
+    out, line, state = [], [], {"space": False, "gap": 0}
+
+    def put(w):
+        if not line and state["gap"]:
+            out.extend([""] * (state["gap"] - 1 if out else 0))
+            state["gap"] = 0
+        line.extend([" "] if state["space"] and line and not line[-1].endswith(" ") else [])
+        line.append(w)
+        state["space"] = False
+
+    def newline():
+        out.append("".join(line).rstrip(" "))
+        line.clear()
+        state["space"] = False
+
+    def block(gap):
+        if line:
+            newline()
+        state.update(gap=max(state["gap"], gap), space=False)
+
+    def walk(tag, kids, parent):
+        number = 1
+        for k in kids:
+            if isinstance(k, str):
+                for i, w in enumerate(re.split(r"[ \t\n\r\f]+", k)):
+                    state["space"] |= i > 0
+                    if w:
+                        put(w)
+                continue
+            t, inner = k
+            if t == "br":
+                newline()
+            elif t == "li" and tag in ("ul", "ol"):
+                mark = f"{number}. " if tag == "ol" else "- "
+                number += 1
+                for i, x in enumerate(plain_layout(k) or [""]):
+                    block(1)
+                    if x or not i:
+                        put((mark if not i else " " * len(mark)) + x)
+            else:
+                gap = 0 if t in ("b", "i") else 1 if t in ("div", "li") or (t in ("ul", "ol") and tag == "li") else 2
+                if gap:
+                    block(gap)
+                if t == "blockquote":
+                    for x in plain_layout(k):
+                        block(1)
+                        put("> " + x)
+                else:
+                    walk(t, inner, tag)
+                if gap:
+                    block(gap)
+
+    walk(node[0], node[1], parent)
+    if line:
+        newline()
+    while out and not out[-1]:
+        out.pop()
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_html_layout_equals_plain_recursion(seed):
+    r = random.Random(seed)
+
+    def tree(depth):
+        kids = []
+        for _ in range(r.randrange(4)):
+            if depth == 0 or r.random() < 0.4:
+                kids.append(r.choice(["a", " b ", "cc  dd", " ", "e\nf", ("br", [])]))
+            else:
+                t = r.choice(["div", "p", "b", "i", "ul", "ol", "li", "blockquote"])
+                kids.append((t, tree(depth - 1)))
+        return kids
+
+    def source(kids):
+        return "".join(k if isinstance(k, str) else "<br>" if k[0] == "br" else f"<{k[0]}>{source(k[1])}</{k[0]}>" for k in kids)
+
+    def legal(kids, above=()):
+        """No element that the tree builder would close at another one's start."""
+        return all(isinstance(k, str) or k[0] == "br" or (not (k[0] not in ("b", "i") and "p" in above)
+                   and not (k[0] == "li" and "li" in above[max([-1, *[i for i, t in enumerate(above) if t in ("ul", "ol")]]) + 1:])
+                   and legal(k[1], (*above, k[0]))) for k in kids)
+
+    done = 0
+    while done < 400:
+        kids = tree(r.randrange(1, 7))
+        if legal(kids):
+            done += 1
+            assert html_text.render(source(kids)) == "\n".join(plain_layout(("", kids))), source(kids)
+
+
+@pytest.mark.parametrize("part,shape", [
+    ("<a ", "same"), ("<a \"'", "same"), ("<a '<b \"", "same"), ("<blockquote>x", "> x\n>\n> > x\n"), ("<ul><li>x", "- x\n  - x\n"), ("<table><tr><td>x", ""), ("<div><br>", ""), ("<p><li>", ""),
+    ("<td colspan=1000>x", ""),
+])
+def test_html_time_and_size_grow_with_the_page(part, shape):
+    import time
+    seconds = []
+    for n in (50_000, 400_000):
+        page = part * (n // len(part))
+        at = time.process_time()
+        text = html_text.render("<table>" + page if part.startswith("<td") else page)
+        seconds.append(time.process_time() - at)
+        assert len(text) <= 100 * n
+        if shape == "same":
+            assert text == page.strip()
+        elif "x" in part:
+            assert text.count("x") == page.count("x")
+        if shape and shape != "same":
+            assert text.startswith(shape)
+    assert seconds[1] < 30 * max(seconds[0], 0.02)  # eight times the page; a square would be 64
+
+
+def test_html_wide_table_and_tags_that_never_end():
+    page = "<table><tr>" + "<td>x" * 20_000 + "<br>a" * 20_000
+    text = html_text.render(page)
+    assert text.count("x") == 20_000 and text.count("a") == 20_000 and len(text) < 70 * len(page) + (1 << 18)
+    assert html_text.render("a <b title='x>y'>c</b> <i title='d") == "a c <i title='d"
+    assert html_text.render("<a 'q> <b>c</b> d") == "<a 'q> c d"
+
+
 # --- 4 token files ------------------------------------------------------------------------
 @pytest.mark.parametrize("seed", range(6))
 def test_simple8b_round_trip(seed):
