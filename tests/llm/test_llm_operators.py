@@ -648,6 +648,46 @@ def test_tiling_equals_brute_force(spark):
         assert kept == {d for d in want if want[d] < tiling.COVERAGE}
 
 
+def test_tiling_with_common_openings(spark, monkeypatch):
+    """Items that share their opening: equal to brute force, and only pairs that may be best or over the threshold are tiled."""
+    r = random.Random(11)
+    opening = "which of the following is".split()
+    items = [opening + [f"w{r.randrange(60)}" for _ in range(r.choice([2, 5, 9, 20]))] for _ in range(60)]
+    docs = []
+    for i in range(40):
+        doc = [f"d{r.randrange(99)}" for _ in range(5)]
+        for _ in range(r.randrange(4)):
+            it = r.choice(items)
+            doc += r.choice([it, it[:7], opening * 2, it[4:]]) + [f"d{r.randrange(99)}"]
+        docs.append(doc)
+    block = tiling.Block([(7 * i, np.array([hash_of(w) for w in it], np.uint64)) for i, it in enumerate(items)], 5)
+    flat = np.array([hash_of(w) for d in docs for w in d], np.uint64)
+    row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    for step in (1, 1 << 20):
+        monkeypatch.setattr(tiling, "STEP_SEEDS", step)
+        got = block.judge(flat, row, tiling.COVERAGE)
+        early = block.judge(flat, row, tiling.COVERAGE, False)
+        for d, doc in enumerate(docs):
+            pairs = [(c / len(it), c, -j) for j, it in enumerate(items) if (c := brute_tiles(doc, it, 5))]
+            best = max(pairs, default=None)
+            assert (d in got) == (best is not None)
+            if best:
+                assert got[d][:3] == (best[0], best[1], -best[2])
+                assert sorted(got[d][3]) == [-j for share, _, j in sorted(pairs, key=lambda x: -x[2]) if share >= tiling.COVERAGE]
+            assert (early.get(d, (0,))[0] >= tiling.COVERAGE) == bool(best and best[0] >= tiling.COVERAGE)
+    many = tiling.Block([(i, np.array([hash_of(w) for w in opening + [f"x{i}", *"abcdefgh"]], np.uint64)) for i in range(20_000)], 5)
+    calls = []
+    plain = tiling.greedy_tiles
+    monkeypatch.setattr(tiling, "greedy_tiles", lambda *a: calls.append(1) or plain(*a))
+    text = np.array([hash_of(w) for w in [f"t{i}" for i in range(1500)] + opening], np.uint64)
+    assert many.judge(text, np.zeros(len(text), np.int64), tiling.COVERAGE) == {0: (5 / 14, 5, 0, [])}
+    assert len(calls) == 1
+
+
+def hash_of(word):
+    return int.from_bytes(hashlib.sha1(word.encode()).digest()[:8], "little")
+
+
 def test_tiling_corner_cases(spark):
     bench = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (None, "q q")], "item_id long, text string")
     got = tiling.decontaminate(rows(spark, ["a b c d e f", "d e f a b c", None], [1, 1, None]), bench).collect()
