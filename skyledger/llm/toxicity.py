@@ -11,9 +11,10 @@ logistic model that is fitted on a bounded sample of labelled documents.
 Learning uses labels of documents with crc32(doc_id) % 5 <> 0 only; labels,
 lang, source and doc_id are no inputs of a score.
 
-Bounds: MAX_TRAIN labelled rows (those with the smallest hash of their id) and
-MAX_FEATURES features; the trigram table has 2**18 cells. Everything sent to
-all tasks is bounded by these.
+Bounds: MAX_TRAIN labelled rows (those with the smallest hash of their id); every
+feature of theirs that tells toxic texts from others (MIN_TOXIC, MIN_RATIO) has a
+weight. The trigram table has 2**18 cells. Everything sent to all tasks is bounded
+by these.
 
 Cases: a null or empty text gets the score of a text without features; a null
 label is no label, of several labels of a document the largest counts; without
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 MAX_TRAIN = 20_000
-MAX_FEATURES = 4_000
 MIN_TOXIC = 4            # toxic documents a feature must occur in
+MIN_RATIO = 8.0          # log likelihood ratio of a feature with a weight (by chance one in about 15,000 has it)
 PREFIXES = (4, 5, 6)
 
 # What a sign may stand for (fixed values of the channel).
@@ -341,8 +342,8 @@ def fit(docs: DataFrame, labels: DataFrame, restorer: Restorer, max_train: int =
     expected = seen * (t / n)
     ratio = tox * F.log(tox / expected) + F.when(seen > tox, (seen - tox) * F.log((seen - tox) / (seen - expected))).otherwise(0.0)
     chosen = (train.mapInArrow(count, "f string, n long, t long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-              .where((tox >= MIN_TOXIC) & (tox / seen >= 2.0 * t / n)).withColumn("g", ratio).where("g > 8")
-              .orderBy(F.desc("g"), "f").limit(MAX_FEATURES).select("f").collect())
+              .where((tox >= MIN_TOXIC) & (tox / seen >= 2.0 * t / n)).withColumn("g", ratio).where(F.col("g") > MIN_RATIO)
+              .orderBy(F.desc("g"), "f").select("f").collect())  # features of at most max_train texts
     index = {r["f"]: i for i, r in enumerate(chosen)}
 
     def rows_of(batches):

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -581,6 +582,41 @@ def test_deobfuscation_of_signs(restorer, text, word):
     assert word in restorer.words(text), restorer.words(text)
 
 
+def lattice_score(r, path):
+    """Score of one path of a lattice: channel costs and trigrams, with the end of the word."""
+    total, text = sum(w for _, w in path), "".join(x for x, _ in path)
+    a = b = 0
+    for ch in text:
+        z = r._class(ch)
+        total, a, b = total + float(r.lm[a, b, z]), b, z
+    return total + float(r.lm[a, b, 0]), text
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_viterbi_equals_all_paths(restorer, seed):
+    rand = random.Random(seed)
+    for _ in range(60):
+        span = "".join(rand.choice("idiots1074@$!+*.-") * rand.choice([1, 1, 1, 2, 3]) for _ in range(rand.randrange(1, 6)))
+        if rand.random() < 0.4:
+            span = rand.choice(" .-").join(span)
+        span = span[:11]
+        lattice = restorer._lattice(span)
+        scored = [lattice_score(restorer, path) for path in itertools.product(*lattice)]
+        best = max(x for x, _ in scored)
+        got = restorer._path(lattice)
+        assert max(x for x, text in scored if text == got) == pytest.approx(best, abs=1e-4), (span, got)
+
+
+def test_scores_equal_a_plain_sum_over_features(restorer):
+    rand = random.Random(2)
+    texts = ["you 1d10t!", "a m0r0n and an i d i o t", "good food, stuuuupid class", "", "plain words stay"]
+    names = sorted(set().union(*(restorer.features(t) for t in texts)))
+    scorer = toxicity.Scorer({f: rand.uniform(-2, 2) for f in names if rand.random() < 0.6}, -0.7)
+    for t in texts:
+        z = -0.7 + sum(scorer.weights.get(f, 0.0) for f in restorer.features(t))
+        assert scorer.probability(restorer.words(t)) == pytest.approx(1 / (1 + np.exp(-z)))
+
+
 def test_toxicity_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").select("score", "predicted", "toxic").toPandas()
