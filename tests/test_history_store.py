@@ -1,5 +1,7 @@
 """Batches that appear at once, buckets, compaction, waiting rows."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,3 +173,36 @@ def test_digests_find_the_rows_that_differ(spark):
     # a value moved between NULL and not NULL columns, or between rows, is seen
     p, q = spark.createDataFrame([("a", None), (None, "b")], "x string, y string"), spark.createDataFrame([(None, "a"), ("b", None)], "x string, y string")
     assert quality.differing_buckets(*(quality.bucket_digests(x.withColumn("k", F.lit(1)), ["k"], 4) for x in (p, q))).count() == 1
+
+
+def test_a_first_load_shuffles_business_columns_and_not_digests(spark, scratch):
+    t = fixture.airline_tables(spark, SF_SMALL)
+    batch = vault.begin_batch(spark, scratch, "batch", 0, 4)
+    made = vault.build_vault(t, LOAD, ["link_ticket_flight", "sat_ticket_flight_details"], lambda name: batch.spread)
+    for name, digests in (("link_ticket_flight", "ticket_flight_hash_key"), ("sat_ticket_flight_details", "hash_diff")):
+        lines = made[name]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        at = next(i for i, x in enumerate(lines) if "RebalancePartitions" in x)
+        assert digests in lines[0] and not any(digests in x for x in lines[at:]), name
+
+
+def test_messages_that_come_once_are_neither_joined_nor_shuffled(spark, scratch):
+    feed(spark, [("ticket_flights", i, leg(i)) for i in range(3)]).write.parquet(f"{scratch}/f")
+    plan = cdc.parse_changes(spark.read.parquet(f"{scratch}/f"), once=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_a_leg_meets_its_pass_without_another_shuffle(spark):
+    legs = vault.sources(fixture.airline_tables(spark, SF_SMALL))["ticket_legs"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = legs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # two groupings of lines, orders and customers, tickets and legs by ticket
+    assert plan.count("Exchange hashpartitioning") == 6
+
+
+def test_a_batch_leaves_no_staged_files(spark, scratch):
+    from skyledger.session import checkpoint_dir
+    vault_stream.load_changes_batch(feed(spark, [("ticket_flights", 1, leg(1))]), 0, scratch, ["ticket_flights"])
+    assert not [n for n in os.listdir(checkpoint_dir(spark)) if n.startswith("feed-") and os.listdir(f"{checkpoint_dir(spark)}/{n}")]
