@@ -793,3 +793,25 @@ def test_stages_leave_columns_of_any_name_alone(spark, ids):
         assert sorted(map(repr, (tuple(r)[:len(docs.columns)] for r in rows))) == sorted(map(repr, map(tuple, plain.collect()))), name
         for r in rows:
             assert all(r[c] == f"{c}:{'-' if r['doc_id'] is None else r['doc_id']}" for c in CLASHING), name
+
+
+def test_counting_grams_takes_memory_by_the_grams_that_occur(monkeypatch):
+    import tracemalloc
+    from collections import Counter
+
+    from skyledger.llm import quality_rules as Q
+    texts = [f"some words of text {i % 7}" for i in range(200)] + [None, ""]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a:a + 50], pa.string())], ["text"]) for a in range(0, len(texts), 50)]
+    want = Counter()
+    for t in texts:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        if len(data):
+            want.update(Q.grams(data, np.array([0, len(data)]))[0].tolist())
+    for merge_at in (1, 1 << 18):
+        monkeypatch.setattr(Q, "MERGE_AT", merge_at)
+        tracemalloc.start()
+        got = [r for b in Q._count_batches(iter(batches)) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(got) == len(want) and dict(got) == dict(want)
+        assert peak < 32 << 20  # a slot for each of 2**24 possible grams took 128 MB a task
