@@ -206,3 +206,53 @@ def test_a_batch_leaves_no_staged_files(spark, scratch):
     from skyledger.session import checkpoint_dir
     vault_stream.load_changes_batch(feed(spark, [("ticket_flights", 1, leg(1))]), 0, scratch, ["ticket_flights"])
     assert not [n for n in os.listdir(checkpoint_dir(spark)) if n.startswith("feed-") and os.listdir(f"{checkpoint_dir(spark)}/{n}")]
+
+
+def test_a_table_of_one_merged_run_is_taken_over(spark, scratch):
+    for n, table in enumerate("abab"):
+        x = commits.Batch(spark, scratch, "w", n, KEYS, 4)
+        x.write(table, spark.range(n * 40, n * 40 + 40).select((F.col("id") * 37 % 101).alias("k"), F.col("id").alias("v")))
+        x.commit()
+    commits.compact(spark, scratch, KEYS, fan=2)                    # of batches 0 to 2 only one holds b
+    m = commits.read_manifest(spark, scratch)
+    written = {t: commits.read_runs(spark, scratch, commits.replace(m, runs=m.runs[:1]), t).inputFiles() for t in "ab"}
+    assert all(m.runs[0].run in f for f in written["a"]) and not any(m.runs[0].run in f for f in written["b"])
+    for f in written["a"] + written["b"]:
+        got = [r.k for r in spark.read.parquet(f).collect()]
+        assert got == sorted(got) and got
+    assert commits.vacuum(spark, scratch) == 2                      # a's two runs; b's files are named by the manifest
+    assert sorted(r.v for t in "ab" for r in commits.read_table(spark, scratch, t).collect()) == list(range(160))
+
+
+def test_digests_are_stored_once_and_shown_whole(spark, scratch):
+    t = fixture.airline_tables(spark, SF_SMALL)
+    vault.load_vault(spark, t, scratch, 0, LOAD, buckets=4)
+    made, stored = vault.build_vault(t, LOAD), vault.read_vault(spark, scratch)
+    for name in ("hub_bookings", "link_ticket_flight", "sat_ticket_flight_details"):
+        assert stored[name].columns == made[name].columns and sorted(map(repr, stored[name].collect())) == sorted(map(repr, made[name].collect()))
+        raw = {f.name: f.dataType.simpleString() for f in commits.read_table(spark, scratch, name).schema}
+        assert not any(c.endswith("_hash_key") for c in raw) and raw.get("hash_diff", "binary") == "binary"
+    legs = commits.read_runs(spark, scratch, commits.read_manifest(spark, scratch), "link_ticket_flight")
+    assert legs.groupBy("ticket_booking_link_id").agg(F.count_distinct("bucket").alias("n")).where("n > 1").isEmpty()
+
+
+def test_repeated_places_are_seen_without_a_row_per_message(spark):
+    feed = spark.range(-300, 5000).select(F.lit("t").alias("topic"), (F.col("id") % 3).cast("int").alias("partition"), F.col("id").alias("offset"))
+    none = spark.createDataFrame([("t", None, 1), ("t", None, 1), (None, 0, 1), (None, 0, 1)], "topic string, partition int, offset long")
+    assert not cdc.has_redelivered(feed.unionByName(none)) and not cdc.has_redelivered(feed.limit(0))
+    for again in (-300, -1, 0, 63, 64, 4999):
+        assert cdc.has_redelivered(feed.unionByName(feed.where(F.col("offset") == again)))
+
+
+def test_waiting_legs_meet_passes_and_tickets_by_ticket(spark, scratch):
+    """Two legs of a ticket, one with a pass in two versions, and a pass without its leg."""
+    tables = ["bookings", "tickets", "ticket_flights", "boarding_passes"]
+    legs = [("ticket_flights", i, {**leg(1), "flight_id": 7 + i}) for i in range(2)]
+    passes = [("boarding_passes", n, {"ticket_no": f"{1:013d}", "flight_id": f, "boarding_no": n, "seat_no": f"{n}A"}) for n, f in ((3, 8), (4, 8), (5, 99))]
+    vault_stream.load_changes_batch(feed(spark, legs + passes), 0, scratch, tables, writer="s")
+    rows = [("bookings", 1, {"book_ref": "B", "book_date": "2024-01-01T00:00:00", "total_amount": "9.50"}),
+            ("tickets", 1, {"ticket_no": f"{1:013d}", "book_ref": "B", "passenger_id": "p", "passenger_name": "N", "contact_data": "{}"})]
+    vault_stream.load_changes_batch(feed(spark, rows), 1, scratch, tables, writer="s")
+    got = vault.read_vault(spark, scratch)["sat_ticket_flight_details"].select("boarding_no", "seat_no").collect()
+    assert sorted(map(tuple, got), key=str) == [(4, "4A"), (None, None)]
+    assert [r.flight_id for r in vault_stream.waiting_rows(spark, scratch).collect()] == [99]
