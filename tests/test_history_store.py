@@ -202,6 +202,21 @@ def test_a_leg_meets_its_pass_without_another_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 6
 
 
+def test_legs_are_stored_without_a_shuffle_of_their_own(spark, scratch):
+    legs = vault.sources(fixture.airline_tables(spark, SF_SMALL))["ticket_legs"]
+    batch = vault.begin_batch(spark, scratch, "batch", 0, 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        link = vault.build_vault({"ticket_legs": legs}, LOAD, ["link_ticket_flight"], lambda name: batch.aligned)["link_ticket_flight"]
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (batch.aligned(legs, F.col("ticket_no")), link)]
+        found = link.select("bucket").distinct().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the six that make the legs
+    assert [p.count("Exchange") for p in plans] == [6, 6]
+    assert {r.bucket for r in found} == {0, 1, 2, 3}
+
+
 def test_a_batch_leaves_no_staged_files(spark, scratch):
     from skyledger.session import checkpoint_dir
     vault_stream.load_changes_batch(feed(spark, [("ticket_flights", 1, leg(1))]), 0, scratch, ["ticket_flights"])
