@@ -106,3 +106,18 @@ def test_dashboards_cut_links_before_satellite_amounts(spark, scratch):
             if "amount#" in line and "Relation [" in line:
                 above = lines[max(0, i - 3):i]          # its projection and filter
                 assert not any("Aggregate" in x for x in above)
+
+
+def test_two_loads_compare_business_keys_and_not_digests(spark):
+    from skyledger import registry
+    from skyledger.plans import vault
+    flights = "flight_id int, departure_airport string, arrival_airport string, aircraft_code string"
+    a = {"flights": spark.createDataFrame([(1, "A", "B", "x"), (2, None, "B", "x"), (2, None, "B", "x"), (None, "A", None, None)], flights)}
+    b = {"flights": spark.createDataFrame([(1, "A", "B", "x"), (2, None, "B", "x"), (2, "B", None, "x"), (3, "A", "B", "y"), (3, "A", "B", "y"), (None, "A", None, None)], flights)}
+    both = registry._two_loads(a, "2024-01-01 00:00:00", b, "2024-01-02 00:00:00")
+    for name, key, n in (("hub_flights", "flight_hash_key", 3), ("link_flight_leg", "flight_leg_hash_key", 5)):
+        first, second = (vault.build_vault(t, ts)[name] for t, ts in ((a, "2024-01-01 00:00:00"), (b, "2024-01-02 00:00:00")))
+        want = first.unionByName(second.join(first, key, "left_anti"))
+        assert sorted(map(repr, both[name].collect())) == sorted(map(repr, want.collect())) and want.count() == n
+        plan = both[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("Join" in line and "hash_key" in line for line in plan.split("\n"))
