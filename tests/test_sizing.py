@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import sizing
+from skyledger.plans import vault
 from skyledger.sources import fixture
 
 from .conftest import SF_SMALL
@@ -35,3 +36,33 @@ def test_legs_are_grouped_in_partitions_of_bounded_size(spark, small_partitions)
     n = sizing.shuffle_partitions(lines)
     for legs in (fixture.ticket_flights_snapshot(lines, fixture.SNAPSHOT_OLD_FLAGS), fixture.ticket_flights(lines), fixture.boarding_passes(lines)):
         assert set(re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), (\w+)", _plan(legs))) == {(str(n), "REPARTITION_BY_NUM")}
+
+
+def _vault(spark):
+    return vault.build_vault(fixture.airline_tables(spark, SF_SMALL), "2001-08-01 00:00:00")
+
+
+def test_legs_meet_their_tickets_and_passes_without_a_shuffle_by_leg(spark):
+    v = _vault(spark)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        link, sat = _plan(v["link_ticket_flight"]), _plan(v["sat_ticket_flight_details"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(re.findall(r"hashpartitioning\(ticket_no#\d+, \d+\)", link)) == 2  # lines and tickets
+    assert len(re.findall(r"hashpartitioning\(ticket_no#\d+, \d+\)", sat)) == 3  # passes too
+    assert not re.search(r"hashpartitioning\(ticket_no#\d+, flight_id", link + sat)
+
+
+def test_legs_keep_every_pass_and_legs_without_one(spark):
+    t = {"ticket_flights": spark.createDataFrame([("t1", 1, 5), ("t1", 2, 6), ("t2", 1, 7), ("t3", None, 8), ("t9", 1, 9)], "ticket_no string, flight_id int, amount int"),
+         "boarding_passes": spark.createDataFrame([("t1", 1, 1, "1A"), ("t1", 1, 2, "1B"), ("t2", 2, 3, "2A"), ("t3", None, 4, "3A")],
+                                                  "ticket_no string, flight_id int, boarding_no int, seat_no string"),
+         "tickets": spark.createDataFrame([("t1", "b1", "p1"), ("t2", "b1", "p2"), ("t3", "b2", "p1")], "ticket_no string, book_ref string, passenger_id string")}
+    src = vault.sources(t)
+    got = sorted((tuple(r) for r in src["ticket_legs"].select("ticket_no", "flight_id", "amount", "boarding_no", "seat_no", "book_ref", "passenger_id").collect()), key=str)
+    assert got == sorted([("t1", 1, 5, 1, "1A", "b1", "p1"), ("t1", 1, 5, 2, "1B", "b1", "p1"), ("t1", 2, 6, None, None, "b1", "p1"),
+                          ("t2", 1, 7, None, None, "b1", "p2"), ("t3", None, 8, None, None, "b2", "p1")], key=str)
+    assert sorted((tuple(r) for r in src["ticket_leg_keys"].select("ticket_no", "flight_id").collect()), key=str) == sorted(
+        [("t1", 1), ("t1", 2), ("t2", 1), ("t3", None)], key=str)
