@@ -1,12 +1,13 @@
 """Shuffles of large inputs: what a task holds does not grow with the input, and rows are not shuffled more often than needed."""
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators import sizing
-from skyledger.plans import vault
+from skyledger.plans import dashboards, vault
 from skyledger.sources import fixture
 
 from .conftest import SF_SMALL
@@ -66,3 +67,12 @@ def test_legs_keep_every_pass_and_legs_without_one(spark):
                           ("t2", 1, 7, None, None, "b1", "p2"), ("t3", None, 8, None, None, "b2", "p1")], key=str)
     assert sorted((tuple(r) for r in src["ticket_leg_keys"].select("ticket_no", "flight_id").collect()), key=str) == sorted(
         [("t1", 1), ("t1", 2), ("t2", 1), ("t3", None)], key=str)
+
+
+def test_passengers_are_grouped_where_they_lie(spark):
+    v, as_of = _vault(spark), dt.date(2001, 8, 1)
+    for df in (dashboards.passenger_metrics_30d(v, as_of), dashboards.passenger_groups_revenue(v, as_of, latest=True, revenue="ticket_amount"),
+               dashboards.dashboard_kpis(v, as_of)):
+        p = _plan(df)
+        assert len(re.findall(r"hashpartitioning\(passenger_id", p)) <= 1  # the hub's keys are made distinct
+        assert len(re.findall(r"hashpartitioning\(passenger_hub_id#\d+, \d+\), REPARTITION_BY_NUM", p)) == 1
