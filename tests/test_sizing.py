@@ -43,17 +43,13 @@ def _vault(spark):
     return vault.build_vault(fixture.airline_tables(spark, SF_SMALL), "2001-08-01 00:00:00")
 
 
-def test_legs_meet_their_tickets_and_passes_without_a_shuffle_by_leg(spark):
-    v = _vault(spark)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        link, sat = _plan(v["link_ticket_flight"]), _plan(v["sat_ticket_flight_details"])
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert len(re.findall(r"hashpartitioning\(ticket_no#\d+, \d+\)", link)) == 2  # lines and tickets
-    assert len(re.findall(r"hashpartitioning\(ticket_no#\d+, \d+\)", sat)) == 3  # passes too
-    assert not re.search(r"hashpartitioning\(ticket_no#\d+, flight_id", link + sat)
+def test_legs_lie_by_ticket_in_partitions_of_bounded_size(spark, small_partitions):
+    t = fixture.airline_tables(spark, SF_SMALL)
+    n = sizing.shuffle_partitions(t["ticket_flights"])
+    assert n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = vault.build_vault(t, "2001-08-01 00:00:00")
+    for table in ("link_ticket_flight", "sat_ticket_flight_details"):
+        assert re.findall(r"hashpartitioning\(ticket_no#\d+, (\d+)\), REPARTITION_BY_NUM", _plan(v[table])) == [str(n)]
 
 
 def test_legs_keep_every_pass_and_legs_without_one(spark):
